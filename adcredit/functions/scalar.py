@@ -11,6 +11,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Money is summed as an exact decimal: the result does not depend on the
+# order of the additions (double sums do, across partitionings and runs).
+MONEY = "decimal(38,6)"
+
+
+def money_sum(col) -> Column:
+    """Exact, order-independent sum of an amount, returned as double."""
+    return F.sum(_c(col).cast(MONEY)).cast("double")
+
+
 def safe_divide(num, den) -> Column:
     """NULL when the denominator is 0 or NULL (plain ``/`` raises under ANSI)."""
     return F.try_divide(_c(num), _c(den))
@@ -54,9 +64,10 @@ def to_naive(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every double column (float sums differ in the last bit by order)."""
+def round_doubles(df: DataFrame, places: int = 6, only: tuple[str, ...] | None = None) -> DataFrame:
+    """Round double columns (all, or ``only`` these) half away from zero."""
     cols = [F.round(F.col(f.name), places).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            if isinstance(f.dataType, T.DoubleType) and (only is None or f.name in only)
+            else F.col(f.name)
             for f in df.schema.fields]
     return df.select(*cols)

@@ -32,6 +32,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adcredit.functions.scalar import MONEY
+
 _US_PER_SECOND = 1_000_000
 
 
@@ -140,9 +142,9 @@ def attribution_orphans(ad_spend: DataFrame, attribution: DataFrame) -> DataFram
                .filter(F.col("campaign_id").isNotNull() & F.col("touch_ts").isNotNull())
                .withColumn("touch_date", F.to_date("touch_ts"))
                .groupBy("campaign_id", "touch_date", "order_id")
-               .agg(F.sum("revenue").alias("revenue"))
+               .agg(F.sum(F.col("revenue").cast(MONEY)).alias("revenue"))
                .groupBy("campaign_id", "touch_date")
                .agg(F.count("order_id").alias("orphan_orders"),
-                    F.sum("revenue").alias("orphan_revenue")))
+                    F.sum("revenue").cast("double").alias("orphan_revenue")))
     spend_keys = ad_spend.select(F.col("campaign_id"), F.col("date").alias("touch_date"))
     return per_day.join(spend_keys, ["campaign_id", "touch_date"], "left_anti")

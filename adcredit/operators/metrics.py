@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adcredit.functions.predicates import apply_filters, date_range, optional_eq
-from adcredit.functions.scalar import latest_struct, ratio_or_zero, safe_divide
+from adcredit.functions.scalar import MONEY, latest_struct, money_sum, ratio_or_zero, safe_divide
 
 _MEASURES = ["spend", "attributed_revenue", "roas", "cac", "conversions"]
 
@@ -48,7 +48,7 @@ def campaign_metrics(ad_spend: DataFrame, attribution: DataFrame, as_of=None) ->
                .select("campaign_id", F.to_date("touch_ts").alias("touch_date"), "order_id",
                        "revenue")
                .groupBy("campaign_id", "touch_date", "order_id")
-               .agg(F.sum("revenue").alias("revenue"))
+               .agg(F.sum(F.col("revenue").cast(MONEY)).alias("revenue"))
                .groupBy("campaign_id", "touch_date")
                .agg(F.sum("revenue").alias("day_revenue"),
                     F.count("order_id").alias("day_orders")))
@@ -56,7 +56,8 @@ def campaign_metrics(ad_spend: DataFrame, attribution: DataFrame, as_of=None) ->
     joined = ad.join(per_day, (ad.campaign_id == per_day.campaign_id)
                      & (ad.date == per_day.touch_date), "left")
     grouped = (joined.groupBy(ad.campaign_id, ad.date, ad.spend)
-               .agg(F.coalesce(F.sum("day_revenue"), F.lit(0.0)).alias("attributed_revenue"),
+               .agg(F.coalesce(F.sum("day_revenue").cast("double"), F.lit(0.0))
+                    .alias("attributed_revenue"),
                     F.coalesce(F.max("day_orders"), F.lit(0)).cast("bigint").alias("conversions")))
     inserted = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return grouped.select(
@@ -107,8 +108,9 @@ def portfolio_summary(latest: DataFrame) -> DataFrame:
     A global aggregate (partial per task, one tiny final merge); no rows
     gives a row of zeros.
     """
-    agg = latest.agg(F.coalesce(F.sum("spend"), F.lit(0.0)).alias("spend"),
-                     F.coalesce(F.sum("attributed_revenue"), F.lit(0.0)).alias("attributed_revenue"),
+    agg = latest.agg(F.coalesce(money_sum("spend"), F.lit(0.0)).alias("spend"),
+                     F.coalesce(money_sum("attributed_revenue"), F.lit(0.0))
+                     .alias("attributed_revenue"),
                      F.coalesce(F.sum("conversions"), F.lit(0)).cast("bigint").alias("conversions"),
                      F.count(F.lit(1)).alias("campaigns"))
     return agg.select("spend", "attributed_revenue",
@@ -129,7 +131,8 @@ def trend(metrics: DataFrame, campaign_id: str | None = None, date_from=None,
     ratios of sums. Filters are applied before the dedup."""
     d = dedup_metrics(_filtered(metrics, campaign_id, date_from, date_to))
     g = (d.groupBy("metric_date")
-         .agg(F.sum("spend").alias("spend"), F.sum("attributed_revenue").alias("attributed_revenue"),
+         .agg(money_sum("spend").alias("spend"),
+              money_sum("attributed_revenue").alias("attributed_revenue"),
               F.sum("conversions").cast("bigint").alias("conversions")))
     return (g.select(F.col("metric_date").cast("string").alias("date"), "spend",
                      "attributed_revenue", "conversions",
@@ -153,7 +156,9 @@ def metric_series(metrics: DataFrame, metric: str, campaign_id: str | None = Non
     num, den = METRIC_AGGREGATES[metric]
     d = dedup_metrics(_filtered(metrics, campaign_id, date_from, date_to))
     keys = (["campaign_id"] if by_campaign else []) + ["metric_date"]
-    g = d.groupBy(*keys).agg(F.sum(num).alias("num"), F.sum(den).alias("den"))
+    sums = {c: (F.sum(c).cast("double") if c == "conversions" else money_sum(c))
+            for c in (num, den)}
+    g = d.groupBy(*keys).agg(sums[num].alias("num"), sums[den].alias("den"))
     return g.select(*[k for k in keys if k != "metric_date"],
                     F.col("metric_date").cast("string").alias("date"),
                     safe_divide("num", "den").cast("double").alias(metric))
