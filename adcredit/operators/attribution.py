@@ -12,8 +12,8 @@ Plan shape (no pair fan-out, every hot group split or pre-aggregated):
 1. Time is cut into buckets (default one hour) so that one customer's
    history is spread over many window partitions ``(customer, bucket)``
    instead of landing in one task.
-2. Copies of an event (same customer and instant) collapse in a partial
-   aggregation before the shuffle.
+2. Copies of an event (re-deliveries of the same row) collapse in a
+   map-side hash aggregate before the shuffle.
 3. ``carry``: the latest event of each customer *before* each bucket that
    holds orders. It comes from a pre-aggregated ``(customer, bucket)``
    table (at most one row per customer-bucket) and a running ``max`` over
@@ -69,13 +69,15 @@ def last_touch(orders: DataFrame, events: DataFrame, lookback_days: int = 7,
 
     e_ok = F.col("customer_id").isNotNull() & F.col("event_ts").isNotNull()
     ev = events.filter(e_ok).select(
-        "customer_id", "event_ts",
-        F.struct(F.col("event_ts"), F.col(tie).alias("tie"),
-                 F.col("event_id").cast("string").alias("event_id"),
-                 F.col("campaign_id").cast("string").alias("campaign_id")).alias("touch"))
+        "customer_id", "event_ts", F.col(tie).alias("tie"),
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("campaign_id").cast("string").alias("campaign_id"))
     if collapse_copies:
-        ev = ev.groupBy("customer_id", "event_ts").agg(F.max("touch").alias("touch"))
-    ev = ev.withColumn("b", _bucket("event_ts", bucket_us))
+        # exact re-deliveries of an event collapse in a map-side hash aggregate
+        ev = ev.distinct()
+    ev = ev.select("customer_id", "event_ts",
+                   F.struct("event_ts", "tie", "event_id", "campaign_id").alias("touch"),
+                   _bucket("event_ts", bucket_us).alias("b"))
     touch_type = ev.schema["touch"].dataType
 
     # (3) carry: latest event before each order-holding bucket of a customer.
