@@ -1 +1,260 @@
-"""Registered queries that write, train or stream (added in later steps)."""
+"""Registered queries that write tables, train models or run streams.
+
+Each one works in a fresh folder under the shared ``spark.checkpoint.dir``
+and returns a DataFrame read back from what it wrote, so the check covers
+the full write / read path.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from adcredit.operators import features as feat
+from adcredit.operators import forecast
+from adcredit.plans import jobs
+from adcredit.plans.catalog import DATE_FROM, DATE_TO, CAMPAIGN, register
+from adcredit.plans.oracle import money_sum, with_facts
+from adcredit.session import shared_dir
+from adcredit.sources.driver import Warehouse
+from adcredit.sources.sinks import read_fact, write_fact
+from adcredit.streaming import jobs as sj
+
+_ATTR_COLS = "order_id, customer_id, campaign_id, touch_ts, revenue"
+
+
+# --------------------------------------------------------------------------
+# Sinks and layout
+# --------------------------------------------------------------------------
+
+@register("append_replace_roundtrip", with_facts("fact_attribution") + f"""
+SELECT {_ATTR_COLS}, touch_date FROM fact_attribution""")
+def _append_replace(w: Warehouse):
+    """Replace, append (doubles), replace again (back to one copy),
+    then an empty append, which must be a no-op."""
+    path = shared_dir(w.spark, "fact_attribution")
+    attr = w.fact_attribution.cache()
+    write_fact(attr, "fact_attribution", path, "overwrite")
+    write_fact(attr, "fact_attribution", path, "append")
+    doubled = read_fact(w.spark, "fact_attribution", path).count()
+    write_fact(attr, "fact_attribution", path, "overwrite")
+    if write_fact(attr.limit(0), "fact_attribution", path, "append"):
+        raise AssertionError("empty append wrote files")
+    attr.unpersist()
+    back = read_fact(w.spark, "fact_attribution", path)
+    if doubled % 2:
+        raise AssertionError("append did not add a full copy")
+    return back.select("order_id", "customer_id", "campaign_id", "touch_ts", "revenue",
+                       "touch_date")
+
+
+@register("partitioned_write_scan", with_facts("fact_events") + f"""
+SELECT event_id, customer_id, event_ts, event_date, event_type, campaign_id, source
+FROM fact_events
+WHERE event_date >= DATE '{DATE_FROM}' AND event_date <= DATE '{DATE_TO}'
+  AND campaign_id = '{CAMPAIGN}'""")
+def _partitioned_scan(w: Warehouse):
+    """S9 + P10: date-partitioned, cluster-sorted write; the read prunes
+    date directories and pushes the campaign filter into the Parquet scan."""
+    path = shared_dir(w.spark, "fact_events")
+    write_fact(w.fact_events, "fact_events", path, "overwrite")
+    ev = read_fact(w.spark, "fact_events", path)
+    return (ev.filter(F.col("event_date").between(F.lit(DATE_FROM), F.lit(DATE_TO))
+                      & (F.col("campaign_id") == CAMPAIGN))
+            .drop("inserted_at"))
+
+
+# --------------------------------------------------------------------------
+# Batch jobs end to end
+# --------------------------------------------------------------------------
+
+@register("jobs_end_to_end", with_facts("ad_runs", "fact_attribution", extra="""
+  spend AS (
+    SELECT campaign_id, date, spend FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY campaign_id, date ORDER BY spend DESC) AS rn
+      FROM ad_runs WHERE clicks <> 0) WHERE rn = 1
+  )""") + """
+SELECT ad.campaign_id, ad.date AS metric_date, ad.spend,
+       COALESCE(""" + money_sum("attr.revenue") + """, 0) AS attributed_revenue,
+       CAST(COUNT(DISTINCT attr.order_id) AS BIGINT) AS conversions
+FROM spend ad LEFT JOIN fact_attribution attr
+  ON ad.campaign_id = attr.campaign_id AND ad.date = CAST(attr.touch_ts AS DATE)
+GROUP BY ad.campaign_id, ad.date, ad.spend""")
+def _jobs_end_to_end(w: Warehouse):
+    """Ingest ads / orders / events from raw text, run attribution and
+    metrics into a fresh warehouse folder and read the metrics back."""
+    spark, root, as_of = w.spark, shared_dir(w.spark, "warehouse"), w.as_of
+    jobs.ingest_ads(spark, w.raw_ads.filter(F.col("spend") != "n/a"), root, as_of)
+    jobs.ingest_orders(spark, w.raw_orders, root, as_of)
+    raw_ev = w.raw_events.filter(F.col("source") != "replay")
+    jobs.compact_events(spark, raw_ev, root, as_of)
+    jobs.attribution_job(spark, root, as_of)
+    m = read_fact(spark, "fact_campaign_metrics", f"{root}/fact_campaign_metrics")
+    return m.select("campaign_id", "metric_date", "spend", "attributed_revenue", "conversions")
+
+
+# --------------------------------------------------------------------------
+# Forecast (random forest): property checks only, no value oracle
+# --------------------------------------------------------------------------
+
+_MODELS: dict[str, object] = {}
+
+
+def _model(w: Warehouse):
+    key = w.sf_dir
+    if key not in _MODELS:
+        frame = feat.training_frame(feat.features_with_target(w.fact_campaign_metrics), fill=0.0)
+        train, test = forecast.split(frame, keys=("metric_date", "spend", "roas"))
+        model = forecast.fit_forecast(train)
+        path = forecast.save_model(model, shared_dir(w.spark, "roas_model"))
+        _MODELS[key] = (forecast.load_model(path), test)
+    return _MODELS[key]
+
+
+@register("forecast_train_eval")
+def _train_eval(w: Warehouse):
+    """M3-M5 + S15: hash split, 200-tree forest, saved and reloaded, MSE / R2."""
+    model, test = _model(w)
+    return forecast.evaluate(model, test)
+
+
+@register("feature_importance")
+def _importance(w: Warehouse):
+    """Nine importances, sorted descending."""
+    model, _ = _model(w)
+    return forecast.feature_importance(w.spark, model)
+
+
+@register("forecast_next_day")
+def _next_day(w: Warehouse):
+    """M7: prediction for the newest feature row."""
+    model, _ = _model(w)
+    latest = feat.latest_feature_row(feat.features_with_target(w.fact_campaign_metrics))
+    return forecast.score(model, latest)
+
+
+@register("score_features")
+def _score(w: Warehouse):
+    """M8: batch scoring of every feature row."""
+    model, _ = _model(w)
+    rows = feat.features_with_target(w.fact_campaign_metrics)
+    return forecast.score(model, rows.select("campaign_id", "metric_date",
+                                             *forecast.FEATURE_ORDER))
+
+
+# --------------------------------------------------------------------------
+# Streams, fed by the derived facts landing as files in arrival order
+# --------------------------------------------------------------------------
+
+_DELAY_S = 3600
+_CHUNK_DAYS = 6
+
+
+def _land_in_chunks(df: DataFrame, ts_col: str, path: str) -> None:
+    """Write rows as successive files, each holding a later span of days."""
+    day = F.datediff(F.to_date(ts_col), F.lit(_dt.date(2000, 1, 1)))
+    chunked = df.withColumn("_chunk", F.floor(day / _CHUNK_DAYS))
+    chunks = [r[0] for r in chunked.select("_chunk").distinct().orderBy("_chunk").collect()]
+    for c in chunks:  # a handful of time spans, not rows
+        chunked.filter(F.col("_chunk") == c).drop("_chunk").coalesce(1) \
+            .write.mode("append").parquet(path)
+
+
+def _run_available(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+@register("stream_last_touch", with_facts("fact_attribution") + f"""
+SELECT {_ATTR_COLS}, false AS late FROM fact_attribution""")
+def _stream_last_touch(w: Warehouse):
+    """Streaming last touch equals the batch attribution."""
+    spark = w.spark
+    src, out, ck = (shared_dir(spark, n) for n in ("touch-src", "touch-out", "touch-ck"))
+    touches = sj.touch_stream(w.fact_orders, w.fact_events)
+    _land_in_chunks(touches, "ts", src)
+    max_ts = touches.agg(F.max("ts")).first()[0]
+    sj.end_of_input_marker(spark, max_ts, _DELAY_S).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(sj.TOUCH_INPUT).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (sj.stream_last_touch(stream, f"{_DELAY_S} seconds").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).outputMode("append")
+         .trigger(availableNow=True).start())
+    _run_available(q)
+    return spark.read.schema(sj.TOUCH_OUTPUT).parquet(out)
+
+
+@register("stream_events_dedup", with_facts("fact_events") + """
+SELECT event_id, customer_id, event_ts, event_date, event_type, campaign_id, source
+FROM fact_events""")
+def _stream_events(w: Warehouse):
+    """Twice-delivered events, one row per event_id after the stream."""
+    spark = w.spark
+    src, out, ck = (shared_dir(spark, n) for n in ("events-src", "events-out", "events-ck"))
+    raw = w.raw_events
+    # the first deliveries land before the replays
+    raw.filter(F.col("source") != "replay").drop("ingest_seq").coalesce(1) \
+        .write.mode("append").parquet(src)
+    raw.filter(F.col("source") == "replay").drop("ingest_seq").coalesce(1) \
+        .write.mode("append").parquet(src)
+    from adcredit.schemas import RAW_EVENTS
+    stream = spark.readStream.schema(RAW_EVENTS).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (sj.stream_events(stream, f"{_DELAY_S} seconds", as_of=w.as_of).drop("inserted_at")
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    _run_available(q)
+    return spark.read.parquet(out)
+
+
+@register("stream_ingest_orders", with_facts("fact_orders") + """
+SELECT order_id, customer_id, order_ts, order_date, revenue, currency FROM fact_orders""")
+def _stream_ingest(w: Warehouse):
+    """Raw text orders streamed into the date-partitioned fact table."""
+    spark = w.spark
+    src, out, ck = (shared_dir(spark, n) for n in ("orders-src", "orders-out", "orders-ck"))
+    _land_in_chunks(w.raw_orders.withColumn("_ts", F.col("order_ts").cast("timestamp")), "_ts",
+                    src)
+    from adcredit.schemas import RAW_ORDERS
+    stream = spark.readStream.schema(RAW_ORDERS).option("maxFilesPerTrigger", 1).parquet(src)
+    _run_available(sj.stream_ingest(stream, "orders", out, ck, as_of=w.as_of))
+    return read_fact(spark, "fact_orders", out).drop("inserted_at")
+
+
+@register("stream_daily_counts", with_facts("fact_events") + """
+SELECT CAST(event_ts AS DATE) AS date, campaign_id, COUNT(*) AS events_count
+FROM fact_events GROUP BY 1, 2""")
+def _stream_counts(w: Warehouse):
+    """T5: one-day tumbling windows per campaign, emitted as days close."""
+    spark = w.spark
+    src, out, ck = (shared_dir(spark, n) for n in ("counts-src", "counts-out", "counts-ck"))
+    ev = w.fact_events.select("event_id", "event_ts", "campaign_id")
+    _land_in_chunks(ev, "event_ts", src)
+    max_ts = ev.agg(F.max("event_ts")).first()[0]
+    marker = _dt.timedelta(days=1, seconds=_DELAY_S + 1)
+    spark.createDataFrame([("~end-of-input", max_ts + marker, "~end-of-input")], ev.schema) \
+        .coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (sj.stream_daily_counts(stream, f"{_DELAY_S} seconds").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).outputMode("append")
+         .trigger(availableNow=True).start())
+    _run_available(q)
+    return spark.read.parquet(out)
+
+
+@register("stream_freshness", with_facts("fact_orders") + """
+SELECT 'orders' AS source, MAX(order_ts) AS latest_timestamp, 'healthy' AS status
+FROM fact_orders""")
+def _stream_freshness(w: Warehouse):
+    """T4: per-micro-batch MERGE of the orders source's freshness."""
+    spark = w.spark
+    src, health, ck = (shared_dir(spark, n) for n in ("fresh-src", "fresh-health", "fresh-ck"))
+    o = w.fact_orders.select("order_id", "order_ts")
+    _land_in_chunks(o, "order_ts", src)
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (stream.writeStream.foreachBatch(sj.freshness_sink(health, "orders", "order_ts",
+                                                           as_of=w.as_of))
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    _run_available(q)
+    return read_fact(spark, "data_health", health).select("source", "latest_timestamp", "status")
