@@ -29,7 +29,9 @@ Plan shape (no pair fan-out, every hot group split or pre-aggregated):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import datetime as _dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adcredit.functions.scalar import MONEY
@@ -37,13 +39,79 @@ from adcredit.functions.scalar import MONEY
 _US_PER_SECOND = 1_000_000
 
 
-def _micros(c: str | Column) -> Column:
-    return F.unix_micros(F.col(c) if isinstance(c, str) else c)
-
-
-def _bucket(ts: str, bucket_us: int) -> Column:
-    # Any non-decreasing function of time is a valid bucketing.
-    return F.floor(_micros(ts) / F.lit(bucket_us)).cast("bigint")
+# One statement, so the whole operator is analysed once. {orders} and
+# {events} are DataFrame arguments; numbers and the tie column are formatted
+# in by the caller after validation.
+_LAST_TOUCH_SQL = """
+WITH od AS (
+  SELECT order_id, customer_id, order_ts, max(revenue) AS revenue,
+         CAST(floor(unix_micros(order_ts) / {bucket_us}) AS BIGINT) AS b
+  FROM {{orders}}
+  WHERE customer_id IS NOT NULL AND order_ts IS NOT NULL
+  GROUP BY order_id, customer_id, order_ts
+),
+ev AS (
+  SELECT customer_id, event_ts,
+         named_struct('event_ts', event_ts, 'tie', tie, 'event_id', event_id,
+                      'campaign_id', campaign_id) AS touch,
+         CAST(floor(unix_micros(event_ts) / {bucket_us}) AS BIGINT) AS b
+  FROM (SELECT {distinct} customer_id, event_ts, `{tie}` AS tie,
+               CAST(event_id AS STRING) AS event_id, CAST(campaign_id AS STRING) AS campaign_id
+        FROM {{events}}
+        WHERE customer_id IS NOT NULL AND event_ts IS NOT NULL)
+),
+cells AS (
+  SELECT customer_id, b, max(touch) AS last_in_bucket, max(has_order) AS has_order
+  FROM (SELECT customer_id, b, touch, 0 AS has_order FROM ev
+        UNION ALL
+        SELECT customer_id, b, NULL, 1 FROM od)
+  GROUP BY customer_id, b
+),
+carry AS (
+  SELECT customer_id, b, touch FROM (
+    SELECT customer_id, b, has_order,
+           max(last_in_bucket) OVER (PARTITION BY customer_id ORDER BY b
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS touch
+    FROM cells)
+  WHERE has_order = 1 AND touch IS NOT NULL
+),
+timeline AS (
+  SELECT customer_id, b, touch.event_ts AS sort_ts, 0 AS kind, touch,
+         CAST(NULL AS STRING) AS order_id, CAST(NULL AS TIMESTAMP) AS order_ts,
+         CAST(NULL AS DOUBLE) AS revenue
+  FROM carry
+  UNION ALL
+  SELECT customer_id, b, event_ts, 0, touch, NULL, NULL, NULL FROM ev
+  UNION ALL
+  SELECT customer_id, b, order_ts, 1, NULL, order_id, order_ts, revenue FROM od
+),
+matched AS (
+  SELECT order_id, customer_id, order_ts, revenue,
+         CASE WHEN unix_micros(seen.event_ts) >= unix_micros(order_ts) - {lookback_us}
+              THEN seen END AS touch
+  FROM (SELECT *, max(touch) OVER (PARTITION BY customer_id, b ORDER BY sort_ts, kind
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen
+        FROM timeline)
+  WHERE kind = 1
+  UNION ALL
+  SELECT order_id, customer_id, order_ts, revenue, NULL
+  FROM {{orders}}
+  WHERE customer_id IS NULL OR order_ts IS NULL
+),
+best AS (
+  SELECT order_id,
+         max(named_struct('touch_ts', touch.event_ts, 'tie', touch.tie,
+                          'event_id', touch.event_id, 'customer_id', customer_id,
+                          'order_ts', order_ts, 'revenue', revenue,
+                          'campaign_id', touch.campaign_id)) AS m
+  FROM matched
+  GROUP BY order_id
+)
+SELECT order_id, m.customer_id AS customer_id, m.campaign_id AS campaign_id,
+       m.touch_ts AS touch_ts, m.revenue AS revenue, {inserted} AS inserted_at,
+       to_date(m.touch_ts) AS touch_date
+FROM best
+"""
 
 
 def last_touch(orders: DataFrame, events: DataFrame, lookback_days: int = 7,
@@ -56,83 +124,22 @@ def last_touch(orders: DataFrame, events: DataFrame, lookback_days: int = 7,
     Returns order_id, customer_id, campaign_id, touch_ts, revenue,
     inserted_at, touch_date.
     """
+    if tie not in events.columns:
+        raise ValueError(f"tie column {tie!r} not in events")
     lookback_us = int(lookback_days) * 86_400 * _US_PER_SECOND
     bucket_us = int(bucket_seconds) * _US_PER_SECOND
-
-    # NULL customer / instant never matches (equality and BETWEEN are NULL).
-    o_ok = F.col("customer_id").isNotNull() & F.col("order_ts").isNotNull()
-    o = orders.select("order_id", "customer_id", "order_ts", "revenue")
-    od = (o.filter(o_ok)
-          .groupBy("order_id", "customer_id", "order_ts")
-          .agg(F.max("revenue").alias("revenue"))
-          .withColumn("b", _bucket("order_ts", bucket_us)))
-
-    e_ok = F.col("customer_id").isNotNull() & F.col("event_ts").isNotNull()
-    ev = events.filter(e_ok).select(
-        "customer_id", "event_ts", F.col(tie).alias("tie"),
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("campaign_id").cast("string").alias("campaign_id"))
-    if collapse_copies:
-        # exact re-deliveries of an event collapse in a map-side hash aggregate
-        ev = ev.distinct()
-    ev = ev.select("customer_id", "event_ts",
-                   F.struct("event_ts", "tie", "event_id", "campaign_id").alias("touch"),
-                   _bucket("event_ts", bucket_us).alias("b"))
-    touch_type = ev.schema["touch"].dataType
-
-    # (3) carry: latest event before each order-holding bucket of a customer.
-    cells = (ev.select("customer_id", "b", "touch", F.lit(0).alias("has_order"))
-             .unionByName(od.select("customer_id", "b", F.lit(None).cast(touch_type).alias("touch"),
-                                    F.lit(1).alias("has_order")))
-             .groupBy("customer_id", "b")
-             .agg(F.max("touch").alias("last_in_bucket"), F.max("has_order").alias("has_order")))
-    before = Window.partitionBy("customer_id").orderBy("b").rowsBetween(
-        Window.unboundedPreceding, -1)
-    carry = (cells.withColumn("touch", F.max("last_in_bucket").over(before))
-             .filter((F.col("has_order") == 1) & F.col("touch").isNotNull())
-             .select("customer_id", "b", "touch"))
-
-    # (4) one running max per (customer, bucket).
-    cols = ["customer_id", "b", "sort_ts", "kind", "touch", "order_id", "order_ts", "revenue"]
-    nulls = {"order_id": F.lit(None).cast("string"), "order_ts": F.lit(None).cast("timestamp"),
-             "revenue": F.lit(None).cast("double")}
-    stream = (
-        carry.select("customer_id", "b", F.col("touch.event_ts").alias("sort_ts"),
-                     F.lit(0).alias("kind"), "touch", *[v.alias(k) for k, v in nulls.items()])
-        .unionByName(ev.select("customer_id", "b", F.col("event_ts").alias("sort_ts"),
-                               F.lit(0).alias("kind"), "touch",
-                               *[v.alias(k) for k, v in nulls.items()]))
-        .unionByName(od.select("customer_id", "b", F.col("order_ts").alias("sort_ts"),
-                               F.lit(1).alias("kind"), F.lit(None).cast(touch_type).alias("touch"),
-                               "order_id", "order_ts", "revenue"))
-        .select(*cols))
-    upto = Window.partitionBy("customer_id", "b").orderBy("sort_ts", "kind").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    seen = F.max("touch").over(upto)
-    matched = (stream.withColumn("seen", seen)
-               .filter(F.col("kind") == 1)
-               .select("order_id", "customer_id", "order_ts", "revenue",
-                       F.when(_micros(F.col("seen.event_ts"))
-                              >= _micros("order_ts") - F.lit(lookback_us), F.col("seen"))
-                       .alias("touch")))
-
-    unmatched_orders = o.filter(~o_ok).select(
-        "order_id", "customer_id", "order_ts", "revenue",
-        F.lit(None).cast(touch_type).alias("touch"))
-
-    # (5) one row per order_id, latest touch first (NULL touch sorts lowest).
-    best = (matched.unionByName(unmatched_orders)
-            .groupBy("order_id")
-            .agg(F.max(F.struct(
-                F.col("touch.event_ts").alias("touch_ts"), F.col("touch.tie").alias("tie"),
-                F.col("touch.event_id").alias("event_id"), "customer_id", "order_ts", "revenue",
-                F.col("touch.campaign_id").alias("campaign_id"))).alias("m")))
-    inserted = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return best.select(
-        "order_id", F.col("m.customer_id").alias("customer_id"),
-        F.col("m.campaign_id").alias("campaign_id"), F.col("m.touch_ts").alias("touch_ts"),
-        F.col("m.revenue").alias("revenue"), inserted.alias("inserted_at"),
-        F.to_date(F.col("m.touch_ts")).alias("touch_date"))
+    if bucket_us <= 0:
+        raise ValueError("bucket_seconds must be positive")
+    if as_of is None:
+        inserted = "current_timestamp()"
+    else:
+        inserted = f"TIMESTAMP'{_dt.datetime.fromisoformat(str(as_of)).isoformat(sep=' ')}'"
+    sql = _LAST_TOUCH_SQL.format(bucket_us=bucket_us, lookback_us=lookback_us, tie=tie,
+                                 distinct="DISTINCT" if collapse_copies else "",
+                                 inserted=inserted)
+    return orders.sparkSession.sql(sql, orders=orders.select("order_id", "customer_id",
+                                                             "order_ts", "revenue"),
+                                   events=events)
 
 
 def attribution_orphans(ad_spend: DataFrame, attribution: DataFrame) -> DataFrame:

@@ -14,8 +14,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Small shuffles stay spread over the cores instead of collapsing into
+    # one task; large ones are sized by the 64 MB advisory target as usual.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # no Python call-site capture per Column (a debugging aid; costly on the driver)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
