@@ -139,6 +139,12 @@ def _frame(js: str | None, cols: list[str]) -> pd.DataFrame:
     return pd.read_json(StringIO(js), orient="split", dtype=False)
 
 
+def _append(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    if b.empty:
+        return a
+    return b.reset_index(drop=True) if a.empty else pd.concat([a, b], ignore_index=True)
+
+
 def _text(v) -> str | None:
     """A missing value is NULL, never the text 'NaN' / 'None'."""
     return None if v is None or (isinstance(v, float) and pd.isna(v)) else str(v)
@@ -166,8 +172,8 @@ def _attribute_customer(lookback_us: int):
                 if pdf.empty:
                     continue
                 pdf = pdf.assign(ts=_to_us(pdf["ts"]))
-                events = pd.concat([events, pdf.loc[pdf["kind"] == 0, _EV_COLS]], ignore_index=True)
-                orders = pd.concat([orders, pdf.loc[pdf["kind"] == 1, _OR_COLS]], ignore_index=True)
+                events = _append(events, pdf.loc[pdf["kind"] == 0, _EV_COLS])
+                orders = _append(orders, pdf.loc[pdf["kind"] == 1, _OR_COLS])
         events = events.astype({"ts": "int64", "tie": "int64"})
         orders = orders.astype({"ts": "int64"})
 
@@ -246,8 +252,11 @@ def stream_last_touch(touches: DataFrame, delay: str = "1 hour",
     before the watermark" plus the rows newer than the watermark (at most
     ``delay`` of them), instead of seven days of events. An order is
     emitted once the watermark passes its instant, so every event at or
-    before it has arrived. Orders arriving after the watermark are still
-    emitted, flagged ``late``.
+    before it has arrived. Input older than the watermark is dropped by
+    Spark's stateful operator (the standard late-data rule), so ``delay``
+    must cover the sources' lateness; the batch attribution job recomputes
+    in full and reconciles anything later. ``late`` marks an order at the
+    watermark whose candidate events were already folded away.
     """
     lookback_us = int(lookback_days) * 86_400 * 1_000_000
     # ship the state function by value: executors need not install this package
