@@ -85,13 +85,17 @@ def _event_cols(mode: str, as_of) -> list[Column]:
             source.alias("source"), _inserted(as_of).alias("inserted_at")]
 
 
-def normalize_events(raw: DataFrame, mode: str = "tolerant", as_of=None) -> DataFrame:
+def normalize_events(raw: DataFrame, mode: str = "tolerant", as_of=None,
+                     distinct: bool = True) -> DataFrame:
     """P5: normalised events, exact duplicate rows removed (SELECT DISTINCT).
 
     ``inserted_at`` is one value per run, so it never splits duplicates.
+    Streams pass ``distinct=False`` and de-duplicate within a watermark
+    instead (an unbounded streaming DISTINCT would keep state forever).
     """
     _check_mode(mode)
-    return raw.select(*_event_cols(mode, as_of)).distinct()
+    out = raw.select(*_event_cols(mode, as_of))
+    return out.distinct() if distinct else out
 
 
 def dedup_events(raw: DataFrame, key: str = "event_id", arrival: str = "ingest_seq",

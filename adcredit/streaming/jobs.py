@@ -38,13 +38,13 @@ def stream_events(raw_stream: DataFrame, delay: str = "1 hour", mode: str = "tol
     The first arrival is kept (a stream cannot wait for "the last" one); the
     state of an id is dropped once the watermark passes its event time.
     """
-    ev = normalize_events(raw_stream, mode, as_of=as_of) if "event_date" not in raw_stream.columns \
-        else raw_stream
+    ev = normalize_events(raw_stream, mode, as_of=as_of, distinct=False) \
+        if "event_date" not in raw_stream.columns else raw_stream
     return ev.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def stream_ingest(raw_stream: DataFrame, kind: str, path: str, checkpoint: str,
-                  mode: str = "tolerant", as_of=None):
+                  mode: str = "tolerant", as_of=None, delay: str = "1 hour"):
     """Normalise raw rows and append them to the partitioned fact table.
 
     The file sink with a checkpoint is exactly-once: a restarted query
@@ -54,7 +54,7 @@ def stream_ingest(raw_stream: DataFrame, kind: str, path: str, checkpoint: str,
     if kind == "orders":
         df, table = normalize_orders(raw_stream, mode, as_of=as_of), "fact_orders"
     elif kind == "events":
-        df, table = normalize_events(raw_stream, mode, as_of=as_of), "fact_events"
+        df, table = stream_events(raw_stream, delay, mode, as_of=as_of), "fact_events"
     else:
         raise ValueError(f"unsupported kind: {kind}")
     spec = FACTS[table]
