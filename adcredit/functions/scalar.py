@@ -31,6 +31,11 @@ def ratio_or_zero(num, den) -> Column:
     return F.coalesce(F.try_divide(_c(num), _c(den)), F.lit(0.0))
 
 
+def fixed_decimals(col, places: int = 2) -> Column:
+    """Display text with a fixed number of decimals (thousands separators)."""
+    return F.format_number(_c(col), places)
+
+
 def iso_date(col) -> Column:
     return F.date_format(_c(col), "yyyy-MM-dd")
 

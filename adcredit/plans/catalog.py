@@ -359,6 +359,17 @@ def _training_profile(w: Warehouse):
               "mean", "stddev")
 
 
+@register("training_preview", _features_sql("""
+SELECT metric_date, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _TRAIN_COLS) + """,
+       next_day_roas AS target_next_day_roas
+FROM features WHERE next_day_roas IS NOT NULL
+ORDER BY metric_date, """ + ", ".join(f"{c} NULLS FIRST" for c in _TRAIN_COLS) + """ LIMIT 5"""))
+def _training_preview(w: Warehouse):
+    """Head preview of the training extract (first five by date)."""
+    t = features.training_frame(features.features_with_target(w.fact_campaign_metrics), fill=None)
+    return _r(t.orderBy("metric_date", *_TRAIN_COLS).limit(5), *_ROLL)
+
+
 _LATEST_ROW_SEL = ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in _TRAIN_COLS)
 # (rolling columns arrive rounded from the features CTE; COALESCE keeps the value)
 
