@@ -29,21 +29,23 @@ STATS = ["n", "mean", "stddev", "median", "mad", "q1", "q3"]
 
 def _with_stats(series: DataFrame, metric: str, order_col: str,
                 series_cols: tuple[str, ...]) -> DataFrame:
-    pts = (series.filter(F.col(metric).isNotNull())
-           .select(*series_cols, order_col, F.col(metric).cast("double").alias("value")))
     whole = Window.partitionBy(*series_cols)
     by_value = Window.partitionBy(*series_cols).orderBy("value")
-    nth = lambda idx: F.max(F.when(F.col("idx") == idx, F.col("value"))).over(whole)
-    return (pts
-            .withColumn("n", F.count(F.lit(1)).over(whole))
-            .withColumn("idx", F.row_number().over(by_value) - 1)
-            .withColumn("mean", F.avg("value").over(whole))
-            .withColumn("stddev", F.stddev_pop("value").over(whole))
-            .withColumn("median", nth(F.expr("n div 2")))
-            .withColumn("q1", nth(F.expr("n div 4")))
-            .withColumn("q3", nth(F.least(F.col("n") - 1, F.expr("(3 * n) div 4"))))
-            .withColumn("mad", F.avg(F.abs(F.col("value") - F.col("median"))).over(whole))
-            .filter(F.col("n") >= 2))
+    pts = (series.filter(F.col(metric).isNotNull())
+           .select(*series_cols, order_col, F.col(metric).cast("double").alias("value")))
+    v = F.col("value")
+    ranked = pts.select("*", F.count(F.lit(1)).over(whole).alias("n"),
+                        (F.row_number().over(by_value) - 1).alias("idx"),
+                        F.avg(v).over(whole).alias("mean"),
+                        F.stddev_pop(v).over(whole).alias("stddev"))
+
+    def nth(idx):
+        return F.max(F.when(F.col("idx") == idx, v)).over(whole)
+
+    ordered = ranked.filter(F.col("n") >= 2).select(
+        "*", nth(F.expr("n div 2")).alias("median"), nth(F.expr("n div 4")).alias("q1"),
+        nth(F.least(F.col("n") - 1, F.expr("(3 * n) div 4"))).alias("q3"))
+    return ordered.select("*", F.avg(F.abs(v - F.col("median"))).over(whole).alias("mad"))
 
 
 def series_stats(series: DataFrame, metric: str, order_col: str = "date",
@@ -67,14 +69,14 @@ def detect_anomalies(series: DataFrame, metric: str, order_col: str = "date",
     s = _with_stats(series, metric, order_col, series_cols)
     prev = F.lag("value").over(Window.partitionBy(*series_cols).orderBy(order_col))
     v = F.col("value")
+    p = F.col("prev")
     z = F.when(F.col("stddev") != 0, (v - F.col("mean")) / F.col("stddev")).otherwise(F.lit(0.0))
     mz = F.when(F.col("mad") == 0, F.lit(0.0)).otherwise(
         MODIFIED_Z_FACTOR * (v - F.col("median")) / F.col("mad"))
     iqr = F.col("q3") - F.col("q1")
     outlier = (v < F.col("q1") - IQR_FACTOR * iqr) | (v > F.col("q3") + IQR_FACTOR * iqr)
-    pct = F.when(F.col("prev").isNotNull() & (F.col("prev") != 0),
-                 (v - F.col("prev")) / F.col("prev")).otherwise(F.lit(0.0))
-    scored = (s.withColumn("prev", prev)
+    pct = F.when(p.isNotNull() & (p != 0), (v - p) / p).otherwise(F.lit(0.0))
+    scored = (s.select("*", prev.alias("prev"))
               .select(*series_cols, order_col, "value", z.alias("z_score"),
                       mz.alias("modified_z_score"), outlier.alias("iqr_outlier"),
                       pct.alias("percent_change")))

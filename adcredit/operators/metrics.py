@@ -29,7 +29,8 @@ def latest_spend(ad_spend: DataFrame, tie: tuple[str, ...] = ("spend",)) -> Data
     return picked.select("campaign_id", "date", *[F.col(f"m.{c}").alias(c) for c in payload])
 
 
-def campaign_metrics(ad_spend: DataFrame, attribution: DataFrame, as_of=None) -> DataFrame:
+def campaign_metrics(ad_spend: DataFrame, attribution: DataFrame, as_of=None,
+                     unique_orders: bool = False) -> DataFrame:
     """A1 + J2 + A2 + F1.
 
     Spend rows left-joined to attribution on campaign and the touch's date,
@@ -43,13 +44,15 @@ def campaign_metrics(ad_spend: DataFrame, attribution: DataFrame, as_of=None) ->
     with the same value keeps the reference's arithmetic: revenue counts once
     per spend row, the distinct count does not (D4).
     """
-    per_day = (attribution
-               .filter(F.col("campaign_id").isNotNull() & F.col("touch_ts").isNotNull())
-               .select("campaign_id", F.to_date("touch_ts").alias("touch_date"), "order_id",
-                       "revenue")
-               .groupBy("campaign_id", "touch_date", "order_id")
-               .agg(F.sum(F.col("revenue").cast(MONEY)).alias("revenue"))
-               .groupBy("campaign_id", "touch_date")
+    attr = (attribution
+            .filter(F.col("campaign_id").isNotNull() & F.col("touch_ts").isNotNull())
+            .select("campaign_id", F.to_date("touch_ts").alias("touch_date"), "order_id",
+                    F.col("revenue").cast(MONEY).alias("revenue")))
+    if not unique_orders:
+        # order level first: the day-level count of order ids is then distinct
+        attr = (attr.groupBy("campaign_id", "touch_date", "order_id")
+                .agg(F.sum("revenue").alias("revenue")))
+    per_day = (attr.groupBy("campaign_id", "touch_date")
                .agg(F.sum("revenue").alias("day_revenue"),
                     F.count("order_id").alias("day_orders")))
     ad = ad_spend.select("campaign_id", "date", "spend")

@@ -119,7 +119,9 @@ class Warehouse:
 
     @cached_property
     def fact_campaign_metrics(self) -> DataFrame:
-        return campaign_metrics(self.fact_ad_spend, self.fact_attribution, as_of=self.as_of)
+        # last_touch emits one row per order_id
+        return campaign_metrics(self.fact_ad_spend, self.fact_attribution, as_of=self.as_of,
+                                unique_orders=True)
 
     @cached_property
     def data_health(self) -> DataFrame:
