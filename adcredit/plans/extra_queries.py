@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,6 +107,8 @@ def _model(w: Warehouse):
     key = w.sf_dir
     if key not in _MODELS:
         frame = feat.training_frame(feat.features_with_target(w.fact_campaign_metrics), fill=0.0)
+        # one row per campaign-day; train and test splits both read it
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
         train, test = forecast.split(frame, keys=("metric_date", "spend", "roas"))
         model = forecast.fit_forecast(train)
         path = forecast.save_model(model, shared_dir(w.spark, "roas_model"))
@@ -152,14 +155,12 @@ _DELAY_S = 3600
 _CHUNK_DAYS = 6
 
 
-def _land_in_chunks(df: DataFrame, ts_col: str, path: str) -> None:
-    """Write rows as successive files, each holding a later span of days."""
+def _arrivals(df: DataFrame, ts_col: str) -> list[DataFrame]:
+    """Split rows into successive spans of days: the order they arrive in."""
     day = F.datediff(F.to_date(ts_col), F.lit(_dt.date(2000, 1, 1)))
     chunked = df.withColumn("_chunk", F.floor(day / _CHUNK_DAYS))
-    chunks = [r[0] for r in chunked.select("_chunk").distinct().orderBy("_chunk").collect()]
-    for c in chunks:  # a handful of time spans, not rows
-        chunked.filter(F.col("_chunk") == c).drop("_chunk").coalesce(1) \
-            .write.mode("append").parquet(path)
+    spans = [r[0] for r in chunked.select("_chunk").distinct().orderBy("_chunk").collect()]
+    return [chunked.filter(F.col("_chunk") == c).drop("_chunk") for c in spans]  # a few spans
 
 
 def _run_available(query) -> None:
@@ -168,6 +169,15 @@ def _run_available(query) -> None:
         raise query.exception()
 
 
+def _land_and_stream(parts: list[DataFrame], src: str, start) -> None:
+    """Land each arrival (a parallel write) and run the stream over what is
+    available, restarting from the same checkpoint every time: state and
+    progress survive the restart, as after a driver or executor loss."""
+    for part in parts:
+        part.write.mode("append").parquet(src)
+        _run_available(start())
+
+
 @register("stream_last_touch", with_facts("fact_attribution") + f"""
 SELECT {_ATTR_COLS}, false AS late FROM fact_attribution""")
 def _stream_last_touch(w: Warehouse):
@@ -175,14 +185,16 @@ def _stream_last_touch(w: Warehouse):
     spark = w.spark
     src, out, ck = (shared_dir(spark, n) for n in ("touch-src", "touch-out", "touch-ck"))
     touches = sj.touch_stream(w.fact_orders, w.fact_events)
-    _land_in_chunks(touches, "ts", src)
     max_ts = touches.agg(F.max("ts")).first()[0]
-    sj.end_of_input_marker(spark, max_ts, _DELAY_S).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(sj.TOUCH_INPUT).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (sj.stream_last_touch(stream, f"{_DELAY_S} seconds").writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ck).outputMode("append")
-         .trigger(availableNow=True).start())
-    _run_available(q)
+    parts = _arrivals(touches, "ts") + [sj.end_of_input_marker(spark, max_ts, _DELAY_S)]
+
+    def start():
+        stream = spark.readStream.schema(sj.TOUCH_INPUT).parquet(src)
+        return (sj.stream_last_touch(stream, f"{_DELAY_S} seconds").writeStream
+                .format("parquet").option("path", out).option("checkpointLocation", ck)
+                .outputMode("append").trigger(availableNow=True).start())
+
+    _land_and_stream(parts, src, start)
     return spark.read.schema(sj.TOUCH_OUTPUT).parquet(out)
 
 
@@ -191,20 +203,21 @@ SELECT event_id, customer_id, event_ts, event_date, event_type, campaign_id, sou
 FROM fact_events""")
 def _stream_events(w: Warehouse):
     """Twice-delivered events, one row per event_id after the stream."""
+    from adcredit.schemas import RAW_EVENTS
     spark = w.spark
     src, out, ck = (shared_dir(spark, n) for n in ("events-src", "events-out", "events-ck"))
-    raw = w.raw_events
-    # the first deliveries land before the replays
-    raw.filter(F.col("source") != "replay").drop("ingest_seq").coalesce(1) \
-        .write.mode("append").parquet(src)
-    raw.filter(F.col("source") == "replay").drop("ingest_seq").coalesce(1) \
-        .write.mode("append").parquet(src)
-    from adcredit.schemas import RAW_EVENTS
-    stream = spark.readStream.schema(RAW_EVENTS).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (sj.stream_events(stream, f"{_DELAY_S} seconds", as_of=w.as_of).drop("inserted_at")
-         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
-    _run_available(q)
+    raw = w.raw_events.drop("ingest_seq")
+    # the first deliveries arrive before the replays
+    parts = [raw.filter(F.col("source") != "replay"), raw.filter(F.col("source") == "replay")]
+
+    def start():
+        stream = spark.readStream.schema(RAW_EVENTS).parquet(src)
+        return (sj.stream_events(stream, f"{_DELAY_S} seconds", as_of=w.as_of)
+                .drop("inserted_at").writeStream.format("parquet").option("path", out)
+                .option("checkpointLocation", ck).outputMode("append")
+                .trigger(availableNow=True).start())
+
+    _land_and_stream(parts, src, start)
     return spark.read.parquet(out)
 
 
@@ -212,13 +225,18 @@ def _stream_events(w: Warehouse):
 SELECT order_id, customer_id, order_ts, order_date, revenue, currency FROM fact_orders""")
 def _stream_ingest(w: Warehouse):
     """Raw text orders streamed into the date-partitioned fact table."""
+    from adcredit.schemas import RAW_ORDERS
     spark = w.spark
     src, out, ck = (shared_dir(spark, n) for n in ("orders-src", "orders-out", "orders-ck"))
-    _land_in_chunks(w.raw_orders.withColumn("_ts", F.col("order_ts").cast("timestamp")), "_ts",
-                    src)
-    from adcredit.schemas import RAW_ORDERS
-    stream = spark.readStream.schema(RAW_ORDERS).option("maxFilesPerTrigger", 1).parquet(src)
-    _run_available(sj.stream_ingest(stream, "orders", out, ck, as_of=w.as_of))
+    raw = w.raw_orders
+    parts = [p.select(*raw.columns) for p in
+             _arrivals(raw.withColumn("_ts", F.col("order_ts").cast("timestamp")), "_ts")]
+
+    def start():
+        stream = spark.readStream.schema(RAW_ORDERS).parquet(src)
+        return sj.stream_ingest(stream, "orders", out, ck, as_of=w.as_of)
+
+    _land_and_stream(parts, src, start)
     return read_fact(spark, "fact_orders", out).drop("inserted_at")
 
 
@@ -230,16 +248,19 @@ def _stream_counts(w: Warehouse):
     spark = w.spark
     src, out, ck = (shared_dir(spark, n) for n in ("counts-src", "counts-out", "counts-ck"))
     ev = w.fact_events.select("event_id", "event_ts", "campaign_id")
-    _land_in_chunks(ev, "event_ts", src)
     max_ts = ev.agg(F.max("event_ts")).first()[0]
-    marker = _dt.timedelta(days=1, seconds=_DELAY_S + 1)
-    spark.createDataFrame([("~end-of-input", max_ts + marker, "~end-of-input")], ev.schema) \
-        .coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (sj.stream_daily_counts(stream, f"{_DELAY_S} seconds").writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ck).outputMode("append")
-         .trigger(availableNow=True).start())
-    _run_available(q)
+    marker = spark.createDataFrame(
+        [("~end-of-input", max_ts + _dt.timedelta(days=1, seconds=_DELAY_S + 1), "~end-of-input")],
+        ev.schema)
+    parts = _arrivals(ev, "event_ts") + [marker]
+
+    def start():
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        return (sj.stream_daily_counts(stream, f"{_DELAY_S} seconds").writeStream
+                .format("parquet").option("path", out).option("checkpointLocation", ck)
+                .outputMode("append").trigger(availableNow=True).start())
+
+    _land_and_stream(parts, src, start)
     return spark.read.parquet(out)
 
 
@@ -251,10 +272,12 @@ def _stream_freshness(w: Warehouse):
     spark = w.spark
     src, health, ck = (shared_dir(spark, n) for n in ("fresh-src", "fresh-health", "fresh-ck"))
     o = w.fact_orders.select("order_id", "order_ts")
-    _land_in_chunks(o, "order_ts", src)
-    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (stream.writeStream.foreachBatch(sj.freshness_sink(health, "orders", "order_ts",
-                                                           as_of=w.as_of))
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
-    _run_available(q)
+
+    def start():
+        stream = spark.readStream.schema(o.schema).parquet(src)
+        return (stream.writeStream
+                .foreachBatch(sj.freshness_sink(health, "orders", "order_ts", as_of=w.as_of))
+                .option("checkpointLocation", ck).trigger(availableNow=True).start())
+
+    _land_and_stream(_arrivals(o, "order_ts"), src, start)
     return read_fact(spark, "data_health", health).select("source", "latest_timestamp", "status")
