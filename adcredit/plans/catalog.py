@@ -46,7 +46,7 @@ def _r(df: DataFrame, *cols: str) -> DataFrame:
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _out(fn(Warehouse(spark, sf_dir)))
+            return _out(fn(Warehouse.of(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

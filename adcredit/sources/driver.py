@@ -64,12 +64,26 @@ def tag_events(events: DataFrame) -> DataFrame:
 
 
 class Warehouse:
-    """The fact tables of one scale directory, as lazy DataFrames."""
+    """The fact tables of one scale directory, as lazy DataFrames.
+
+    Only plan definitions are kept: every action recomputes from the files.
+    """
+
+    _OPEN: dict[tuple[int, str, _dt.datetime], "Warehouse"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.datetime = AS_OF):
         ensure_utc(spark)
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, as_of: _dt.datetime = AS_OF) -> "Warehouse":
+        """The same view definitions for repeated queries in one session."""
+        ensure_utc(spark)
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"), as_of)
+        if key not in cls._OPEN:
+            cls._OPEN[key] = cls(spark, sf_dir, as_of)
+        return cls._OPEN[key]
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
