@@ -105,6 +105,15 @@ def latest_per_campaign(metrics: DataFrame, campaign_id: str | None = None) -> D
         .orderBy(F.col("attributed_revenue").desc(), F.col("campaign_id").asc()))
 
 
+def campaign_detail(metrics: DataFrame, campaign_id: str) -> DataFrame:
+    """Q2: the campaign's newest metrics; an unknown campaign raises
+    ``LookupError`` (the reference answers 404). One bounded action."""
+    row = latest_per_campaign(metrics, campaign_id)
+    if row.isEmpty():
+        raise LookupError(f"Campaign not found: {campaign_id}")
+    return row
+
+
 def portfolio_summary(latest: DataFrame) -> DataFrame:
     """Totals over the campaigns' latest rows; ratios 0 when undefined.
 

@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on sizes measured at run time (AQE), never on planner
+    # estimates, which can be far off after aggregations at scale.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Small shuffles stay spread over the cores instead of collapsing into
     # one task; large ones are sized by the 64 MB advisory target as usual.

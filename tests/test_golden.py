@@ -232,3 +232,14 @@ def test_row_count_properties(spark):
         | (F.col("touch_ts") < F.col("order_ts") - F.expr("INTERVAL 7 DAYS"))))
     assert bad.count() == 0
     Row  # noqa: B018
+
+
+def test_campaign_detail_unknown_raises(spark):
+    d = dt.date(2026, 8, 1)
+    m = spark.createDataFrame(
+        [("A", d, 100.0, 300.0, 3, 3.0, 33.3, dt.datetime(2026, 8, 2))],
+        "campaign_id string, metric_date date, spend double, attributed_revenue double, "
+        "conversions bigint, roas double, cac double, inserted_at timestamp")
+    assert metrics.campaign_detail(m, "A").collect()[0].roas == 3.0
+    with pytest.raises(LookupError):
+        metrics.campaign_detail(m, "missing")
