@@ -182,10 +182,22 @@ def _run_available(query) -> None:
 def _land_and_stream(parts: list[DataFrame], src: str, start) -> None:
     """Land each arrival (a parallel write) and run the stream over what is
     available, restarting from the same checkpoint every time: state and
-    progress survive the restart, as after a driver or executor loss."""
-    for part in parts:
-        part.write.mode("append").parquet(src)
-        _run_available(start())
+    progress survive the restart, as after a driver or executor loss.
+
+    State is partitioned min(configured shuffle partitions, cores): on a
+    cluster the configured value, on one machine no more partitions than
+    cores (the count is fixed in the checkpoint at the first start).
+    """
+    spark = parts[0].sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, min(int(before), spark.sparkContext.defaultParallelism))))
+    try:
+        for part in parts:
+            part.write.mode("append").parquet(src)
+            _run_available(start())
+    finally:
+        spark.conf.set(key, before)
 
 
 @register("stream_last_touch", with_facts("fact_attribution") + f"""
