@@ -52,7 +52,12 @@ def fit_forecast(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int =
                               maxDepth=max_depth, seed=seed, maxMemoryInMB=1024,
                               cacheNodeIds=True, checkpointInterval=10),
     ])
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    # the frame is small (campaign-days) but each row costs every tree:
+    # spread it over the cores, placed by a hash of its values (stable)
+    spark = train.sparkSession
+    spread = train.repartition(spark.sparkContext.defaultParallelism,
+                               *[F.col(c) for c in ("metric_date", *FEATURE_ORDER[:2])])
+    cached = spread.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipe.fit(cached)
     finally:
