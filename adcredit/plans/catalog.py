@@ -250,10 +250,10 @@ def _rows_spend_rev(w: Warehouse):
 # --------------------------------------------------------------------------
 
 _ROLLING_SQL = """
-       round(AVG(roas) OVER w, 6) AS rolling_7d_roas,
-       round(AVG(spend) OVER w, 6) AS rolling_7d_spend,
-       round(AVG(conversions) OVER w, 6) AS rolling_7d_conversions,
-       round(STDDEV_SAMP(roas) OVER w, 6) AS rolling_7d_volatility"""
+       (round(AVG(roas) OVER w, 6) + 0.0) AS rolling_7d_roas,
+       (round(AVG(spend) OVER w, 6) + 0.0) AS rolling_7d_spend,
+       (round(AVG(conversions) OVER w, 6) + 0.0) AS rolling_7d_conversions,
+       (round(STDDEV_SAMP(roas) OVER w, 6) + 0.0) AS rolling_7d_volatility"""
 _ROLL = ("rolling_7d_roas", "rolling_7d_spend", "rolling_7d_conversions", "rolling_7d_volatility")
 
 _FEATURES_CTE = """
@@ -339,8 +339,8 @@ def _training_frame_filled(w: Warehouse):
 
 
 @register("training_profile", _features_sql("""
-SELECT feature, CAST(COUNT(v) AS BIGINT) AS count, round(AVG(v), 6) AS mean,
-       round(STDDEV_SAMP(v), 6) AS stddev,
+SELECT feature, CAST(COUNT(v) AS BIGINT) AS count, (round(AVG(v), 6) + 0.0) AS mean,
+       (round(STDDEV_SAMP(v), 6) + 0.0) AS stddev,
        MIN(v) AS min, MAX(v) AS max
 FROM (""" + "\n  UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM features "
@@ -459,8 +459,8 @@ def _series_sql(metric: str, by_campaign: bool = False) -> str:
     FROM st
   ),
   alerts AS (
-    SELECT {key}date, metric, value, round(z_raw, 6) AS z_score,
-           round(mz_raw, 6) AS modified_z_score, iqr_outlier, round(pct_raw, 6) AS percent_change,
+    SELECT {key}date, metric, value, (round(z_raw, 6) + 0.0) AS z_score,
+           (round(mz_raw, 6) + 0.0) AS modified_z_score, iqr_outlier, (round(pct_raw, 6) + 0.0) AS percent_change,
       CASE
       WHEN ABS(z_raw) >= 3 OR ABS(mz_raw) >= 3 OR iqr_outlier OR ABS(pct_raw) >= 0.25 THEN 'high'
       WHEN ABS(z_raw) >= 2 OR ABS(mz_raw) >= 2 OR ABS(pct_raw) >= 0.15 THEN 'medium'
@@ -496,8 +496,8 @@ def _anomalies_by_campaign(w: Warehouse):
 
 @register("series_stats", with_facts(
     "fact_campaign_metrics", extra=_series_sql("roas", by_campaign=True)) + """
-SELECT campaign_id, CAST(MAX(n) AS BIGINT) AS n, round(MAX(mean), 6) AS mean,
-       round(MAX(sd), 6) AS stddev, MAX(median) AS median, round(MAX(mad), 6) AS mad,
+SELECT campaign_id, CAST(MAX(n) AS BIGINT) AS n, (round(MAX(mean), 6) + 0.0) AS mean,
+       (round(MAX(sd), 6) + 0.0) AS stddev, MAX(median) AS median, (round(MAX(mad), 6) + 0.0) AS mad,
        MAX(q1) AS q1, MAX(q3) AS q3
 FROM st GROUP BY campaign_id""")
 def _series_stats(w: Warehouse):
