@@ -31,15 +31,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[SparkSession, str], DataFrame] = {}
+
+
+def _live(spark: SparkSession) -> bool:
+    return spark.sparkContext._jsc is not None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet relation of one table (file listing and footer read once
     per session; the DataFrame is lazy, no data is cached)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _RELATIONS:
+    key = (spark, path)
+    if key not in _RELATIONS or not _live(spark):
         _RELATIONS[key] = spark.read.parquet(path)
     return _RELATIONS[key]
 
@@ -69,7 +73,7 @@ class Warehouse:
     Only plan definitions are kept: every action recomputes from the files.
     """
 
-    _OPEN: dict[tuple[int, str, _dt.datetime], "Warehouse"] = {}
+    _OPEN: dict[tuple[SparkSession, str, _dt.datetime], "Warehouse"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.datetime = AS_OF):
         ensure_utc(spark)
@@ -79,8 +83,8 @@ class Warehouse:
     def of(cls, spark: SparkSession, sf_dir: str, as_of: _dt.datetime = AS_OF) -> "Warehouse":
         """The same view definitions for repeated queries in one session."""
         ensure_utc(spark)
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"), as_of)
-        if key not in cls._OPEN:
+        key = (spark, sf_dir.rstrip("/"), as_of)
+        if key not in cls._OPEN or not _live(spark):
             cls._OPEN[key] = cls(spark, sf_dir, as_of)
         return cls._OPEN[key]
 
