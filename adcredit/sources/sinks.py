@@ -31,8 +31,10 @@ def conform(df: DataFrame, spec: FactSpec) -> DataFrame:
 def write_fact(df: DataFrame, table: str, path: str, mode: str = "append") -> bool:
     """S5-S7, S9, S10. Returns False when an empty append was skipped.
 
-    ``append``: an empty batch is a no-op. ``overwrite``: replaces the table,
-    an empty batch empties it (the reference's WRITE_TRUNCATE).
+    ``append``: an empty batch is a no-op, detected by one bounded
+    ``isEmpty()`` (a LIMIT 1 job; ingest batches are scans, so it stops
+    early). ``overwrite``: replaces the table, an empty batch empties it
+    (the reference's WRITE_TRUNCATE).
     """
     if mode not in ("append", "overwrite"):
         raise ValueError("mode must be 'append' or 'overwrite'")

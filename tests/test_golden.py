@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from adcredit.operators import anomaly, features, health, metrics, normalize
@@ -231,7 +230,6 @@ def test_row_count_properties(spark):
         (F.col("touch_ts") > F.col("order_ts"))
         | (F.col("touch_ts") < F.col("order_ts") - F.expr("INTERVAL 7 DAYS"))))
     assert bad.count() == 0
-    Row  # noqa: B018
 
 
 def test_campaign_detail_unknown_raises(spark):
