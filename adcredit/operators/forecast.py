@@ -19,11 +19,13 @@ from adcredit.session import checkpoint_root
 
 LABEL = "target_next_day_roas"
 
-# The reference's model settings.
+# The reference's model settings (every feature is a split
+# candidate at every node, bootstrap rows, 80/20 split).
 NUM_TREES = 200
 MAX_DEPTH = 12
 SEED = 42
 TEST_FRACTION = 0.2
+FEATURE_SUBSET = "all"
 
 
 def split(frame: DataFrame, keys: tuple[str, ...] = ("metric_date",),
@@ -48,7 +50,8 @@ def fit_forecast(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int =
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=FEATURE_ORDER, outputCol="features", handleInvalid="keep"),
         RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=num_trees,
-                              maxDepth=max_depth, seed=seed, maxMemoryInMB=1024,
+                              maxDepth=max_depth, seed=seed,
+                              featureSubsetStrategy=FEATURE_SUBSET, maxMemoryInMB=1024,
                               cacheNodeIds=True, checkpointInterval=10),
     ])
     # the frame is small (campaign-days) but each row costs every tree:
