@@ -67,17 +67,41 @@ def compact_events(spark: SparkSession, raw: DataFrame, root: str, as_of: _dt.da
     return wrote
 
 
-def attribution_job(spark: SparkSession, root: str, as_of: _dt.datetime) -> None:
+def attribution_job(spark: SparkSession, root: str, as_of: _dt.datetime,
+                    since: _dt.datetime | None = None, lookback_days: int = 7) -> None:
     """J1 -> replace fact_attribution -> A1 -> replace metrics -> freshness.
 
     Metrics read the attribution table just written (not a recomputation),
     and spend goes through ``latest_spend`` so keys are unique (D4).
+
+    ``since``: incremental mode. Only orders at or after ``since`` are
+    re-attributed; they need events from ``since - lookback`` on, so both
+    reads prune date partitions. The fresh rows replace those orders' old
+    rows (anti-join on order_id) and the merged table is checkpointed to
+    the shared folder before it replaces the old one. The result equals a
+    full recompute, except that an order id with rows on both sides of the
+    cutoff keeps only its newer rows' answer.
     """
     orders = read_fact(spark, "fact_orders", _path(root, "fact_orders"))
     events = read_fact(spark, "fact_events", _path(root, "fact_events"))
-    write_fact(last_touch(orders, events, as_of=as_of), "fact_attribution",
-               _path(root, "fact_attribution"), "overwrite")
-    attribution = read_fact(spark, "fact_attribution", _path(root, "fact_attribution"))
+    attr_path = _path(root, "fact_attribution")
+    if since is None:
+        write_fact(last_touch(orders, events, lookback_days=lookback_days, as_of=as_of),
+                   "fact_attribution", attr_path, "overwrite")
+    else:
+        start = since - _dt.timedelta(days=lookback_days)
+        recent_orders = orders.filter((F.col("order_date") >= F.lit(since.date()))
+                                      & (F.col("order_ts") >= F.lit(since)))
+        recent_events = events.filter((F.col("event_date") >= F.lit(start.date()))
+                                      & (F.col("event_ts") >= F.lit(start)))
+        fresh = last_touch(recent_orders, recent_events, lookback_days=lookback_days,
+                           as_of=as_of)
+        kept = read_fact(spark, "fact_attribution", attr_path) \
+            .join(recent_orders.select("order_id").distinct(), "order_id", "left_anti")
+        checkpoint_root(spark)
+        merged = kept.unionByName(fresh.select(*kept.columns)).checkpoint(eager=True)
+        write_fact(merged, "fact_attribution", attr_path, "overwrite")
+    attribution = read_fact(spark, "fact_attribution", attr_path)
     spend = latest_spend(read_fact(spark, "fact_ad_spend", _path(root, "fact_ad_spend")))
     write_fact(campaign_metrics(spend, attribution, as_of=as_of), "fact_campaign_metrics",
                _path(root, "fact_campaign_metrics"), "overwrite")

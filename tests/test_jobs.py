@@ -81,3 +81,16 @@ def test_keyset_page_walks_all_rows(spark):
         last = page[-1]
         after = (last.revenue, last.order_id)
     assert len(seen) == len(set(seen)) == df.count()
+
+
+def test_incremental_attribution_equals_full(spark, warehouse):
+    import datetime as dt
+    w, root = warehouse
+    full = {tuple(r) for r in read_fact(spark, "fact_attribution", f"{root}/fact_attribution")
+            .drop("inserted_at").collect()}
+    since = dt.datetime(2024, 1, 15, 6, 30)
+    assert w.fact_orders.filter(F.col("order_ts") >= F.lit(since)).count() > 50
+    jobs.attribution_job(spark, root, w.as_of, since=since)
+    again = {tuple(r) for r in read_fact(spark, "fact_attribution", f"{root}/fact_attribution")
+             .drop("inserted_at").collect()}
+    assert again == full and len(full) == w.fact_orders.count()
