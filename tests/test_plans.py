@@ -28,3 +28,36 @@ def test_plan_is_jvm_side_without_pair_joins(spark, name):
     for line in scans:
         assert "PushedFilters: [" in line and "event_type" in line.split("PushedFilters")[1], \
             f"{name}: event_type filter not pushed: {line[:200]}"
+
+
+def test_written_fact_prunes_partitions_and_sorts_by_cluster_keys(spark, tmp_path):
+    import datetime as dt
+    import os
+
+    from pyspark.sql import functions as F
+
+    from adcredit.sources.driver import Warehouse
+    from adcredit.sources.sinks import apply_retention, read_fact, write_fact
+
+    w = Warehouse.of(spark, SF_SMALL)
+    path = str(tmp_path / "fact_events")
+    write_fact(w.fact_events, "fact_events", path, "overwrite")
+    days = [d for d in os.listdir(path) if d.startswith("event_date=")]
+    assert len(days) == 30
+    import pyarrow.parquet as pq
+    for d in days[:5]:
+        for f in os.listdir(os.path.join(path, d)):
+            if f.endswith(".parquet"):
+                t = pq.read_table(os.path.join(path, d, f), columns=["campaign_id",
+                                                                     "customer_id"])
+                keys = [(c is not None, c or "", u or "") for c, u in
+                        zip(t["campaign_id"].to_pylist(), t["customer_id"].to_pylist())]
+                assert keys == sorted(keys)   # nulls first, then cluster-key order
+    ev = read_fact(spark, "fact_events", path)
+    kept = apply_retention(ev, "event_date", dt.date(2024, 7, 10))   # cutoff 2024-01-12
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters")[1]
+    assert kept.count() == w.fact_events.filter(F.col("event_date") >= dt.date(2024, 1, 12)).count()
+    one = ev.filter((F.col("event_date") == dt.date(2024, 1, 5)) & (F.col("campaign_id") == "camp_03"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "campaign_id" in plan.split("PushedFilters")[1].split("]")[0]
