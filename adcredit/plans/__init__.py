@@ -1,0 +1 @@
+"""Registered queries (with their DuckDB oracle), batch jobs and plan inspection."""

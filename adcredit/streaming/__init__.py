@@ -1,0 +1 @@
+"""Structured Streaming jobs: dedup, ingest, freshness, daily windows, last touch."""
