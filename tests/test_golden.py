@@ -241,3 +241,12 @@ def test_campaign_detail_unknown_raises(spark):
     assert metrics.campaign_detail(m, "A").collect()[0].roas == 3.0
     with pytest.raises(LookupError):
         metrics.campaign_detail(m, "missing")
+
+
+def test_feature_inputs_have_unique_keys(spark):
+    from adcredit.sources.driver import Warehouse
+    w = Warehouse.of(spark, "/root/testdata/sf0.001")
+    assert features.unique_key_violations(w.fact_campaign_metrics,
+                                          ["campaign_id", "metric_date"]).count() == 0
+    dup = w.fact_campaign_metrics.unionByName(w.fact_campaign_metrics.limit(1))
+    assert features.unique_key_violations(dup, ["campaign_id", "metric_date"]).count() == 1
