@@ -24,6 +24,7 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns[:3] == ["campaign_id", "metric_date", "spend"]
     assert df.count() > 0
+    assert entry.entry(spark).schema == df.schema      # stable across calls
 
 
 @pytest.mark.parametrize("name", sorted(k for k in SQL if k not in SLOW))
