@@ -568,6 +568,30 @@ def _page_attr(w: Warehouse):
     return rows
 
 
+@register("raw_orders_keyset_page", with_facts("fact_orders", extra="""
+  first_page AS (
+    SELECT revenue, order_id FROM fact_orders
+    ORDER BY revenue DESC NULLS LAST, order_id DESC LIMIT 50
+  ),
+  bound AS (
+    SELECT revenue, order_id FROM first_page ORDER BY revenue ASC, order_id ASC LIMIT 1
+  )""") + """
+SELECT o.order_id, o.customer_id, o.order_ts, o.order_date, o.revenue, o.currency, o.inserted_at
+FROM fact_orders o, bound b
+WHERE o.revenue < b.revenue OR (o.revenue = b.revenue AND o.order_id < b.order_id)
+ORDER BY o.revenue DESC, o.order_id DESC LIMIT 50""")
+def _keyset_orders(w: Warehouse):
+    """O4 keyset form: the page after the first 50 orders by revenue, found by
+    a (revenue, order_id) bound instead of an offset."""
+    first = drilldown.keyset_page(w.fact_orders, "fact_orders", None, order_by="revenue",
+                                  limit=50)
+    last = first.orderBy(F.col("revenue").asc(), F.col("order_id").asc()) \
+        .select("revenue", "order_id").first()          # one row: the page bound
+    cols = drilldown.PAGES["fact_orders"].columns
+    return drilldown.keyset_page(w.fact_orders, "fact_orders", (last.revenue, last.order_id),
+                                 order_by="revenue", limit=50).select(*cols)
+
+
 @register("page_count", with_facts("fact_events") + f"""
 SELECT COUNT(*) AS total_count, CAST(50 AS BIGINT) AS "offset",
        COUNT(*) > 75 AS has_next
