@@ -69,7 +69,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are copies of a row with a smaller id."""
+    """``docs``, every column, with one row of every group of equal texts.
+
+    The row with the smallest id stays; if that very row is repeated, one of its repetitions does.
+    """
     groups = exact_groups(docs, id_col, text_col)
-    keep = groups.filter(F.col(id_col) == F.col("keep_id")).select(id_col).distinct()
-    return docs.join(keep, id_col, "left_semi")
+    keep = written(groups.filter(F.col(id_col) == F.col("keep_id")).select(id_col, "digest"),
+                   "exact-keep")
+    out = docs.join(keep.select(id_col).distinct(), id_col, "left_semi")
+    if keep.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return out
+    # several rows share a winning id: tell their texts apart
+    digest = "".join(docs.columns) + "_digest"          # a name that no column has
+    own = docs.withColumn(digest, F.sha2(normalised(text_col), 256))
+    winners = keep.distinct().withColumnRenamed("digest", digest)
+    return own.join(winners, [id_col, digest], "left_semi") \
+        .dropDuplicates([id_col, digest]).drop(digest).select(*docs.columns)

@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adcredit.llm import exact_dedup, near_dedup, packing, token_count
+from adcredit.llm import (chat_views, contamination, exact_dedup, line_dedup, near_dedup, packing,
+                          sharding, suffix_dedup, token_count)
 from adcredit.llm import toxicity as tox
 from adcredit.llm.common import table
 
@@ -47,6 +48,34 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query("op3_chat_views", r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
+           row_number() OVER () AS row
+    FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
+segments AS (
+    SELECT t.conv_id, p.perspective, t.turn, t.speaker, t.text, t.row,
+           CASE WHEN t.speaker = p.perspective THEN '<|assistant|>' || chr(10)
+                WHEN t.speaker = 'system' THEN '<|system|>' || chr(10)
+                ELSE '<|user name=' || t.speaker || '|>' || chr(10) END
+           || t.text || '<|end|>' || chr(10) AS segment
+    FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+    SELECT *, row_number() OVER told - 1 AS position,
+           coalesce(sum(length(segment)) OVER (told ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           AS start
+    FROM segments
+    WINDOW told AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text, row))
+SELECT conv_id, perspective, position, turn, speaker, segment, CAST(start AS BIGINT) AS start,
+       CASE WHEN speaker = perspective THEN CAST(start + 14 AS BIGINT) END AS mask_start,
+       CASE WHEN speaker = perspective THEN CAST(start + length(segment) AS BIGINT) END AS mask_end
+FROM placed
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_views.perspectives(table(spark, sf_dir, "conversations"))
+
+
 @query("op4_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"),
@@ -55,6 +84,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+@query("op5_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op6_exact_dedup", r"""
 WITH d AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
@@ -70,6 +106,63 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("digest").alias("text_sha256"))
 
 
+@query("op7_contamination", r"""
+WITH texts AS (
+    SELECT 0 AS kind, doc_id AS id, text FROM documents
+    UNION ALL SELECT 1, item_id, text FROM benchmark),
+words AS (
+    SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'),
+        lambda w: w <> '') AS w
+    FROM texts),
+shingles AS (
+    SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+          FROM words WHERE len(w) > 0)),
+sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 1 GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, any_value(n) AS n_shingles, count(*) AS n_held
+FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 0 AND b.kind = 1
+JOIN sizes ON sizes.id = b.id
+GROUP BY d.id, b.id HAVING 100 * count(*) >= 75 * any_value(n)
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_line_dedup", r"""
+WITH lines AS (
+    SELECT doc_id, row, unnest(l) AS line, unnest(range(len(l))) AS pos
+    FROM (SELECT doc_id, row_number() OVER () AS row,
+                 string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines),
+common AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+    SELECT k.*, common.key IS NOT NULL AND k.doc_id <> last AS gone
+    FROM keyed k LEFT JOIN common ON k.key = common.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, row
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
