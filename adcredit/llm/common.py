@@ -36,7 +36,7 @@ def whole_text(column: str = "text"):
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered for at most ``bound`` words."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 200_000):
         super().__init__()
         self.bound = bound
 

@@ -85,7 +85,7 @@ def _sets(texts: list[str | None], memo: WordHashes, size: int) -> list[np.ndarr
     return [np.unique(shingle_hashes(words_of(t), memo, size)) for t in texts]
 
 
-def _parts(sets: list[np.ndarray], most: int = 2_000) -> Iterator[slice]:
+def _parts(sets, most: int = 300) -> Iterator[slice]:
     for i in range(0, len(sets), most):
         yield slice(i, i + most)
 
@@ -120,7 +120,7 @@ def profiler(size: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for b in batches:
-            for part in _parts(b.column(0), 500):
+            for part in _parts(b.column(0)):
                 sets = _sets(b.column(3)[part].to_pylist(), memo, size)
                 own = [len(s) > 0 and xxhash.xxh3_128_digest(s.tobytes()) == d
                        for s, d in zip(sets, b.column(2)[part].to_pylist())]
