@@ -16,9 +16,26 @@ def _c(x) -> Column:
 MONEY = "decimal(38,6)"
 
 
+def finite(col) -> Column:
+    """Neither NaN nor infinite (NULL stays NULL)."""
+    c = _c(col).cast("double")
+    return ~(F.isnan(c) | (F.abs(c) == float("inf")))
+
+
+def exact_sum(col) -> Column:
+    """Exact decimal sum of the finite amounts (see :func:`money_sum` for the others)."""
+    c = _c(col)
+    return F.sum(F.when(finite(c), c).cast(MONEY))
+
+
 def money_sum(col) -> Column:
-    """Exact, order-independent sum of an amount, returned as double."""
-    return F.sum(_c(col).cast(MONEY)).cast("double")
+    """Exact, order-independent sum of an amount, returned as double.
+
+    An amount that is NaN or infinite makes the sum NaN; it never drops out unseen. Ingest
+    quarantines such amounts, and those finer than the scale of ``MONEY``.
+    """
+    return F.when(F.coalesce(F.max(~finite(col)), F.lit(False)), F.lit(float("nan"))) \
+        .otherwise(exact_sum(col).cast("double"))
 
 
 def safe_divide(num, den) -> Column:
@@ -32,8 +49,12 @@ def ratio_or_zero(num, den) -> Column:
 
 
 def fixed_decimals(col, places: int = 2) -> Column:
-    """Display text with a fixed number of decimals (thousands separators)."""
-    return F.format_number(_c(col), places)
+    """display text with a fixed number of decimals, halves away from zero.
+
+    No thousands separators; NULL stays NULL.
+    """
+    c = _c(col).cast("double")
+    return F.when(c.isNotNull(), F.format_string(f"%.{int(places)}f", F.round(c, int(places))))
 
 
 def iso_date(col) -> Column:

@@ -3,7 +3,8 @@
 For each order, the customer's latest event with
 ``order_ts - lookback <= event_ts <= order_ts`` (both ends inclusive);
 orders without such an event are kept with NULL campaign / touch.
-Ties on ``event_ts`` are broken by the ``tie`` column, highest wins.
+Ties on ``event_ts`` are broken by ``event_id``, longer ids after shorter ones, then
+as text (so ``evt_10`` beats ``evt_9``); batch, job and stream share this rule.
 Several rows with one ``order_id`` collapse to the one with the latest
 touch (the reference partitions its ranking by ``order_id`` only).
 
@@ -40,8 +41,7 @@ _US_PER_SECOND = 1_000_000
 
 
 # One statement, so the whole operator is analysed once. {orders} and
-# {events} are DataFrame arguments; numbers and the tie column are formatted
-# in by the caller after validation.
+# {events} are DataFrame arguments; numbers are formatted in by the caller after validation.
 _LAST_TOUCH_SQL = """
 WITH od AS (
   SELECT order_id, customer_id, order_ts, max(revenue) AS revenue,
@@ -55,7 +55,7 @@ ev AS (
          named_struct('event_ts', event_ts, 'tie', tie, 'event_id', event_id,
                       'campaign_id', campaign_id) AS touch,
          CAST(floor(unix_micros(event_ts) / {bucket_us}) AS BIGINT) AS b
-  FROM (SELECT {distinct} customer_id, event_ts, `{tie}` AS tie,
+  FROM (SELECT {distinct} customer_id, event_ts, length(CAST(event_id AS STRING)) AS tie,
                CAST(event_id AS STRING) AS event_id, CAST(campaign_id AS STRING) AS campaign_id
         FROM {{events}}
         WHERE customer_id IS NOT NULL AND event_ts IS NOT NULL)
@@ -115,17 +115,15 @@ FROM best
 
 
 def last_touch(orders: DataFrame, events: DataFrame, lookback_days: int = 7,
-               tie: str = "event_id", bucket_seconds: int = 3600,
+               bucket_seconds: int = 3600,
                collapse_copies: bool = True, as_of=None) -> DataFrame:
     """J1 + W1: ``fact_attribution`` rows.
 
     ``orders``: order_id, customer_id, order_ts, revenue.
-    ``events``: event_id, customer_id, event_ts, campaign_id and ``tie``.
+    ``events``: event_id, customer_id, event_ts, campaign_id.
     Returns order_id, customer_id, campaign_id, touch_ts, revenue,
     inserted_at, touch_date.
     """
-    if tie not in events.columns:
-        raise ValueError(f"tie column {tie!r} not in events")
     lookback_us = int(lookback_days) * 86_400 * _US_PER_SECOND
     bucket_us = int(bucket_seconds) * _US_PER_SECOND
     if bucket_us <= 0:
@@ -134,7 +132,7 @@ def last_touch(orders: DataFrame, events: DataFrame, lookback_days: int = 7,
         inserted = "current_timestamp()"
     else:
         inserted = f"TIMESTAMP'{_dt.datetime.fromisoformat(str(as_of)).isoformat(sep=' ')}'"
-    sql = _LAST_TOUCH_SQL.format(bucket_us=bucket_us, lookback_us=lookback_us, tie=tie,
+    sql = _LAST_TOUCH_SQL.format(bucket_us=bucket_us, lookback_us=lookback_us,
                                  distinct="DISTINCT" if collapse_copies else "",
                                  inserted=inserted)
     return orders.sparkSession.sql(sql, orders=orders.select("order_id", "customer_id",

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adcredit.functions.predicates import apply_filters, date_range, equal_filters
@@ -57,7 +57,7 @@ def validate_page_args(table: str, order_by: str | None, limit: int, offset: int
         raise ValueError(f"unknown table: {table}")
     spec = PAGES[table]
     if order_by is not None and order_by not in spec.sort_fields:
-        raise ValueError(f"Unsupported sort field: {order_by}")
+        raise ValueError(f"{table} pages cannot be sorted by {order_by}")
     if not 1 <= int(limit) <= MAX_LIMIT:
         raise ValueError(f"limit must be within 1..{MAX_LIMIT}")
     if int(offset) < 0:
@@ -97,17 +97,34 @@ def page_info(count: DataFrame, page_index: int, size: int = DEFAULT_LIMIT) -> D
                         (F.col("total_count") > off + int(size)).alias("has_next"))
 
 
+def _below(cols: list[str], values: list) -> Column:
+    """Key columns strictly below ``values``, compared in order."""
+    out = F.lit(False)
+    for c, v in reversed(list(zip(cols, values))):
+        out = (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & out)
+    return out
+
+
 def keyset_page(df: DataFrame, table: str, after: tuple | None, order_by: str | None = None,
                 limit: int = DEFAULT_LIMIT, filters: dict | None = None, date_from=None,
                 date_to=None) -> DataFrame:
-    """Next page strictly after the last (sort value, key...) seen: the filter
-    prunes instead of skipping ``offset`` rows."""
+    """Next page strictly after the last (sort value, key...) seen.
+
+    ``sort <= last AND (sort < last OR key...)``: the first conjunct alone is a plain
+    comparison, so it prunes date partitions and is pushed into the scan. NULL sort values come
+    last, after every bound; a page that ended inside them continues by key.
+    """
     spec = validate_page_args(table, order_by, limit, 0)
     sort = order_by or spec.default_sort
     f = filtered(df, table, filters, date_from, date_to)
     cols = [sort] + [k for k in spec.key if k != sort]
     if after is not None:
-        t = F.struct(*[F.col(c) for c in cols])
-        bound = F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, after)])
-        f = f.filter(t < bound)
+        by_key = _below(cols[1:], list(after[1:]))
+        value = after[0]
+        if value is None:
+            f = f.filter(F.col(sort).isNull() & by_key)
+        else:
+            less = (F.col(sort) < F.lit(value)) | ((F.col(sort) == F.lit(value)) & by_key)
+            bounded = f.filter((F.col(sort) <= F.lit(value)) & less)
+            f = bounded.unionByName(f.filter(F.col(sort).isNull()))
     return f.orderBy(*[F.col(c).desc_nulls_last() for c in cols]).limit(int(limit))

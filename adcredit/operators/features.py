@@ -58,14 +58,15 @@ def features_with_events(metrics: DataFrame, events: DataFrame, window_rows: int
 _TRAIN_COLS = ["spend", "attributed_revenue", "conversions", "cac", "roas", *ROLLING]
 
 
-def training_frame(features: DataFrame, fill: float | None = 0.0) -> DataFrame:
-    """M1 / M2: rows with a known target; features NULL-filled.
+def training_frame(features: DataFrame, fill: float | None = 0.0,
+                   keys: tuple[str, ...] = ()) -> DataFrame:
+    """M1 / M2: rows with a known target; features NULL-filled (D16), ``keys`` in front.
 
     ``fill=None`` keeps NULL features (the extract used by the reference's
     trainer); ``fill=0`` is the loader's IFNULL form. The target column is
     renamed ``target_next_day_roas``.
     """
-    cols = [F.col("metric_date")]
+    cols = [F.col(k) for k in keys] + [F.col("metric_date")]
     for c in _TRAIN_COLS:
         v = F.col(c).cast("double")
         cols.append((v if fill is None else F.coalesce(v, F.lit(float(fill)))).alias(c))
@@ -95,6 +96,19 @@ def latest_feature_row(features: DataFrame, require_target: bool = False,
     return df.orderBy(F.col("metric_date").desc(), F.col("campaign_id").asc()).limit(1).select(*cols)
 
 
+def profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A10 / M9: count, mean, sample deviation, minimum, quartiles and maximum per column.
+
+    Quartiles are exact, linear between the two nearest values. They hold a
+    column's distinct values, which for the training frame are bounded by campaign-days.
+    """
+    stats = [F.count("v").alias("count"), F.avg("v").alias("mean"),
+             F.stddev_samp("v").alias("stddev"), F.min("v").alias("min"),
+             *[F.percentile("v", F.lit(p / 100)).alias(f"p{p}") for p in (25, 50, 75)],
+             F.max("v").alias("max")]
+    return df.unpivot([], columns, "feature", "v").groupBy("feature").agg(*stats)
+
+
 def unique_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys occurring more than once (J3/J4 would fan out on them, D5)."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1)

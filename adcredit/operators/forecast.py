@@ -28,13 +28,22 @@ TEST_FRACTION = 0.2
 FEATURE_SUBSET = "all"
 
 
-def split(frame: DataFrame, keys: tuple[str, ...] = ("metric_date",),
+def is_test(keys: tuple[str, ...], test_fraction: float = TEST_FRACTION, seed: int = SEED):
+    """The first 32 bits of md5("seed|key|..."), mod 10,000, at or above the cut.
+
+    Any engine can recompute it, so the membership of every row can be checked.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
+    return h >= int(round((1.0 - test_fraction) * 10_000))
+
+
+def split(frame: DataFrame, keys: tuple[str, ...] = ("campaign_id", "metric_date"),
           test_fraction: float = TEST_FRACTION, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """M3: 80/20 split by a hash of the row keys: the same rows land on the
     same side whatever the partitioning (``randomSplit`` is layout-dependent)."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
-    cut = int(round((1.0 - test_fraction) * 10_000))
-    return frame.filter(h < cut), frame.filter(h >= cut)
+    test = is_test(keys, test_fraction, seed)
+    return frame.filter(~test), frame.filter(test)
 
 
 def fit_forecast(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
@@ -68,7 +77,11 @@ def fit_forecast(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int =
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     """One row with MSE, R2 and the number of test rows."""
-    pred = model.transform(test)
+    return evaluate_predictions(model.transform(test))
+
+
+def evaluate_predictions(pred: DataFrame) -> DataFrame:
+    """MSE and R2 of any ``prediction`` column against the label."""
     err = F.col("prediction") - F.col(LABEL)
     agg = pred.agg(F.avg(err * err).alias("mse"),
                    F.sum(err * err).alias("sse"),

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adcredit.functions.predicates import apply_filters, date_range, optional_eq
-from adcredit.functions.scalar import MONEY, latest_struct, money_sum, ratio_or_zero, safe_divide
+from adcredit.functions.scalar import (MONEY, finite, latest_struct, money_sum, ratio_or_zero,
+                                       safe_divide)
 
 _MEASURES = ["spend", "attributed_revenue", "roas", "cac", "conversions"]
 
@@ -42,24 +43,27 @@ def campaign_metrics(ad_spend: DataFrame, attribution: DataFrame, as_of=None,
     (order level, then day level: an exact distinct count that is safe for
     hot keys), so the join never meets a skewed key. A spend row repeated
     with the same value keeps the reference's arithmetic: revenue counts once
-    per spend row, the distinct count does not (D4).
+    per spend row, the distinct count does not (D4). A revenue that is NaN or
+    infinite makes its day's revenue NaN.
     """
     attr = (attribution
             .filter(F.col("campaign_id").isNotNull() & F.col("touch_ts").isNotNull())
             .select("campaign_id", F.to_date("touch_ts").alias("touch_date"), "order_id",
-                    F.col("revenue").cast(MONEY).alias("revenue")))
+                    F.when(finite("revenue"), F.col("revenue")).cast(MONEY).alias("revenue"),
+                    F.coalesce(~finite("revenue"), F.lit(False)).alias("odd")))
     if not unique_orders:
         # order level first: the day-level count of order ids is then distinct
         attr = (attr.groupBy("campaign_id", "touch_date", "order_id")
-                .agg(F.sum("revenue").alias("revenue")))
+                .agg(F.sum("revenue").alias("revenue"), F.max("odd").alias("odd")))
     per_day = (attr.groupBy("campaign_id", "touch_date")
-               .agg(F.sum("revenue").alias("day_revenue"),
+               .agg(F.sum("revenue").alias("day_revenue"), F.max("odd").alias("odd"),
                     F.count("order_id").alias("day_orders")))
     ad = ad_spend.select("campaign_id", "date", "spend")
     joined = ad.join(per_day, (ad.campaign_id == per_day.campaign_id)
                      & (ad.date == per_day.touch_date), "left")
     grouped = (joined.groupBy(ad.campaign_id, ad.date, ad.spend)
-               .agg(F.coalesce(F.sum("day_revenue").cast("double"), F.lit(0.0))
+               .agg(F.when(F.max("odd"), F.lit(float("nan")))
+                    .otherwise(F.coalesce(F.sum("day_revenue").cast("double"), F.lit(0.0)))
                     .alias("attributed_revenue"),
                     F.coalesce(F.max("day_orders"), F.lit(0)).cast("bigint").alias("conversions")))
     inserted = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")

@@ -101,18 +101,21 @@ def _campaign_metrics(w: Warehouse):
     return w.fact_campaign_metrics.drop("inserted_at")
 
 
-@register("campaign_metrics_multirun", with_facts("ad_runs", "fact_attribution") + """
-SELECT ad.campaign_id, ad.date AS metric_date, ad.spend,
-       COALESCE(""" + money_sum("attr.revenue") + """, 0) AS attributed_revenue,
-       CASE WHEN ad.spend = 0 THEN NULL
-            ELSE COALESCE(""" + money_sum("attr.revenue") + """, 0) / ad.spend END AS roas,
-       CASE WHEN COUNT(DISTINCT attr.order_id) = 0 THEN NULL
-            ELSE ad.spend / COUNT(DISTINCT attr.order_id) END AS cac,
-       CAST(COUNT(DISTINCT attr.order_id) AS BIGINT) AS conversions
-FROM ad_runs ad
-LEFT JOIN fact_attribution attr
-  ON ad.campaign_id = attr.campaign_id AND ad.date = CAST(attr.touch_ts AS DATE)
-GROUP BY ad.campaign_id, ad.date, ad.spend""")
+@register("campaign_metrics_multirun", with_facts("ad_runs", "day_totals", extra="""
+  writes AS (
+    SELECT campaign_id, date, spend, COUNT(*) AS times FROM ad_runs GROUP BY ALL
+  ),
+  valued AS (
+    SELECT w.campaign_id, w.date AS metric_date, w.spend,
+           COALESCE(CAST(d.day_revenue * w.times AS DOUBLE), 0) AS attributed_revenue,
+           COALESCE(d.day_orders, 0) AS orders
+    FROM writes w LEFT JOIN day_totals d
+      ON d.campaign_id = w.campaign_id AND d.touch_date = w.date
+  )""") + """
+SELECT campaign_id, metric_date, spend, attributed_revenue,
+       attributed_revenue / NULLIF(spend, 0) AS roas, spend / NULLIF(orders, 0) AS cac,
+       CAST(orders AS BIGINT) AS conversions
+FROM valued""")
 def _campaign_metrics_multirun(w: Warehouse):
     """A1 over every hourly spend write (repeated keys, D4)."""
     return metrics.campaign_metrics(w.ad_runs, w.fact_attribution).drop("inserted_at")
@@ -174,24 +177,30 @@ def _campaign_latest(w: Warehouse):
     return metrics.latest_per_campaign(w.fact_campaign_metrics, CAMPAIGN)
 
 
+def _latest_writes(where: str = "") -> str:
+    """Latest write per campaign-day, by arg_max on (write time, spend)."""
+    return f"""
+  latest_writes AS (
+    SELECT campaign_id, metric_date, w.spend AS spend, w.revenue AS attributed_revenue,
+           w.conversions AS conversions
+    FROM (SELECT campaign_id, metric_date,
+                 arg_max(struct_pack(spend := spend, revenue := attributed_revenue,
+                                     conversions := conversions), epoch_us(inserted_at)) AS w
+          FROM fact_campaign_metrics {where} GROUP BY campaign_id, metric_date)
+  )"""
+
+
 def _trend_sql(where: str) -> str:
-    return with_facts("fact_campaign_metrics", extra=f"""
-  deduped AS (
-    SELECT campaign_id, metric_date, spend, attributed_revenue, conversions FROM (
-      SELECT *, ROW_NUMBER() OVER (
-          PARTITION BY campaign_id, metric_date
-          ORDER BY inserted_at DESC NULLS LAST, spend DESC NULLS LAST,
-                   attributed_revenue DESC NULLS LAST, conversions DESC NULLS LAST) AS rn
-      FROM fact_campaign_metrics {where}) WHERE rn = 1
+    return with_facts("fact_campaign_metrics", extra=_latest_writes(where) + """,
+  days AS (
+    SELECT metric_date, """ + money_sum("spend") + """ AS spend,
+           """ + money_sum("attributed_revenue") + """ AS attributed_revenue,
+           CAST(SUM(conversions) AS BIGINT) AS conversions
+    FROM latest_writes GROUP BY metric_date
   )""") + """
-SELECT CAST(metric_date AS VARCHAR) AS date, """ + money_sum("spend") + """ AS spend,
-       """ + money_sum("attributed_revenue") + """ AS attributed_revenue,
-       CAST(SUM(conversions) AS BIGINT) AS conversions,
-       CASE WHEN SUM(spend) = 0 THEN NULL
-            ELSE """ + money_sum("attributed_revenue") + " / " + money_sum("spend") + """ END AS roas,
-       CASE WHEN SUM(conversions) = 0 THEN NULL
-            ELSE """ + money_sum("spend") + """ / SUM(conversions) END AS cac
-FROM deduped GROUP BY metric_date ORDER BY metric_date"""
+SELECT CAST(metric_date AS VARCHAR) AS date, spend, attributed_revenue, conversions,
+       attributed_revenue / NULLIF(spend, 0) AS roas, spend / NULLIF(conversions, 0) AS cac
+FROM days ORDER BY metric_date"""
 
 
 @register("trend_all", _trend_sql(""))
@@ -249,31 +258,38 @@ def _rows_spend_rev(w: Warehouse):
 # Features and training frames
 # --------------------------------------------------------------------------
 
-_ROLLING_SQL = """
-       (round(AVG(roas) OVER w, 6) + 0.0) AS rolling_7d_roas,
-       (round(AVG(spend) OVER w, 6) + 0.0) AS rolling_7d_spend,
-       (round(AVG(conversions) OVER w, 6) + 0.0) AS rolling_7d_conversions,
-       (round(STDDEV_SAMP(roas) OVER w, 6) + 0.0) AS rolling_7d_volatility"""
 _ROLL = ("rolling_7d_roas", "rolling_7d_spend", "rolling_7d_conversions", "rolling_7d_volatility")
 
-_FEATURES_CTE = """
-  base AS (
-    SELECT campaign_id, metric_date, spend, attributed_revenue, conversions, cac, roas
-    FROM fact_campaign_metrics
-  ),
-  rolling AS (
-    SELECT campaign_id, metric_date,""" + _ROLLING_SQL + """
-    FROM base
-    WINDOW w AS (PARTITION BY campaign_id ORDER BY metric_date
-                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+
+def _week_sql(source: str, date: str) -> str:
+    """Averages over a row and the six rows before it, by a self-join on row numbers."""
+    return f"""
+  numbered AS (
+    SELECT *, (SELECT COUNT(*) FROM {source} p
+               WHERE p.campaign_id = c.campaign_id AND p.{date} < c.{date}) AS place
+    FROM {source} c
   ),
+  week AS (
+    SELECT c.campaign_id, c.{date},
+           round(AVG(p.roas), 6) + 0.0 AS rolling_7d_roas,
+           round(AVG(p.spend), 6) + 0.0 AS rolling_7d_spend,
+           round(AVG(p.conversions), 6) + 0.0 AS rolling_7d_conversions,
+           round(STDDEV_SAMP(p.roas), 6) + 0.0 AS rolling_7d_volatility
+    FROM numbered c, numbered p
+    WHERE p.campaign_id = c.campaign_id AND c.place - p.place BETWEEN 0 AND 6
+    GROUP BY c.campaign_id, c.{date}
+  )"""
+
+
+_FEATURES_CTE = _week_sql("fact_campaign_metrics", "metric_date") + """,
   features AS (
-    SELECT b.*, r.rolling_7d_roas, r.rolling_7d_spend, r.rolling_7d_conversions,
-           r.rolling_7d_volatility, t.roas AS next_day_roas
-    FROM base b
-    JOIN rolling r USING (campaign_id, metric_date)
-    LEFT JOIN base t
-      ON b.campaign_id = t.campaign_id AND b.metric_date + INTERVAL 1 DAY = t.metric_date
+    SELECT m.campaign_id, m.metric_date, m.spend, m.attributed_revenue, m.conversions, m.cac,
+           m.roas, week.* EXCLUDE (campaign_id, metric_date),
+           (SELECT MAX(t.roas) FROM fact_campaign_metrics t
+            WHERE t.campaign_id = m.campaign_id AND t.metric_date = m.metric_date + 1)
+           AS next_day_roas
+    FROM fact_campaign_metrics m, week
+    WHERE week.campaign_id = m.campaign_id AND week.metric_date = m.metric_date
   )"""
 
 
@@ -293,20 +309,21 @@ def _features_target(w: Warehouse):
 
 
 @register("features_events", with_facts("fact_campaign_metrics", "fact_events", extra="""
-  ev AS (
-    SELECT CAST(event_ts AS DATE) AS date, campaign_id, COUNT(*) AS events_count
-    FROM fact_events GROUP BY 1, 2
+  per_day AS (
+    SELECT event_date, map_from_entries(list((campaign_id, n))) AS by_campaign
+    FROM (SELECT event_date, campaign_id, COUNT(*) AS n FROM fact_events
+          WHERE campaign_id IS NOT NULL GROUP BY ALL) GROUP BY event_date
   ),
-  joined AS (
-    SELECT b.metric_date AS date, b.campaign_id, b.spend, b.attributed_revenue, b.conversions,
-           b.cac, b.roas, CAST(COALESCE(e.events_count, 0) AS BIGINT) AS events_count
-    FROM fact_campaign_metrics b
-    LEFT JOIN ev e ON b.metric_date = e.date AND b.campaign_id = e.campaign_id
-  )""") + """
-SELECT *,""" + _ROLLING_SQL + """
-FROM joined
-WINDOW w AS (PARTITION BY campaign_id ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
-ORDER BY date, campaign_id""")
+  counted AS (
+    SELECT m.metric_date AS date, m.campaign_id, m.spend, m.attributed_revenue, m.conversions,
+           m.cac, m.roas,
+           CAST(COALESCE((SELECT by_campaign[m.campaign_id] FROM per_day
+                          WHERE event_date = m.metric_date), 0) AS BIGINT) AS events_count
+    FROM fact_campaign_metrics m
+  ),""" + _week_sql("counted", "date")) + """
+SELECT counted.*, week.* EXCLUDE (campaign_id, date)
+FROM counted, week WHERE week.campaign_id = counted.campaign_id AND week.date = counted.date
+ORDER BY counted.date, counted.campaign_id""")
 def _features_events(w: Warehouse):
     """W11 (+ A3, J5, W5-W8)."""
     return _r(features.features_with_events(w.fact_campaign_metrics, w.fact_events), *_ROLL) \
@@ -338,25 +355,25 @@ def _training_frame_filled(w: Warehouse):
                                       fill=0.0), *_ROLL).orderBy("metric_date")
 
 
+_PROFILE = {"mean": "AVG(v)", "stddev": "STDDEV_SAMP(v)", "min": "MIN(v)",
+            "p25": "quantile_cont(v, 0.25)", "p50": "quantile_cont(v, 0.5)",
+            "p75": "quantile_cont(v, 0.75)", "max": "MAX(v)"}
+
+
 @register("training_profile", _features_sql("""
-SELECT feature, CAST(COUNT(v) AS BIGINT) AS count, (round(AVG(v), 6) + 0.0) AS mean,
-       (round(STDDEV_SAMP(v), 6) + 0.0) AS stddev,
-       MIN(v) AS min, MAX(v) AS max
+SELECT feature, CAST(COUNT(v) AS BIGINT) AS count, """ + ", ".join(
+    f"round({e}, 5) + 0.0 AS {c}" for c, e in _PROFILE.items()) + """
 FROM (""" + "\n  UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM features "
     f"WHERE next_day_roas IS NOT NULL" for c in _TRAIN_COLS + ["next_day_roas"]) + """)
 GROUP BY feature"""))
 def _training_profile(w: Warehouse):
-    """M9 / A10: describe() of the training frame, one row per column."""
-    t = features.training_frame(features.features_with_target(w.fact_campaign_metrics),
-                                fill=None).withColumnRenamed("target_next_day_roas",
-                                                             "next_day_roas")
-    cols = _TRAIN_COLS + ["next_day_roas"]
-    long = t.unpivot([], cols, "feature", "v")
-    return _r(long.groupBy("feature").agg(F.count("v").alias("count"), F.avg("v").alias("mean"),
-                                       F.stddev_samp("v").alias("stddev"),
-                                       F.min("v").alias("min"), F.max("v").alias("max")),
-              "mean", "stddev")
+    """M9 / A10: describe() of the training frame, one row per column, with exact
+    quartiles (linear between the two nearest values)."""
+    t = _r(features.training_frame(features.features_with_target(w.fact_campaign_metrics),
+                                   fill=None), *_ROLL) \
+        .withColumnRenamed("target_next_day_roas", "next_day_roas")
+    return round_doubles(features.profile(t, _TRAIN_COLS + ["next_day_roas"]), 5)
 
 
 @register("training_preview", _features_sql("""
@@ -407,26 +424,18 @@ def _latest_serving_pc(w: Warehouse):
 # Anomalies
 # --------------------------------------------------------------------------
 
-def _series_sql(metric: str, by_campaign: bool = False) -> str:
+def _series_sql(metric: str, by_campaign: bool = False, where: str = "") -> str:
     num, den = metrics.METRIC_AGGREGATES[metric]
+    writes = _latest_writes(where).strip("\n")
     key = "campaign_id, " if by_campaign else ""
 
     def total(c):
         return "CAST(SUM(conversions) AS DOUBLE)" if c == "conversions" else money_sum(c)
     return f"""
-  deduped AS (
-    SELECT campaign_id, metric_date, spend, attributed_revenue, conversions FROM (
-      SELECT *, ROW_NUMBER() OVER (
-          PARTITION BY campaign_id, metric_date
-          ORDER BY inserted_at DESC NULLS LAST, spend DESC NULLS LAST,
-                   attributed_revenue DESC NULLS LAST, conversions DESC NULLS LAST) AS rn
-      FROM fact_campaign_metrics) WHERE rn = 1
-  ),
+{writes},
   series AS (
-    SELECT {key}CAST(metric_date AS VARCHAR) AS date,
-           CASE WHEN SUM({den}) = 0 THEN NULL
-                ELSE {total(num)} / {total(den)} END AS v
-    FROM deduped GROUP BY {key}metric_date
+    SELECT {key}CAST(metric_date AS VARCHAR) AS date, {total(num)} / NULLIF({total(den)}, 0) AS v
+    FROM latest_writes GROUP BY {key}metric_date
   ),
   pts AS (
     SELECT {key}date, v,
@@ -485,6 +494,28 @@ def _anomalies_cac(w: Warehouse):
     return _r(anomaly.detect_anomalies(s, "cac"), "z_score", "modified_z_score", "percent_change")
 
 
+_FILTER = (f"WHERE campaign_id = '{CAMPAIGN}' AND metric_date >= DATE '{DATE_FROM}' "
+           f"AND metric_date <= DATE '{DATE_TO}'")
+
+
+@register("anomalies_roas_filtered", with_facts(
+    "fact_campaign_metrics", extra=_series_sql("roas", where=_FILTER))
+    + "SELECT * FROM alerts ORDER BY date")
+def _anomalies_roas_filtered(w: Warehouse):
+    """Q8 with its filters: one campaign, a date range."""
+    s = metrics.metric_series(w.fact_campaign_metrics, "roas", CAMPAIGN, DATE_FROM, DATE_TO)
+    return _r(anomaly.detect_anomalies(s, "roas"), "z_score", "modified_z_score", "percent_change")
+
+
+@register("anomalies_cac_filtered", with_facts(
+    "fact_campaign_metrics", extra=_series_sql("cac", where=_FILTER))
+    + "SELECT * FROM alerts ORDER BY date")
+def _anomalies_cac_filtered(w: Warehouse):
+    """Q9 with its filters."""
+    s = metrics.metric_series(w.fact_campaign_metrics, "cac", CAMPAIGN, DATE_FROM, DATE_TO)
+    return _r(anomaly.detect_anomalies(s, "cac"), "z_score", "modified_z_score", "percent_change")
+
+
 @register("anomalies_by_campaign", with_facts(
     "fact_campaign_metrics", extra=_series_sql("roas", by_campaign=True))
     + "SELECT * FROM alerts ORDER BY campaign_id, date")
@@ -588,8 +619,9 @@ def _keyset_orders(w: Warehouse):
     last = first.orderBy(F.col("revenue").asc(), F.col("order_id").asc()) \
         .select("revenue", "order_id").first()          # one row: the page bound
     cols = drilldown.PAGES["fact_orders"].columns
-    return drilldown.keyset_page(w.fact_orders, "fact_orders", (last.revenue, last.order_id),
-                                 order_by="revenue", limit=50).select(*cols)
+    after = (last.revenue, last.order_id) if last is not None else None   # no orders: no bound
+    return drilldown.keyset_page(w.fact_orders, "fact_orders", after, order_by="revenue",
+                                 limit=50).select(*cols)
 
 
 @register("page_count", with_facts("fact_events") + f"""
@@ -703,6 +735,52 @@ def _normalize_ads_strict(w: Warehouse):
     return normalize.normalize_ads(good, "strict", as_of=w.as_of).drop("inserted_at")
 
 
+# Texts that a cast alone would take, and values that break a rule, by event number mod 16.
+_BAD_REVENUE = ["12.5d", "Infinity", "NaN", "1f", "-3", "0.0000001", "abc", " 7.25 "]
+_BAD_TS = ["12:30", "2024", "2024-13-01 00:00:00", "2024-01-05", "2024-01-05T10:00:00Z"]
+
+
+def _bad_orders(w: Warehouse) -> DataFrame:
+    """The raw orders, most with one bad field."""
+    o = w.raw_orders.withColumn("n", F.substring("order_id", 5, 20).cast("bigint") % 16)
+    revenue, ts = F.col("revenue"), F.col("order_ts")
+    for i, v in enumerate(_BAD_REVENUE):
+        revenue = F.when(F.col("n") == i, F.lit(v)).otherwise(revenue)
+    for i, v in enumerate(_BAD_TS):
+        ts = F.when(F.col("n") == 8 + i, F.lit(v)).otherwise(ts)
+    customer = F.when(F.col("n") == 13, F.lit(None)).otherwise(F.col("customer_id"))
+    return o.select("order_id", customer.alias("customer_id"), ts.alias("order_ts"),
+                    revenue.alias("revenue"), "currency")
+
+
+@register("normalize_bad_input", with_facts("fact_orders", extra="""
+  numbered AS (SELECT *, CAST(substr(order_id, 5) AS BIGINT) % 16 AS n FROM fact_orders),
+  judged AS (
+    SELECT order_id, CASE n WHEN 4 THEN 'revenue is negative'
+        WHEN 5 THEN 'revenue is finer than 6 decimals' WHEN 13 THEN 'customer_id is null'
+        WHEN 8 THEN 'order_ts is null; order_date is null'
+        WHEN 9 THEN 'order_ts is null; order_date is null'
+        WHEN 10 THEN 'order_ts is null; order_date is null'
+        ELSE CASE WHEN n IN (0, 1, 2, 3, 6) THEN 'revenue is null' END END AS violations,
+      CASE WHEN n = 11 THEN TIMESTAMP '2024-01-05 00:00:00'
+           WHEN n = 12 THEN TIMESTAMP '2024-01-05 10:00:00' ELSE order_ts END AS order_ts,
+      CASE WHEN n = 7 THEN 7.25 ELSE revenue END AS revenue
+    FROM numbered
+  )""") + """
+SELECT order_id, CASE WHEN violations IS NULL THEN order_ts END AS order_ts,
+       CASE WHEN violations IS NULL THEN revenue END AS revenue, violations
+FROM judged""")
+def _normalize_bad_input(w: Warehouse):
+    """P3 + P17 on input with a bad field in most rows: every row is accepted or rejected."""
+    good, bad = normalize.accept(_bad_orders(w), "orders", as_of=w.as_of)
+    return good.select("order_id", "order_ts", "revenue",
+                       F.lit(None).cast("string").alias("violations")).unionByName(bad.select(
+                           F.get_json_object("raw", "$.order_id").alias("order_id"),
+                           F.lit(None).cast("timestamp").alias("order_ts"),
+                           F.lit(None).cast("double").alias("revenue"),
+                           F.array_join("violations", "; ").alias("violations")))
+
+
 @register("normalize_orders", with_facts("fact_orders") + """
 SELECT order_id, customer_id, TRY_CAST(CAST(order_ts AS VARCHAR) AS TIMESTAMP) AS order_ts,
        CAST(order_ts AS DATE) AS order_date, TRY_CAST(CAST(revenue AS VARCHAR) AS DOUBLE) AS revenue,

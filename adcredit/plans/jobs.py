@@ -1,14 +1,15 @@
 """Batch jobs B1-B6: the scheduled tasks, as Spark jobs over fact tables.
 
 A warehouse is a root folder (on the shared file system) holding one
-folder per fact table. Jobs read and write there; every write is either
-an append (ingest) or a full replace of a derived table (attribution,
-metrics, features), as in the reference.
+folder per fact table (layout: ``sources/sinks.py``). Ingest jobs quarantine what breaks a rule
+and append the rest; derived tables (attribution, metrics, features) are replaced by a new version,
+or, in incremental mode, partition by partition.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,126 +19,232 @@ from adcredit.operators import forecast
 from adcredit.operators.attribution import last_touch
 from adcredit.operators.health import upsert_freshness
 from adcredit.operators.metrics import campaign_metrics, latest_spend
-from adcredit.operators.normalize import dedup_events, normalize_ads, normalize_orders
+from adcredit.operators.normalize import accept, last_arrivals
 from adcredit.schemas import FACTS
-from adcredit.session import checkpoint_root
-from adcredit.sources.sinks import conform, read_fact, write_fact
+from adcredit.session import shared_dir
+from adcredit.sources import files
+from adcredit.sources.sinks import expire_partitions, read_fact, replace_partitions, write_fact
+
+SOURCE_PREFIX = "source-"
 
 
 def _path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def update_freshness(spark: SparkSession, root: str, source: str, ts, as_of=None) -> None:
-    """S8 as a job step: MERGE one source's timestamp into ``data_health``.
+# -- freshness ---------------------------------------------------------------
 
-    The merged table is checkpointed to the shared folder first, so
-    replacing the table never reads the files being deleted.
+def merge_freshness(spark: SparkSession, root: str, incoming: DataFrame, source: str,
+                    as_of=None) -> None:
+    """MERGE one source's rows of ``incoming`` into ``data_health``.
+
+    Every source has its own versioned folder, so jobs of different sources never
+    overwrite each other, and a job that dies leaves the version before. Two runs for one
+    source at once: the later version stays, as with any last write.
     """
-    path = _path(root, "data_health")
+    path = f"{_path(root, 'data_health')}/{SOURCE_PREFIX}{quote(source, safe='')}"
+    mine = incoming.filter(F.col("source") == source)
+    existing = read_fact(spark, "data_health", path, missing="empty")
+    write_fact(upsert_freshness(existing, mine, as_of=as_of), "data_health", path, "overwrite")
+
+
+def update_freshness(spark: SparkSession, root: str, source: str, ts, as_of=None) -> None:
+    """S8 as a job step: one source's timestamp."""
     incoming = spark.createDataFrame([(source, ts)], "source string, latest_timestamp timestamp")
-    merged = upsert_freshness(read_fact(spark, "data_health", path), incoming, as_of=as_of)
-    checkpoint_root(spark)
-    merged = merged.checkpoint(eager=True)
-    conform(merged, FACTS["data_health"]).write.mode("overwrite").parquet(path)
+    merge_freshness(spark, root, incoming, source, as_of)
 
 
-def ingest_ads(spark: SparkSession, raw: DataFrame, root: str, as_of: _dt.datetime) -> bool:
-    """B1: raw ads -> strict normalise -> append fact_ad_spend -> freshness."""
-    wrote = write_fact(normalize_ads(raw, "strict", as_of=as_of), "fact_ad_spend",
-                       _path(root, "fact_ad_spend"), "append")
-    update_freshness(spark, root, "ads", as_of, as_of)
-    return wrote
+def read_health(spark: SparkSession, root: str) -> DataFrame:
+    """``data_health``: the current rows of all sources."""
+    base = _path(root, "data_health")
+    out = spark.createDataFrame([], FACTS["data_health"].schema)
+    for name in files.folders(spark, base):
+        if name.startswith(SOURCE_PREFIX):
+            out = out.unionByName(read_fact(spark, "data_health", f"{base}/{name}",
+                                            missing="empty"))
+    return out
 
 
-def ingest_orders(spark: SparkSession, raw: DataFrame, root: str, as_of: _dt.datetime) -> bool:
-    """B2: raw orders -> strict normalise -> append fact_orders -> freshness."""
-    wrote = write_fact(normalize_orders(raw, "strict", as_of=as_of), "fact_orders",
-                       _path(root, "fact_orders"), "append")
-    update_freshness(spark, root, "orders", as_of, as_of)
+# -- ingest ------------------------------------------------------------------
+
+def _ingest(spark: SparkSession, raw: DataFrame, kind: str, table: str, root: str, as_of,
+            mode: str, arrival: str | None = None) -> bool:
+    """Accepted rows are appended to the fact table, rejected ones to ``quarantine``.
+
+    ``mode="strict"`` fails on the first bad value instead. The emptiness test reads the raw
+    input, not the (shuffled) result.
+    """
+    good, bad = accept(raw, kind, mode, as_of, keep=(arrival,) if arrival else ())
+    if arrival:
+        good = last_arrivals(good, arrival=arrival)
+    wrote = write_fact(good, table, _path(root, table), "append", probe=raw)
+    write_fact(bad, "quarantine", _path(root, "quarantine"), "append")
+    update_freshness(spark, root, kind, as_of, as_of)
     return wrote
 
 
+def ingest_ads(spark: SparkSession, raw: DataFrame, root: str, as_of: _dt.datetime,
+               mode: str = "tolerant") -> bool:
+    """B1: raw ads -> normalise -> quarantine / append fact_ad_spend -> freshness."""
+    return _ingest(spark, raw, "ads", "fact_ad_spend", root, as_of, mode)
+
+
+def ingest_orders(spark: SparkSession, raw: DataFrame, root: str, as_of: _dt.datetime,
+                  mode: str = "tolerant") -> bool:
+    """B2: raw orders -> normalise -> quarantine / append fact_orders -> freshness."""
+    return _ingest(spark, raw, "orders", "fact_orders", root, as_of, mode)
+
+
 def compact_events(spark: SparkSession, raw: DataFrame, root: str, as_of: _dt.datetime,
-                   arrival: str = "ingest_seq") -> bool:
-    """Raw events -> dedup by event_id (last arrival) -> append -> freshness."""
-    wrote = write_fact(dedup_events(raw, arrival=arrival, as_of=as_of), "fact_events",
-                       _path(root, "fact_events"), "append")
-    update_freshness(spark, root, "events", as_of, as_of)
-    return wrote
+                   arrival: str = "ingest_seq", mode: str = "tolerant") -> bool:
+    """Raw events -> quarantine -> dedup by event_id (last arrival) -> append -> freshness."""
+    return _ingest(spark, raw, "events", "fact_events", root, as_of, mode, arrival)
 
 
+# -- attribution ---------------------------------------------------------------
+
 def attribution_job(spark: SparkSession, root: str, as_of: _dt.datetime,
                     since: _dt.datetime | None = None, lookback_days: int = 7) -> None:
-    """J1 -> replace fact_attribution -> A1 -> replace metrics -> freshness.
+    """J1 -> fact_attribution -> A1 -> fact_campaign_metrics -> freshness.
 
     Metrics read the attribution table just written (not a recomputation),
     and spend goes through ``latest_spend`` so keys are unique (D4).
 
-    ``since``: incremental mode. Only orders at or after ``since`` are
-    re-attributed; they need events from ``since - lookback`` on, so both
-    reads prune date partitions. The fresh rows replace those orders' old
-    rows (anti-join on order_id) and the merged table is checkpointed to
-    the shared folder before it replaces the old one. The result equals a
-    full recompute, except that an order id with rows on both sides of the
-    cutoff keeps only its newer rows' answer.
+    ``since``: incremental mode, see :func:`_refresh`.
     """
-    orders = read_fact(spark, "fact_orders", _path(root, "fact_orders"))
-    events = read_fact(spark, "fact_events", _path(root, "fact_events"))
-    attr_path = _path(root, "fact_attribution")
-    if since is None:
+    attr_path, metrics_path = (_path(root, t) for t in ("fact_attribution",
+                                                        "fact_campaign_metrics"))
+    if since is not None:
+        _refresh(spark, root, as_of, since, lookback_days)
+    else:
+        orders = read_fact(spark, "fact_orders", _path(root, "fact_orders"))
+        events = read_fact(spark, "fact_events", _path(root, "fact_events"))
         write_fact(last_touch(orders, events, lookback_days=lookback_days, as_of=as_of),
                    "fact_attribution", attr_path, "overwrite")
-    else:
-        start = since - _dt.timedelta(days=lookback_days)
-        recent_orders = orders.filter((F.col("order_date") >= F.lit(since.date()))
-                                      & (F.col("order_ts") >= F.lit(since)))
-        recent_events = events.filter((F.col("event_date") >= F.lit(start.date()))
-                                      & (F.col("event_ts") >= F.lit(start)))
-        fresh = last_touch(recent_orders, recent_events, lookback_days=lookback_days,
-                           as_of=as_of)
-        kept = read_fact(spark, "fact_attribution", attr_path) \
-            .join(recent_orders.select("order_id").distinct(), "order_id", "left_anti")
-        checkpoint_root(spark)
-        merged = kept.unionByName(fresh.select(*kept.columns)).checkpoint(eager=True)
-        write_fact(merged, "fact_attribution", attr_path, "overwrite")
-    attribution = read_fact(spark, "fact_attribution", attr_path)
-    spend = latest_spend(read_fact(spark, "fact_ad_spend", _path(root, "fact_ad_spend")))
-    write_fact(campaign_metrics(spend, attribution, as_of=as_of), "fact_campaign_metrics",
-               _path(root, "fact_campaign_metrics"), "overwrite")
+        spend = latest_spend(read_fact(spark, "fact_ad_spend", _path(root, "fact_ad_spend")))
+        attribution = read_fact(spark, "fact_attribution", attr_path)
+        write_fact(campaign_metrics(spend, attribution, as_of=as_of), "fact_campaign_metrics",
+                   metrics_path, "overwrite")
     update_freshness(spark, root, "attribution", as_of, as_of)
 
 
+def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def affected_orders(orders: DataFrame, events: DataFrame, since: _dt.datetime,
+                    lookback_days: int) -> DataFrame:
+    """All rows of the orders whose answer rows inserted since ``since`` can change.
+
+    These are the ids among the new orders (with their older rows), and the
+    orders of a customer from that customer's first new event to ``lookback_days`` after
+    the last one, whenever the events happened. New events are one range a customer, so
+    the join makes at most one row an order.
+    """
+    new_ids = orders.filter(F.col("inserted_at") >= F.lit(since)).select("order_id")
+    late = events.filter(F.col("inserted_at") >= F.lit(since)).groupBy("customer_id").agg(
+        F.min("event_ts").alias("first"), F.max("event_ts").alias("last"))
+    reach = F.col("last") + F.make_dt_interval(F.lit(lookback_days))
+    touched = orders.join(late, "customer_id").filter(
+        F.col("order_ts").between(F.col("first"), reach)).select("order_id")
+    return orders.join(new_ids.unionByName(touched).distinct(), "order_id", "left_semi")
+
+
+def _refresh(spark: SparkSession, root: str, as_of, since: _dt.datetime,
+             lookback_days: int) -> None:
+    """Re-attribute what rows inserted since ``since`` can change, and nothing else.
+
+    Only the touch-date partitions that lose or gain such an order are replaced, and only
+    the metric days of those, plus days with new spend. Events are read from the
+    dates that the affected orders can look back to. Equal to a full recompute.
+    """
+    attr_path, metrics_path = (_path(root, t) for t in ("fact_attribution",
+                                                        "fact_campaign_metrics"))
+    orders = read_fact(spark, "fact_orders", _path(root, "fact_orders"))
+    events = read_fact(spark, "fact_events", _path(root, "fact_events"))
+    todo, todo_path = _staged(affected_orders(orders, events, since, lookback_days), "b4-orders")
+    span = todo.agg(F.min("order_date").alias("a"), F.max("order_date").alias("b")).first()
+    days: set = set()
+    staged = [todo_path]
+    if span["a"] is not None:
+        near = events.filter(F.col("event_date").between(
+            F.lit(span["a"] - _dt.timedelta(days=lookback_days)), F.lit(span["b"])))
+        fresh, path = _staged(last_touch(todo, near, lookback_days=lookback_days, as_of=as_of),
+                              "b4-fresh")
+        staged.append(path)
+        old = read_fact(spark, "fact_attribution", attr_path)
+        before = old.join(todo.select("order_id").distinct(), "order_id", "left_semi")
+        days = {r[0] for r in before.select("touch_date").unionByName(fresh.select("touch_date"))
+                .distinct().collect()}                       # at most one value a day
+        kept = old.filter(_in_days("touch_date", days)) \
+            .join(todo.select("order_id").distinct(), "order_id", "left_anti")
+        rows, path = _staged(kept.select(*fresh.columns).unionByName(fresh), "b4-rows")
+        staged.append(path)
+        replace_partitions(rows, "fact_attribution", attr_path, sorted(days, key=str))
+    spend = read_fact(spark, "fact_ad_spend", _path(root, "fact_ad_spend"))
+    days |= {r[0] for r in spend.filter(F.col("inserted_at") >= F.lit(since)).select("date")
+             .distinct().collect()}
+    days.discard(None)
+    if days:
+        attribution = read_fact(spark, "fact_attribution", attr_path)
+        rows, path = _staged(campaign_metrics(
+            latest_spend(spend.filter(_in_days("date", days))),
+            attribution.filter(_in_days("touch_date", days)), as_of=as_of), "b4-metrics")
+        staged.append(path)
+        replace_partitions(rows, "fact_campaign_metrics", metrics_path, sorted(days))
+    for path in staged:
+        files.delete(spark, path)
+
+
+def _in_days(col: str, days: set):
+    """A literal list on the partition column, so the scan prunes."""
+    known = sorted(d for d in days if d is not None)
+    cond = F.col(col).isin(known) if known else F.lit(False)
+    return cond | F.col(col).isNull() if None in days else cond
+
+
+# -- features, training, retention -----------------------------------------------
+
 def features_job(spark: SparkSession, root: str) -> None:
-    """B5 (+ the features CTAS): write both feature tables."""
+    """B5 + S10: write both feature tables (D18) with their fixed schemas."""
     metrics = read_fact(spark, "fact_campaign_metrics", _path(root, "fact_campaign_metrics"))
     events = read_fact(spark, "fact_events", _path(root, "fact_events"))
-    feat.features_with_target(metrics).sortWithinPartitions("campaign_id", "metric_date") \
-        .write.mode("overwrite").parquet(_path(root, "fact_campaign_metrics_features"))
-    feat.features_with_events(metrics, events).sortWithinPartitions("date", "campaign_id") \
-        .write.mode("overwrite").parquet(_path(root, "daily_features"))
+    write_fact(feat.features_with_target(metrics), "fact_campaign_metrics_features",
+               _path(root, "fact_campaign_metrics_features"), "overwrite")
+    write_fact(feat.features_with_events(metrics, events), "daily_features",
+               _path(root, "daily_features"), "overwrite")
 
 
 def training_job(spark: SparkSession, root: str, model_path: str,
                  num_trees: int = forecast.NUM_TREES, max_depth: int = forecast.MAX_DEPTH):
     """Training frame -> split -> fit -> evaluate -> save. Returns
     ``(model, evaluation DataFrame)``; an empty training frame raises."""
-    features = spark.read.parquet(_path(root, "fact_campaign_metrics_features"))
-    frame = feat.training_frame(features, fill=0.0)
+    features = read_fact(spark, "fact_campaign_metrics_features",
+                         _path(root, "fact_campaign_metrics_features"))
+    frame = feat.training_frame(features, fill=0.0, keys=("campaign_id",))
     if frame.isEmpty():
         raise RuntimeError("no training data")
-    train, test = forecast.split(frame, keys=("metric_date", "spend", "roas"))
+    train, test = forecast.split(frame)
     model = forecast.fit_forecast(train, num_trees, max_depth)
     forecast.save_model(model, model_path)
     return model, forecast.evaluate(model, test)
 
 
+def retention_job(spark: SparkSession, root: str, as_of) -> dict[str, list[str]]:
+    """Drop expired partition folders of every stored fact table."""
+    gone = {t: expire_partitions(spark, t, _path(root, t), as_of) for t in FACTS}
+    return {t: names for t, names in gone.items() if names}
+
+
 def warehouse_counts(spark: SparkSession, root: str) -> DataFrame:
     """Row count per fact table (a small health report of a warehouse)."""
-    out = None
+    out = read_health(spark, root).agg(F.count(F.lit(1)).alias("rows")) \
+        .select(F.lit("data_health").alias("table"), "rows")
     for t in ("fact_ad_spend", "fact_orders", "fact_events", "fact_attribution",
-              "fact_campaign_metrics", "data_health"):
-        c = read_fact(spark, t, _path(root, t)).agg(F.count(F.lit(1)).alias("rows")) \
-            .select(F.lit(t).alias("table"), "rows")
-        out = c if out is None else out.unionByName(c)
+              "fact_campaign_metrics", "quarantine"):
+        c = read_fact(spark, t, _path(root, t), missing="empty").agg(
+            F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows")
+        out = out.unionByName(c)
     return out

@@ -73,8 +73,37 @@ DATA_HEALTH = FactSpec(
             ("inserted_at", TS, True)),
     None, ("source",), ("source",), retention_days=None)
 
+# Rows that ingest rejects: the raw row as JSON and the rules it breaks.
+QUARANTINE = FactSpec(
+    "quarantine",
+    _schema(("table", S, False), ("raw", S, True), ("violations", T.ArrayType(S), False),
+            ("inserted_at", TS, True)),
+    None, ("table",), (), retention_days=None)
+
+# Feature tables written by the features job.
+_FEATURE_VALUES = [("spend", D, True), ("attributed_revenue", D, True), ("conversions", L, True),
+                   ("cac", D, True), ("roas", D, True)]
+_ROLLING_VALUES = [("rolling_7d_roas", D, True), ("rolling_7d_spend", D, True),
+                   ("rolling_7d_conversions", D, True), ("rolling_7d_volatility", D, True)]
+
+CAMPAIGN_FEATURES = FactSpec(
+    "fact_campaign_metrics_features",
+    _schema(("campaign_id", S, False), ("metric_date", DT, False), *_FEATURE_VALUES,
+            *_ROLLING_VALUES, ("next_day_roas", D, True)),
+    None, ("campaign_id", "metric_date"), ("campaign_id", "metric_date"), retention_days=None)
+
+DAILY_FEATURES = FactSpec(
+    "daily_features",
+    _schema(("date", DT, False), ("campaign_id", S, False), *_FEATURE_VALUES,
+            ("events_count", L, True), *_ROLLING_VALUES),
+    None, ("date", "campaign_id"), ("date", "campaign_id"), retention_days=None)
+
 FACTS = {s.name: s for s in (FACT_AD_SPEND, FACT_ORDERS, FACT_EVENTS, FACT_ATTRIBUTION,
-                             FACT_CAMPAIGN_METRICS, DATA_HEALTH)}
+                             FACT_CAMPAIGN_METRICS, DATA_HEALTH, QUARANTINE, CAMPAIGN_FEATURES,
+                             DAILY_FEATURES)}
+
+# Holds the text of a raw line that could not be read as a row.
+CORRUPT = "_corrupt_record"
 
 # Raw landing tables: every column arrives as text.
 RAW_ADS = _schema(*[(c, S, True) for c in

@@ -54,13 +54,17 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local runs, tests) do we pick a
-    fresh private folder; on a cluster the configured one is used.
+    Only a local session (one JVM, tests) that names none gets a fresh private
+    folder. On a cluster a machine-local folder would scatter the files over the executors'
+    own disks, so a missing setting raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="adcredit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
@@ -73,12 +77,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-__all__ = ["get_session", "ensure_utc", "checkpoint_root", "shared_dir", "cut_lineage"]
+__all__ = ["get_session", "ensure_utc", "checkpoint_root", "shared_dir"]
 
 

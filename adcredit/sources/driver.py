@@ -31,21 +31,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_RELATIONS: dict[tuple[SparkSession, str], DataFrame] = {}
-
-
-def _live(spark: SparkSession) -> bool:
-    return spark.sparkContext._jsc is not None
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet relation of one table (file listing and footer read once
-    per session; the DataFrame is lazy, no data is cached)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark, path)
-    if key not in _RELATIONS or not _live(spark):
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
+    """The Parquet relation of one table, listed anew: files added since are read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -73,20 +61,13 @@ class Warehouse:
     Only plan definitions are kept: every action recomputes from the files.
     """
 
-    _OPEN: dict[tuple[SparkSession, str, _dt.datetime], "Warehouse"] = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.datetime = AS_OF):
         ensure_utc(spark)
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, as_of: _dt.datetime = AS_OF) -> "Warehouse":
-        """The same view definitions for repeated queries in one session."""
-        ensure_utc(spark)
-        key = (spark, sf_dir.rstrip("/"), as_of)
-        if key not in cls._OPEN or not _live(spark):
-            cls._OPEN[key] = cls(spark, sf_dir, as_of)
-        return cls._OPEN[key]
+        return cls(spark, sf_dir, as_of)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -133,7 +114,7 @@ class Warehouse:
 
     @cached_property
     def fact_attribution(self) -> DataFrame:
-        return last_touch(self.fact_orders, self.fact_events, tie="seq", as_of=self.as_of)
+        return last_touch(self.fact_orders, self.fact_events, as_of=self.as_of)
 
     @cached_property
     def fact_campaign_metrics(self) -> DataFrame:

@@ -1,67 +1,160 @@
-"""Fact-table writers (append / replace), layout, retention and reads.
-
-Layout: ``partitionBy(<date column>)`` with rows sorted by the cluster keys
-inside each file, so date filters prune directories and cluster-key
-filters skip row groups by their min/max statistics. Before the write,
-rows are rebalanced by the partition column: AQE splits an oversized
-date (a hot day) over several tasks and merges tiny ones, so no single
-task writes a skewed partition.
+"""Fact tables: append / replace, partitioned layout, retention and reads.
+
+Layout of one table folder:
+
+``v-<time>-<id>/``  a version: date-partitioned, cluster-sorted Parquet. The newest one with
+                    Spark's ``_SUCCESS`` marker is current. ``overwrite`` writes a new version
+                    beside the current one, so a failed or killed job leaves the old table as
+                    it was, and readers never see half of it; ``append`` adds to the current one.
+``stream/``         the file sink of one streaming query (its own commit log). Batch rows never go
+                    there, since a reader of that folder follows the log alone.
+
+:func:`read_fact` unions the current version and the stream folder. Rows are
+rebalanced by the partition column before a write: AQE splits an oversized date (a hot
+day) over several tasks and merges tiny ones.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adcredit.schemas import FACTS, FactSpec
+from adcredit.sources import files
 
 RETENTION_DAYS = 180
+STREAM = "stream"
+
+
+def _required(spec: FactSpec, name: str, value: Column) -> Column:
+    problem = F.raise_error(F.lit(f"{spec.name}.{name} is NULL"))
+    return F.when(value.isNull(), problem.cast(spec.schema[name].dataType)).otherwise(value)
 
 
 def conform(df: DataFrame, spec: FactSpec) -> DataFrame:
-    """Select and cast to the fact schema, in schema order."""
-    missing = [f.name for f in spec.schema.fields if f.name not in df.columns]
-    cols = [(F.col(f.name) if f.name not in missing else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in spec.schema.fields]
+    """Select and cast to the fact schema, in schema order.
+
+    A NULL in a NOT NULL column raises: Parquet would store it, and a typed reader
+    could show it as a default such as 1970-01-01.
+    """
+    cols = []
+    for f in spec.schema.fields:
+        value = (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
+        cols.append((value if f.nullable else _required(spec, f.name, value)).alias(f.name))
     return df.select(*cols)
 
 
-def write_fact(df: DataFrame, table: str, path: str, mode: str = "append") -> bool:
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Committed versions, oldest first."""
+    return [n for n in files.folders(spark, path) if n.startswith("v-")
+            and files.exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """Folder of the current version."""
+    found = versions(spark, path.rstrip("/"))
+    return f"{path.rstrip('/')}/{found[-1]}" if found else None
+
+
+def _new_version(path: str) -> str:
+    return f"{path.rstrip('/')}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def write_fact(df: DataFrame, table: str, path: str, mode: str = "append",
+               probe: DataFrame | None = None) -> bool:
     """S5-S7, S9, S10. Returns False when an empty append was skipped.
 
-    ``append``: an empty batch is a no-op, detected by one bounded
-    ``isEmpty()`` (a LIMIT 1 job; ingest batches are scans, so it stops
-    early). ``overwrite``: replaces the table, an empty batch empties it
-    (the reference's WRITE_TRUNCATE).
+    ``append``: an empty batch is a no-op, found by one ``isEmpty()`` (a LIMIT 1
+    job) on ``probe``, the raw input, where ``df`` is costly (a shuffle would run
+    twice). ``overwrite``: a new version replaces the table (an empty batch
+    empties it); the version before it is kept for readers at work, older ones go.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError("mode must be 'append' or 'overwrite'")
-    spec = FACTS[table]
+    spark, spec = df.sparkSession, FACTS[table]
     out = conform(df, spec)
-    if mode == "append" and out.isEmpty():
+    if mode == "append" and (out if probe is None else probe).isEmpty():
         return False
+    if mode == "overwrite" and files.exists(spark, stream_folder(path)):
+        raise ValueError(f"{path} is fed by a stream and cannot be replaced")
+    target = (current(spark, path) if mode == "append" else None) or _new_version(path)
     if spec.partition_col:
         out = out.hint("rebalance", spec.partition_col)
         out = out.sortWithinPartitions(spec.partition_col, *spec.cluster_cols)
-        writer = out.write.mode(mode).partitionBy(spec.partition_col)
+        writer = out.write.mode("append").partitionBy(spec.partition_col)
     else:
-        writer = out.sortWithinPartitions(*spec.cluster_cols).write.mode(mode)
-    writer.parquet(path)
+        writer = out.sortWithinPartitions(*spec.cluster_cols).write.mode("append")
+    writer.parquet(target)
+    if mode == "overwrite":
+        for old in versions(spark, path.rstrip("/"))[:-2]:
+            files.delete(spark, f"{path.rstrip('/')}/{old}")
     return True
 
 
-def read_fact(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Read with the fixed schema (no inference); an absent table is empty."""
+def replace_partitions(df: DataFrame, table: str, path: str, affected: list) -> None:
+    """Replace the partitions ``affected`` (dates, or None) of the current version.
+
+    ``df`` holds all their new rows and must not read the table (write it to the
+    shared folder first). Each partition is swapped by Spark's dynamic overwrite; those
+    left without rows are deleted. All other partitions keep their files. A failure in between
+    is repaired by running the job again.
+    """
+    spark, spec = df.sparkSession, FACTS[table]
+    target = current(spark, path)
+    if target is None or spec.partition_col is None:
+        raise ValueError(f"{path} has no partitioned version to change")
+    out = conform(df, spec).hint("rebalance", spec.partition_col) \
+        .sortWithinPartitions(spec.partition_col, *spec.cluster_cols)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(spec.partition_col).parquet(target)
+    left = {r[0] for r in df.select(spec.partition_col).distinct().collect()}    # days
+    for value in affected:
+        if value not in left:
+            files.delete(spark, f"{target}/{partition_folder(spec, value)}")
+
+
+def partition_folder(spec: FactSpec, value) -> str:
+    return f"{spec.partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def stream_folder(path: str) -> str:
+    return f"{path.rstrip('/')}/{STREAM}"
+
+
+def read_fact(spark: SparkSession, table: str, path: str, missing: str = "error") -> DataFrame:
+    """Read with the fixed schema (no inference): current version and streamed rows.
+
+    A table that was never written raises, unless ``missing="empty"``.
+    """
+    if missing not in ("error", "empty"):
+        raise ValueError("missing must be 'error' or 'empty'")
     spec = FACTS[table]
-    try:
-        df = spark.read.schema(spec.schema).parquet(path)
-    except Exception as exc:  # noqa: BLE001 - only "path does not exist"
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        df = spark.createDataFrame([], spec.schema)
-    return df.select(*spec.columns)
+    reader = spark.read.schema(spec.schema).option("ignoreMissingFiles", "true")
+    parts = []
+    if (base := current(spark, path)) is not None:
+        parts.append(spark.read.schema(spec.schema).parquet(base))
+    if files.exists(spark, stream_folder(path)):
+        parts.append(reader.parquet(stream_folder(path)))    # retention may have dropped files
+    if not parts:
+        if missing == "error":
+            raise FileNotFoundError(f"no table at {path}")
+        parts.append(spark.createDataFrame([], spec.schema))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*spec.columns)
+
+
+def _cutoff(as_of, days: int) -> _dt.date:
+    if isinstance(as_of, _dt.datetime):
+        as_of = as_of.date()
+    elif not isinstance(as_of, _dt.date):
+        as_of = _dt.date.fromisoformat(str(as_of))
+    return as_of - _dt.timedelta(days=int(days))
 
 
 def apply_retention(df: DataFrame, date_col: str, as_of, days: int = RETENTION_DAYS) -> DataFrame:
@@ -70,16 +163,24 @@ def apply_retention(df: DataFrame, date_col: str, as_of, days: int = RETENTION_D
     A literal bound on the partition column, so Parquet partitions prune.
     NULL dates are kept (D20).
     """
-    if isinstance(as_of, _dt.datetime):
-        as_of = as_of.date()
-    elif not isinstance(as_of, _dt.date):
-        as_of = _dt.date.fromisoformat(str(as_of))
-    cutoff = as_of - _dt.timedelta(days=int(days))
-    return df.filter(F.col(date_col).isNull() | (F.col(date_col) >= F.lit(cutoff)))
+    return df.filter(F.col(date_col).isNull() | (F.col(date_col) >= F.lit(_cutoff(as_of, days))))
 
 
-def retain_fact(df: DataFrame, table: str, as_of) -> DataFrame:
+def expire_partitions(spark: SparkSession, table: str, path: str, as_of) -> list[str]:
+    """S11 on a stored table: delete the partition folders older than its retention.
+
+    Returns the expired partition names. Tables without retention or partitions
+    (``data_health``) are left alone, and so are NULL dates (D20).
+    """
     spec = FACTS[table]
     if spec.retention_days is None or spec.partition_col is None:
-        return df  # data_health is exempt
-    return apply_retention(df, spec.partition_col, as_of, spec.retention_days)
+        return []
+    limit, prefix = _cutoff(as_of, spec.retention_days).isoformat(), f"{spec.partition_col}="
+    gone = []
+    for base in (current(spark, path), stream_folder(path)):
+        for name in files.folders(spark, base) if base else []:
+            day = name.removeprefix(prefix)
+            if name.startswith(prefix) and not day.startswith("__") and day < limit:
+                files.delete(spark, f"{base}/{name}")
+                gone.append(name)
+    return sorted(set(gone))

@@ -3,32 +3,38 @@
 The reference runs these as cron micro-batches; here they are streams:
 
 * ``stream_events``       T1  normalise, watermark, de-duplicate by event_id
-* ``stream_ingest``       T2  normalise and append to the partitioned fact table
+* ``stream_ingest``       T2  quarantine, normalise and append to the fact table's stream folder
+* ``stream_last_touch``   T3  last-touch attribution with bounded state
 * ``freshness_sink``      T4  per micro-batch upsert of the source's freshness
 * ``stream_daily_counts`` T5  tumbling one-day event counts per campaign
-* ``stream_last_touch``   T3  last-touch attribution with bounded state
 
-All inputs must carry real ``TIMESTAMP`` columns (watermarks refuse NTZ).
+All inputs must carry real ``TIMESTAMP`` columns (watermarks refuse NTZ). Rows older than the
+watermark are dropped by Spark's stateful operators; :func:`dropped_by_watermark` counts them, and
+:func:`unanswered_orders` finds the orders that a batch run must repair.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import sys
-from io import StringIO
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from adcredit.operators.health import upsert_freshness
-from adcredit.operators.normalize import normalize_events, normalize_orders
-from adcredit.session import checkpoint_root
-from adcredit.sources.sinks import conform, read_fact
+import pandas as pd
+
+from adcredit.operators.attribution import last_touch
+from adcredit.operators.normalize import KINDS, accept, normalize_events
+from adcredit.plans.jobs import merge_freshness
 from adcredit.schemas import FACTS
+from adcredit.sources.sinks import conform, stream_folder
+
+
+def _deduplicated(events: DataFrame, delay: str) -> DataFrame:
+    return events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def stream_events(raw_stream: DataFrame, delay: str = "1 hour", mode: str = "tolerant",
@@ -40,49 +46,50 @@ def stream_events(raw_stream: DataFrame, delay: str = "1 hour", mode: str = "tol
     """
     ev = normalize_events(raw_stream, mode, as_of=as_of, distinct=False) \
         if "event_date" not in raw_stream.columns else raw_stream
-    return ev.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return _deduplicated(ev, delay)
 
 
 def stream_ingest(raw_stream: DataFrame, kind: str, path: str, checkpoint: str,
-                  mode: str = "tolerant", as_of=None, delay: str = "1 hour"):
-    """Normalise raw rows and append them to the partitioned fact table.
-
-    The file sink with a checkpoint is exactly-once: a restarted query
-    (after executor or driver loss) resumes from the last committed batch.
-    Returns the started ``StreamingQuery``.
+                  quarantine_path: str, mode: str = "tolerant", as_of=None,
+                  delay: str = "1 hour") -> list:
+    """Accepted rows to the fact table's stream folder, rejected ones to quarantine.
+
+    ``kind``: ads, orders or events (events are de-duplicated as in T1). Two queries,
+    each with a file sink and a checkpoint, so both are exactly-once: a restarted query
+    (after executor or driver loss) resumes from its last committed batch.
+    Returns the started queries.
     """
-    if kind == "orders":
-        df, table = normalize_orders(raw_stream, mode, as_of=as_of), "fact_orders"
-    elif kind == "events":
-        df, table = stream_events(raw_stream, delay, mode, as_of=as_of), "fact_events"
-    else:
-        raise ValueError(f"unsupported kind: {kind}")
-    spec = FACTS[table]
-    return (conform(df, spec).writeStream.format("parquet")
-            .partitionBy(spec.partition_col)
-            .option("checkpointLocation", checkpoint)
-            .option("path", path)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start())
-
-
-def freshness_sink(health_path: str, source: str, ts_col: str, as_of=None):
-    """T4: ``foreachBatch`` function upserting ``source``'s freshness.
-
-    Each batch's newest instant is MERGEd into the health table. The result
-    is checkpointed into the shared folder before the table is replaced, so
-    the overwrite never reads the files it deletes.
+    good, bad = accept(raw_stream, kind, mode, as_of)
+    spec = KINDS[kind][1]
+    if kind == "events":
+        good = _deduplicated(good, delay)
+
+    def start(df: DataFrame, to: str, name: str, partition: str | None):
+        writer = df.writeStream.format("parquet").outputMode("append") \
+            .option("checkpointLocation", f"{checkpoint}/{name}").option("path", stream_folder(to))
+        writer = writer.partitionBy(partition) if partition else writer
+        return writer.trigger(availableNow=True).start()
+
+    return [start(conform(good, spec), path, "accepted", spec.partition_col),
+            start(conform(bad, FACTS["quarantine"]), quarantine_path, "rejected", None)]
+
+
+def dropped_by_watermark(query) -> int:
+    """Rows that the query's stateful operators dropped as too late, so far as it reports."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
+def freshness_sink(root: str, source: str, ts_col: str, as_of=None):
+    """T4: ``foreachBatch`` function upserting ``source``'s freshness in ``data_health``.
+
+    Each batch's newest instant is MERGEd into the source's own versioned folder.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         incoming = batch.agg(F.max(ts_col).alias("latest_timestamp")) \
             .filter(F.col("latest_timestamp").isNotNull()) \
             .select(F.lit(source).alias("source"), "latest_timestamp")
-        existing = read_fact(spark, "data_health", health_path)
-        checkpoint_root(spark)
-        merged = upsert_freshness(existing, incoming, as_of=as_of).checkpoint(eager=True)
-        conform(merged, FACTS["data_health"]).write.mode("overwrite").parquet(health_path)
+        merge_freshness(batch.sparkSession, root, incoming, source, as_of)
     return run
 
 
@@ -103,7 +110,6 @@ TOUCH_INPUT = T.StructType([
     T.StructField("kind", T.IntegerType()),          # 0 event, 1 order
     T.StructField("customer_id", T.StringType()),
     T.StructField("ts", T.TimestampType()),
-    T.StructField("tie", T.LongType()),
     T.StructField("event_id", T.StringType()),
     T.StructField("campaign_id", T.StringType()),
     T.StructField("order_id", T.StringType()),
@@ -116,129 +122,119 @@ TOUCH_OUTPUT = T.StructType([
     T.StructField("campaign_id", T.StringType()),
     T.StructField("touch_ts", T.TimestampType()),
     T.StructField("revenue", T.DoubleType()),
-    T.StructField("late", T.BooleanType()),
 ])
 
-# folded = newest event at or before the watermark; buffers hold newer rows
+_EVENT = T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.StringType()),
+                       T.StructField("campaign_id", T.StringType())])
+_ORDER = T.StructType([T.StructField("ts", T.LongType()), T.StructField("order_id", T.StringType()),
+                       T.StructField("revenue", T.DoubleType())])
+_DONE = T.StructType([T.StructField("ts", T.LongType()), T.StructField("order_id", T.StringType())])
+
+# folded = newest event at or before the watermark; events and orders hold newer rows;
+# done = orders answered within the look-back. All values are typed: none passes through text.
 TOUCH_STATE = T.StructType([
-    T.StructField("folded_ts", T.LongType()),
-    T.StructField("folded_tie", T.LongType()),
-    T.StructField("folded_event", T.StringType()),
-    T.StructField("folded_campaign", T.StringType()),
-    T.StructField("events_json", T.StringType()),
-    T.StructField("orders_json", T.StringType()),
+    T.StructField("folded", T.ArrayType(_EVENT)),            # none or one
+    T.StructField("events", T.ArrayType(_EVENT)),
+    T.StructField("orders", T.ArrayType(_ORDER)),
+    T.StructField("done", T.ArrayType(_DONE)),
 ])
 
-_EV_COLS = ["ts", "tie", "event_id", "campaign_id"]
-_OR_COLS = ["ts", "order_id", "revenue"]
-
-
-def _frame(js: str | None, cols: list[str]) -> pd.DataFrame:
-    if not js:
-        return pd.DataFrame(columns=cols)
-    return pd.read_json(StringIO(js), orient="split", dtype=False)
-
 
-def _append(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    if b.empty:
-        return a
-    return b.reset_index(drop=True) if a.empty else pd.concat([a, b], ignore_index=True)
+def _rank(event: tuple) -> tuple:
+    """Batch order of touches: instant, then id (longer ids after shorter ones)."""
+    ts, event_id, _ = event
+    return ts, event_id is not None, len(event_id or ""), event_id or ""
 
 
 def _text(v) -> str | None:
-    """A missing value is NULL, never the text 'NaN' / 'None'."""
-    return None if v is None or (isinstance(v, float) and pd.isna(v)) else str(v)
-
-
-def _to_us(s: pd.Series) -> pd.Series:
-    return pd.to_datetime(s).astype("datetime64[us]").astype("int64")
+    return None if v is None or v is pd.NA or (isinstance(v, float) and pd.isna(v)) else str(v)
 
 
 def _attribute_customer(lookback_us: int):
-    """State function for one customer: a helper over pandas frames."""
+    """State function for one customer (or one order without a customer)."""
 
     def fn(key, pdfs, state):
-        customer = key[0]
-        wm_us = int(state.getCurrentWatermarkMs()) * 1000
-        if state.exists:
-            f_ts, f_tie, f_ev, f_camp, ev_json, or_json = state.get
-            events = _frame(ev_json, _EV_COLS)
-            orders = _frame(or_json, _OR_COLS)
-        else:
-            f_ts = f_tie = f_ev = f_camp = None
-            events, orders = pd.DataFrame(columns=_EV_COLS), pd.DataFrame(columns=_OR_COLS)
+        customer = key[1]
+        wm = int(state.getCurrentWatermarkMs()) * 1000
+        folded, events, orders, done = ([tuple(x) for x in part or ()] for part in
+                                        (state.get if state.exists else ((), (), (), ())))
         if not state.hasTimedOut:
             for pdf in pdfs:
-                if pdf.empty:
-                    continue
-                pdf = pdf.assign(ts=_to_us(pdf["ts"]))
-                events = _append(events, pdf.loc[pdf["kind"] == 0, _EV_COLS])
-                orders = _append(orders, pdf.loc[pdf["kind"] == 1, _OR_COLS])
-        events = events.astype({"ts": "int64", "tie": "int64"})
-        orders = orders.astype({"ts": "int64"})
+                us = pd.to_datetime(pdf["ts"]).astype("datetime64[us]").astype("int64")
+                for kind, ts, ev, camp, oid, rev in zip(
+                        pdf["kind"], us, pdf["event_id"], pdf["campaign_id"], pdf["order_id"],
+                        pdf["revenue"]):
+                    if kind == 0:
+                        events.append((int(ts), _text(ev), _text(camp)))
+                    elif kind == 1:
+                        orders.append((int(ts), _text(oid), None if pd.isna(rev) else float(rev)))
+        answered = {oid for _, oid in done}
+        # copies collapse: one row an event, one row an (order, instant)
+        events = sorted(set(events), key=_rank)
+        newest: dict = {}
+        for ts, oid, rev in orders:
+            if oid not in answered:
+                had = newest.get((ts, oid))
+                newest[ts, oid] = rev if had is None else had if rev is None else max(had, rev)
+        orders = sorted((ts, oid, rev) for (ts, oid), rev in newest.items())
 
         # 1) answer the orders the watermark has passed: every event at or
         #    before them has arrived (the folded row + the buffered events)
-        ready = orders[orders["ts"] <= wm_us].sort_values("ts")
-        orders = orders[orders["ts"] > wm_us]
-        out = []
-        if not ready.empty:
-            pool = events
-            if f_ts is not None:
-                pool = pd.concat([pd.DataFrame([[f_ts, f_tie, f_ev, f_camp]], columns=_EV_COLS),
-                                  events], ignore_index=True)
-            pool = pool.astype({"ts": "int64", "tie": "int64"}).sort_values(["ts", "tie"])
-            pool = pool.drop_duplicates("ts", keep="last").rename(columns={"ts": "touch_us"})
-            m = pd.merge_asof(ready.astype({"ts": "int64"}), pool, left_on="ts",
-                              right_on="touch_us", direction="backward", allow_exact_matches=True)
-            ok = m["touch_us"].notna() & (m["touch_us"] >= m["ts"] - lookback_us)
-            # older than the folded row: the events it needed are gone
-            late = m["ts"] < (f_ts if f_ts is not None else -(2 ** 62))
-            out.append(pd.DataFrame({
-                "order_id": m["order_id"].astype(object),
-                "customer_id": customer,
-                "campaign_id": m["campaign_id"].astype(object)
-                .where(ok & ~late & m["campaign_id"].notna(), None),
-                "touch_ts": pd.to_datetime(m["touch_us"].where(ok & ~late), unit="us"),
-                "revenue": m["revenue"].astype("float64"),
-                "late": late.astype(bool),
-            }))
+        best: dict = {}
+        at, last = 0, folded[0] if folded else None
+        for ts, oid, rev in [o for o in orders if o[0] <= wm]:
+            while at < len(events) and events[at][0] <= ts:
+                if last is None or _rank(events[at]) > _rank(last):
+                    last = events[at]
+                at += 1
+            touch = last if customer is not None and last is not None \
+                and ts - lookback_us <= last[0] <= ts else None
+            # rows of one order id: the latest touch wins, as in the batch
+            order = (touch is not None, _rank(touch) if touch else (), ts, rev is not None, rev or 0)
+            if oid not in best or order > best[oid][0]:
+                best[oid] = (order, touch, rev)
+                answered.add(oid)
+        done += [(max(t for t, o, _ in orders if o == oid and t <= wm), oid) for oid in best]
+        # a second instant of an answered id that comes later is the same order
+        orders = [o for o in orders if o[0] > wm and o[1] not in answered]
 
         # 2) events at or before the watermark fold into one row (newest
         #    wins): every pending order is later than the watermark
-        cand = events.sort_values(["ts", "tie"])
-        old = cand[cand["ts"] <= wm_us]
-        if not old.empty:
-            last = old.iloc[-1]
-            if f_ts is None or (int(last["ts"]), int(last["tie"])) > (f_ts, f_tie):
-                f_ts, f_tie, f_ev, f_camp = (int(last["ts"]), int(last["tie"]),
-                                             _text(last["event_id"]), _text(last["campaign_id"]))
-        events = cand[cand["ts"] > wm_us]
-
-        # keep only events a pending order could still pick
-        if not orders.empty or not events.empty:
-            state.update((f_ts, f_tie, f_ev, f_camp,
-                          events.to_json(orient="split", index=False) if not events.empty else None,
-                          orders.to_json(orient="split", index=False) if not orders.empty else None))
-            nxt = int(orders["ts"].min() // 1000) if not orders.empty else None
-            if nxt is not None:
-                state.setTimeoutTimestamp(max(nxt, int(state.getCurrentWatermarkMs()) + 1))
-        elif f_ts is not None:
-            state.update((f_ts, f_tie, f_ev, f_camp, None, None))
-        for o in out:
-            yield o
+        past = folded + [e for e in events if e[0] <= wm]
+        folded = [max(past, key=_rank)] if past else []
+        events = [e for e in events if e[0] > wm]
+
+        # 3) nothing older than the look-back can be picked or re-delivered any more
+        folded = [e for e in folded if e[0] + lookback_us >= wm]
+        done = [d for d in done if d[0] + lookback_us >= wm]
+        if folded or events or orders or done:
+            state.update((folded, events, orders, done))
+            times = [o[0] for o in orders[:1]] + [e[0] for e in events[-1:]] \
+                + [x[0] + lookback_us for x in folded + done]
+            state.setTimeoutTimestamp(max(min(times) // 1000, wm // 1000) + 1)
+        elif state.exists:
+            state.remove()
+        if best:
+            yield pd.DataFrame({
+                "order_id": pd.Series(list(best), dtype=object),
+                "customer_id": pd.Series([customer] * len(best), dtype=object),
+                "campaign_id": pd.Series([t[2] if t else None for _, t, _ in best.values()],
+                                         dtype=object),
+                "touch_ts": pd.to_datetime(pd.Series([t[0] if t else None
+                                                      for _, t, _ in best.values()],
+                                                     dtype="Int64"), unit="us"),
+                "revenue": pd.Series([r for _, _, r in best.values()], dtype="float64"),
+            })
 
     return fn
 
 
-def touch_stream(orders: DataFrame, events: DataFrame, tie: str = "seq") -> DataFrame:
+def touch_stream(orders: DataFrame, events: DataFrame) -> DataFrame:
     """Union orders and events into the single keyed input of T3."""
     e = events.select(F.lit(0).alias("kind"), "customer_id", F.col("event_ts").alias("ts"),
-                      F.col(tie).cast("bigint").alias("tie"), "event_id", "campaign_id",
-                      F.lit(None).cast("string").alias("order_id"),
+                      "event_id", "campaign_id", F.lit(None).cast("string").alias("order_id"),
                       F.lit(None).cast("double").alias("revenue"))
     o = orders.select(F.lit(1).alias("kind"), "customer_id", F.col("order_ts").alias("ts"),
-                      F.lit(None).cast("bigint").alias("tie"),
                       F.lit(None).cast("string").alias("event_id"),
                       F.lit(None).cast("string").alias("campaign_id"), "order_id", "revenue")
     return e.unionByName(o)
@@ -246,30 +242,46 @@ def touch_stream(orders: DataFrame, events: DataFrame, tie: str = "seq") -> Data
 
 def stream_last_touch(touches: DataFrame, delay: str = "1 hour",
                       lookback_days: int = 7) -> DataFrame:
-    """Continuous last-touch attribution (same rows as the batch J1).
-
-    Keyed by customer with bounded state: one folded "newest event at or
-    before the watermark" plus the rows newer than the watermark (at most
-    ``delay`` of them), instead of seven days of events. An order is
-    emitted once the watermark passes its instant, so every event at or
-    before it has arrived. Input older than the watermark is dropped by
-    Spark's stateful operator (the standard late-data rule), so ``delay``
-    must cover the sources' lateness; the batch attribution job recomputes
-    in full and reconciles anything later. ``late`` marks an order at the
-    watermark whose candidate events were already folded away.
+    """Continuous last-touch attribution.
+
+    The rows of the batch J1 for all input that is not older than the watermark when it
+    arrives: one row an order id, orders without a customer included (they are keyed by their order
+    id). An order is emitted once the watermark passes it, so every event at or before it has
+    arrived. State per customer: the newest event at or before the watermark, the rows newer than
+    it (at most ``delay`` of them), and the ids answered within the look-back; the last two and
+    the folded event expire with the look-back, and then the state is removed. Two rows of one
+    order id more than ``delay`` apart are answered by the first (a stream cannot take an answer back);
+    the batch job answers them by the latest touch.
+
+    This operator is Python per key (Arrow batches, a small helper over lists); all
+    others of the package are JVM-side. A customer's state is in one task, as with any
+    keyed state; for a hot customer it is bounded by the delay and the look-back's orders.
     """
     lookback_us = int(lookback_days) * 86_400 * 1_000_000
     # ship the state function by value: executors need not install this package
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    keyed = touches.filter(F.col("customer_id").isNotNull()).withWatermark("ts", delay)
-    return keyed.groupBy("customer_id").applyInPandasWithState(
+    alone = F.when(F.col("customer_id").isNull(), F.col("order_id"))
+    keyed = touches.filter(F.col("customer_id").isNotNull() | (F.col("kind") != 0)) \
+        .withColumn("alone", alone).withWatermark("ts", delay)
+    return keyed.groupBy("alone", "customer_id").applyInPandasWithState(
         _attribute_customer(lookback_us), TOUCH_OUTPUT, TOUCH_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
+def unanswered_orders(orders: DataFrame, answered: DataFrame) -> DataFrame:
+    """Side table for batch repair: orders that the stream has not answered (too late for it)."""
+    return orders.join(answered.select("order_id"), "order_id", "left_anti")
+
+
+def repair(orders: DataFrame, events: DataFrame, answered: DataFrame,
+           lookback_days: int = 7) -> DataFrame:
+    """Batch answers (J1) for :func:`unanswered_orders`, in the stream's columns."""
+    return last_touch(unanswered_orders(orders, answered), events, lookback_days) \
+        .select(*TOUCH_OUTPUT.fieldNames())
+
+
 def end_of_input_marker(spark, max_ts: _dt.datetime, delay_seconds: int) -> DataFrame:
     """One row past ``max_ts + delay``: closing the input advances the
     watermark so the last windows / pending orders are emitted."""
     ts = max_ts + _dt.timedelta(seconds=delay_seconds + 1)
-    return spark.createDataFrame([(2, "~end-of-input", ts, None, None, None, None, None)],
-                                 TOUCH_INPUT)
+    return spark.createDataFrame([(2, "~end-of-input", ts, None, None, None, None)], TOUCH_INPUT)

@@ -1,4 +1,8 @@
-"""Spark result vs DuckDB oracle: row count, column names and values."""
+"""Spark result vs DuckDB oracle: row count, column names and values, floats exactly.
+
+Queries round the few columns whose last bits depend on the engine (window averages and
+deviations) themselves, in both forms.
+"""
 
 from __future__ import annotations
 
@@ -21,9 +25,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 6) + 0.0
+        return "NaN" if math.isnan(v) else v + 0.0     # exact; -0.0 is 0.0
     if isinstance(v, _dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, _dt.date):

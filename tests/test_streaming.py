@@ -1,5 +1,5 @@
-"""Stateful streaming last touch: out-of-order arrival within the delay
-gives the batch answer; input behind the watermark never corrupts state."""
+"""Stateful streaming last touch: out-of-order arrival within the delay gives the batch answer,
+values pass unchanged, state expires, and what comes too late is found for repair."""
 
 import datetime as dt
 
@@ -15,65 +15,97 @@ def h(x):
     return T0 + dt.timedelta(hours=x)
 
 
-EV = "kind int, customer_id string, ts timestamp, tie bigint, event_id string, " \
-     "campaign_id string, order_id string, revenue double"
+EV = "kind int, customer_id string, ts timestamp, event_id string, campaign_id string, " \
+     "order_id string, revenue double"
+END = (2, "~end", h(400), None, None, None, None)
 
 
 def ev(cust, hour, tie, camp):
-    return (0, cust, h(hour), tie, f"e{tie}", camp, None, None)
+    return (0, cust, h(hour), f"e{tie}", camp, None, None)
 
 
 def od(cust, hour, oid, rev=1.0):
-    return (1, cust, h(hour), None, None, None, oid, rev)
+    return (1, cust, h(hour), None, None, oid, rev)
 
 
-def _run(spark, tmp_path, files, delay="2 hours"):
-    src = str(tmp_path / "src")
+def _run(spark, tmp_path, files, delay="2 hours", restart=False):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+
+    def go():
+        stream = spark.readStream.schema(sj.TOUCH_INPUT).option("maxFilesPerTrigger", 1) \
+            .parquet(src)
+        q = (sj.stream_last_touch(stream, delay).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ck).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+        return q
+
     for rows in files:
         spark.createDataFrame(rows, EV).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(sj.TOUCH_INPUT).option("maxFilesPerTrigger", 1).parquet(src)
-    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    q = (sj.stream_last_touch(stream, delay).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ck).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert q.exception() is None
-    return {r.order_id: (r.campaign_id, r.touch_ts, r.late)
-            for r in spark.read.schema(sj.TOUCH_OUTPUT).parquet(out).collect()}
-
-
-def test_out_of_order_within_delay_matches_batch(spark, tmp_path):
-    files = [
-        [ev("a", 0, 1, "A0"), ev("a", 5, 2, "A5"), od("a", 3, "o1"), ev("b", 1, 3, "B1")],
-        # the event at 4h and the order at 4h30 arrive after data up to 5h
-        [ev("a", 4, 4, "A4"), od("a", 4.5, "o2"), od("b", 4, "o3"), od("a", 6, "o4")],
-        [ev("a", 8, 5, None), od("a", 9, "o5"), od("c", 9, "o6"),
-         od("b", 1 + 24 * 7 + 1, "o7")],
-        [(2, "~end", h(400), None, None, None, None, None)],
-    ]
-    got = _run(spark, tmp_path, files)
-    rows = [r for f in files for r in f if r[0] in (0, 1)]
-    df = spark.createDataFrame(rows, EV)
-    orders = df.filter("kind = 1").select("order_id", "customer_id",
-                                          F.col("ts").alias("order_ts"), "revenue")
-    events = df.filter("kind = 0").select("event_id", "customer_id",
-                                          F.col("ts").alias("event_ts"), "campaign_id", "tie")
-    want = {r.order_id: (r.campaign_id, r.touch_ts, False)
-            for r in last_touch(orders, events, tie="tie").collect()}
-    assert got == want
-    assert got["o2"][0] == "A4" and got["o5"] == (None, h(8), False)
-    assert got["o7"] == (None, None, False)       # last touch older than 7 days
-
-
-def test_input_behind_the_watermark_is_dropped_by_spark(spark, tmp_path):
+        if restart:
+            q = go()
+    q = q if restart else go()
+    return spark.read.schema(sj.TOUCH_OUTPUT).parquet(out), q
+
+
+def _split(spark, files):
+    df = spark.createDataFrame([r for f in files for r in f if r[0] in (0, 1)], EV)
+    orders = df.filter("kind = 1").select("order_id", "customer_id", F.col("ts").alias("order_ts"),
+                                          "revenue")
+    events = df.filter("kind = 0").select("event_id", "customer_id", F.col("ts").alias("event_ts"),
+                                          "campaign_id")
+    return orders, events
+
+
+def _rows(df):
+    return sorted((r.order_id, r.customer_id, r.campaign_id, r.touch_ts, r.revenue)
+                  for r in df.collect())
+
+
+FILES = [
+    [ev("a", 0, 1, "A0"), ev("a", 5, 2, "A5"), od("a", 3, "o1"), ev("b", 1, 3, "B1"),
+     od(None, 2, "n1", 1 / 3), od("a", 3, "o1")],
+    # the event at 4h and the order at 4h30 arrive after data up to 5h; o1 comes again
+    [ev("a", 4, 4, "A4"), od("a", 4.5, "o2", 1e-12), od("b", 4, "o3", 2 / 3), od("a", 6, "o4"),
+     od("a", 3, "o1"), od(None, 5, "n2"), od(None, 5, "n2")],
+    [ev("a", 8, 5, None), od("a", 9, "o5", 0.1 + 0.2), od("c", 9, "o6"),
+     od("b", 1 + 24 * 7 + 1, "o7"), ev("c", 9, 9, "C9"), ev("c", 9, 10, "C10")],
+    [END],
+]
+
+
+def test_stream_equals_batch_whether_restarted_or_not(spark, tmp_path):
+    orders, events = _split(spark, FILES)
+    want = _rows(last_touch(orders, events))
+    for restart in (False, True):
+        got, _ = _run(spark, tmp_path / str(restart), FILES, restart=restart)
+        assert _rows(got) == want
+    by_id = {r[0]: r for r in want}
+    assert by_id["o2"][2] == "A4" and by_id["o5"][2:4] == (None, h(8))
+    assert by_id["o6"][2] == "C10"                        # e10 beats e9
+    assert by_id["o7"][2:4] == (None, None)               # last touch older than 7 days
+    assert by_id["n1"][1:4] == (None, None, None) and by_id["n1"][4] == 1 / 3
+    assert by_id["o2"][4] == 1e-12 and by_id["o5"][4] == 0.1 + 0.2
+
+
+def test_state_is_removed_after_the_look_back(spark, tmp_path):
+    _, q = _run(spark, tmp_path, [*FILES, [(2, "~end", h(1200), None, None, None, None)],
+                                  [(2, "~end", h(1201), None, None, None, None)]])
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_late_orders_are_counted_and_repaired(spark, tmp_path):
     files = [
         [ev("a", 1, 1, "A1"), ev("a", 10, 2, "A10"), od("a", 11, "o1")],
         [ev("z", 20, 3, "Z")],                    # moves the watermark to 18h
         [od("a", 2, "late")],                     # arrives long after its time
-        [(2, "~end", h(400), None, None, None, None, None)],
+        [END],
     ]
-    got = _run(spark, tmp_path, files)
-    assert got["o1"] == ("A10", h(10), False)
-    # Spark's stateful operator drops input older than the watermark; the
-    # batch job is the reconciliation path for such rows
-    assert "late" not in got
+    got, q = _run(spark, tmp_path, files)
+    assert {r.order_id for r in got.collect()} == {"o1"}
+    assert sj.dropped_by_watermark(q) == 1
+    orders, events = _split(spark, files)
+    assert [r.order_id for r in sj.unanswered_orders(orders, got).collect()] == ["late"]
+    assert _rows(got.unionByName(sj.repair(orders, events, got))) == _rows(
+        last_touch(orders, events))
