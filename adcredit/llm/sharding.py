@@ -6,8 +6,9 @@ copies there are; texts without copies have no links and stay out of it.
 
 Every round, each cell counts its text's documents in all shards (a join of the
 cells with their own aggregate) and asks to move to the fullest. The gain is
-the number of its links that the move mends less those that it cuts. Quotas decide: what may enter a
-shard is what its target leaves free, plus ``slack`` of it; requests are admitted by gain class
+the number of its links that the move mends less those that it cuts. Quotas decide: linked
+documents may enter a shard up to its target (documents without links make room: they can go
+anywhere); requests are admitted by gain class
 (powers of two), whole classes first, and the class at the edge in part, by a hash.
 Only the sums per (shard, gain class), a few hundred numbers, are ordered; no
 round sorts or collects cells.
@@ -34,7 +35,7 @@ GAIN_CLASSES = 40
 
 
 def _round(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
-           slack: float, number: int) -> DataFrame:
+           number: int) -> DataFrame:
     """One round of requests and admissions; the cells with their new shard."""
     held = cells.groupBy("text_key", "shard").agg(F.sum("n").alias("here"))
     best = held.groupBy("text_key").agg(
@@ -47,7 +48,7 @@ def _round(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], sha
     wish = wish.withColumn("class", F.when(asks, F.least(
         F.lit(GAIN_CLASSES - 1), F.floor(F.log2(F.col("gain") + 1)).cast("int"))))
     free = F.create_map(*[F.lit(x) for s in range(shards) for x in
-                          (s, max(0.0, targets[s] * (1 + slack) - loads.get(s, 0)))])
+                          (s, float(max(0, targets[s] - loads.get(s, 0))))])
     # a small table: shards x gain classes. A shard's outflow is not counted on: it may be refused.
     sums = wish.filter("class IS NOT NULL").groupBy("aim", "class").agg(F.sum("n").alias("asked"))
     before = Window.partitionBy("aim").orderBy(F.desc("class")) \
@@ -62,10 +63,10 @@ def _round(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], sha
 
 
 def propagate(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
-              rounds: int, slack: float) -> DataFrame:
-    """(text_key, home, n, shard) after at most ``rounds`` rounds."""
+              rounds: int) -> DataFrame:
+    """(text_key, home, n, shard) after at most ``rounds`` rounds; ``loads``: linked documents."""
     for number in range(rounds):
-        moved = written(_round(cells, loads, targets, shards, slack, number), "shard-cells")
+        moved = written(_round(cells, loads, targets, shards, number), "shard-cells")
         changes = moved.alias("a").join(cells.alias("b"), ["text_key", "home"]) \
             .filter("a.shard <> b.shard").groupBy(F.col("a.shard").alias("to"),
                                                   F.col("b.shard").alias("from")) \
@@ -79,26 +80,26 @@ def propagate(cells: DataFrame, loads: dict[int, int], targets: dict[int, int],
     return cells
 
 
-def shard(docs: DataFrame, shards: int = 8, rounds: int = 4, slack: float = 0.02,
-          id_col: str = "doc_id", text_col: str = "text", spread: int = 64) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 8, rounds: int = 5, id_col: str = "doc_id",
+          text_col: str = "text", spread: int = 64) -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every row."""
-    if shards < 1 or rounds < 0 or slack < 0 or spread < 1:
-        raise ValueError("shards and spread must be positive, rounds and slack not negative")
+    if shards < 1 or rounds < 0 or spread < 1:
+        raise ValueError("shards and spread must be positive, rounds not negative")
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t")).select(
         "id", (F.octet_length("t") + 1).cast("long").alias("size"),
         F.crc32("t").alias("text_crc32"), F.unhex(F.md5("t")).alias("text_key"),
         F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("home"))
     rows = written(rows, "shard-rows")
-    loads = {r["home"]: r["n"] for r in
-             rows.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(loads.values())
+    total = rows.count()
     targets = {s: total // shards + (s < total % shards) for s in range(shards)}
     cells = rows.groupBy("text_key", "home").agg(F.count(F.lit(1)).alias("n"))
     linked = cells.groupBy("text_key").agg(F.sum("n").alias("copies")).filter("copies > 1")
     cells = written(cells.join(linked.select("text_key"), "text_key")
                     .select("text_key", "home", "n", F.col("home").alias("shard")), "shard-cells")
-    cells = propagate(cells, dict(loads), targets, shards, rounds, slack)
+    loads = {r["home"]: r["n"] for r in
+             cells.groupBy("home").agg(F.sum("n").alias("n")).collect()}     # a number a shard
+    cells = propagate(cells, loads, targets, shards, rounds)
     # exact law: rank within the shard, linked documents first
     placed = rows.join(cells.select("text_key", "home", "shard"), ["text_key", "home"], "left") \
         .select("id", "size", "text_crc32", "text_key",
