@@ -11,8 +11,9 @@ shingles is at least ``percent`` / 100. The steps:
 4. buckets that still hold several components: their documents outside the bucket's largest
    component are compared with all its members of other components, block by block (at most
    about ``block`` x ``block`` documents a task group), by signature, and what passes on the full
-   sets. Documents that are connected already are not compared again, so a large
-   group of near copies costs one comparison a document, not all pairs;
+   sets. Two rounds confirm the nearest document of each only, which merges what is left
+   of a large group of near copies; the third confirms every pair that is still open.
+   Documents that are connected already are not compared again;
 5. components of all links.
 
 No candidate is dropped or capped: a pair is missed only if its minima share
@@ -30,7 +31,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -162,27 +162,99 @@ def confirmer(percent: int, margin: float):
     return run
 
 
-def near_pairs(percent: int, margin: float):
-    """``applyInPandas`` over one block pair of a bucket: pairs whose signatures are near."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """Rows of sorted batches, one list per value of the first ``keys`` columns."""
+    now, rows = None, []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if row[:keys] != now and rows:
+                yield rows
+                rows = []
+            now = row[:keys]
+            rows.append(row)
+    if rows:
+        yield rows
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        left, right = df[df["side"] == 0], df[df["side"] == 1]
+
+def near_pairs(percent: int, margin: float, rows: int, best: bool):
+    """``mapInArrow`` over sorted (key, i, j, band, side, id, root, minor, sig): near signatures.
+
+    A group is one block pair of a bucket. A pair is reported in its first common band only. With
+    ``best`` each left document reports its nearest one only.
+    """
+
+    def near(group: list[tuple]) -> list[tuple[int, int]]:
+        left = [r for r in group if r[4] == 0]
+        right = [r for r in group if r[4] == 1]
+        if not left or not right:
+            return []
+        sig = np.frombuffer(b"".join(r[8] for r in right), np.uint32).reshape(len(right), -1)
+        ids = np.array([r[5] for r in right])
+        roots = np.array([r[6] for r in right])
+        minor = np.array([r[7] for r in right])
         out = []
-        if len(left) and len(right):
-            right_sig = np.frombuffer(b"".join(right["sig"]), np.uint32).reshape(len(right), -1)
-            ids, roots = right["id"].to_numpy(), right["root"].to_numpy()
-            minor = right["minor"].to_numpy()
-            for a, root, sig in zip(left["id"], left["root"], left["sig"]):
-                near = (right_sig == np.frombuffer(sig, np.uint32)).mean(axis=1) \
-                    >= percent / 100 - margin
-                # two minor documents meet twice: keep one order
-                near &= (roots != root) & (~minor | (ids > a))
-                out += [(a, b) for b in ids[near]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        for _, _, _, band, _, a, root, _, own in left:
+            # two minor documents meet twice: keep one order
+            open_ = np.flatnonzero((roots != root) & (~minor | (ids > a)))
+            if not len(open_):
+                continue
+            same = sig[open_] == np.frombuffer(own, np.uint32)
+            share = same.mean(axis=1)
+            shared_bands = same.reshape(len(open_), -1, rows).all(axis=2)
+            good = (share >= percent / 100 - margin) & (shared_bands.argmax(axis=1) == band)
+            if good.any():
+                pick = [np.where(good, share, -1).argmax()] if best else np.flatnonzero(good)
+                out += [(a, b) for b in ids[open_[pick]].tolist()]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for group in _groups(batches, 3):
+            found += near(group)
+            if len(found) >= 50_000:
+                yield _pairs(found)
+                found = []
+        if found:
+            yield _pairs(found)
 
     return run
 
 
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _mixed_pairs(stars: DataFrame, profiles: DataFrame, roots: DataFrame,
+                 block: int) -> DataFrame:
+    """Blocks of the buckets that hold several components, for :func:`near_pairs`.
+
+    A bucket's minor documents, those outside its largest component, are dealt to blocks,
+    all its documents too, and every pair of blocks becomes a group.
+    """
+    member = stars.select("key", "band", "id").join(roots, "id", "left") \
+        .select("key", "band", "id", F.coalesce("root", "id").alias("root"))
+    share = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n")) \
+        .filter("main.n < n").select(
+            "key", F.col("main.root").alias("main"),
+            F.ceil(F.col("n") / block).cast("int").alias("blocks"),
+            F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("minor_blocks"))
+    mixed = written(member.join(share, "key").select(
+        "*", (F.col("root") != F.col("main")).alias("minor")), "near-mixed")
+
+    def dealt(side: int, of: str, over: str, this: str, other: str) -> list:
+        return ["key", "band", "id", "root", "minor", F.lit(side).alias("side"),
+                F.pmod(F.xxhash64("id"), F.col(of)).cast("int").alias(this),
+                F.explode(F.sequence(F.lit(0), F.col(over) - 1)).alias(other)]
+
+    left = mixed.filter("minor").select(*dealt(0, "minor_blocks", "blocks", "j", "i"))
+    right = mixed.select(*dealt(1, "blocks", "minor_blocks", "i", "j"))
+    met = left.unionByName(right).join(profiles.select("id", "sig"), "id")
+    return met.select("key", "i", "j", "band", "side", "id", "root", "minor", "sig") \
+        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                 percent: int = 75, hashes: int = HASHES, rows: int = ROWS, margin: float = 0.17,
                 block: int = 256) -> DataFrame:
@@ -198,7 +270,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = written(full.groupBy("digest").agg(F.min("id").alias("rep")), "near-classes")
     # 2: buckets of class representatives
     keyed = full.join(classes, (full["digest"] == classes["digest"]) & (full["id"] == classes["rep"])) \
-        .select(full["id"], F.explode("bands").alias("key"))
+        .select(full["id"], F.posexplode("bands").alias("band", "key"))
     keyed = written(keyed, "near-keys")
     leaders = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")) \
         .filter("leader < last").select("key", "leader")
@@ -229,31 +301,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = confirmed(first.join(led, "b"), "near-links")
     # 3, 4: buckets that still hold several components
     roots = written(components(links), "near-roots")
-    member = stars.select("key", "id").join(roots, "id", "left") \
-        .select("key", "id", F.coalesce("root", "id").alias("root"))
-    share = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-        F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n")) \
-        .filter("main.n < n").select(
-            "key", F.col("main.root").alias("main"),
-            F.ceil(F.col("n") / block).cast("int").alias("blocks"),
-            F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("minor_blocks"))
-    mixed = written(member.join(share, "key").select(
-        "*", (F.col("root") != F.col("main")).alias("minor")), "near-mixed")
-
-    def dealt(of: str, over: str, this: str, other: str):
-        return (F.pmod(F.xxhash64("id"), F.col(of)).cast("int").alias(this),
-                F.explode(F.sequence(F.lit(0), F.col(over) - 1)).alias(other))
-
-    left = mixed.filter("minor").select("key", "id", "root", "minor", F.lit(0).alias("side"),
-                                        *dealt("minor_blocks", "blocks", "j", "i"))
-    right = mixed.select("key", "id", "root", "minor", F.lit(1).alias("side"),
-                         *dealt("blocks", "minor_blocks", "i", "j"))
-    met = left.unionByName(right).join(profiles.select("id", "sig"), "id")
-    pairs = written(met.groupBy("key", "i", "j").applyInPandas(
-        near_pairs(percent, margin), "a long, b long").distinct(), "near-pairs")
-    more = confirmed(pairs.join(side("a"), "a").join(side("b"), "b"), "near-links")
+    for best in (True, True, False):
+        pairs = written(_mixed_pairs(stars, profiles, roots, block).mapInArrow(
+            near_pairs(percent, margin, rows, best), "a long, b long").distinct(), "near-pairs")
+        if pairs.isEmpty():
+            break
+        more = confirmed(pairs.join(side("a"), "a").join(side("b"), "b"), "near-links")
+        roots = written(components(more.unionByName(
+            roots.select(F.col("id").alias("a"), F.col("root").alias("b")))), "near-roots")
     # 5
-    roots = written(components(links.unionByName(more)), "near-roots")
     found = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("digest", F.coalesce("root", "rep").alias("component"))
     out = sketches.select("id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest")) \
