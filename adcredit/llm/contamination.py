@@ -35,10 +35,9 @@ from adcredit.llm.common import WordHashes, shingle_hashes, words_of
 from adcredit.llm.near_dedup import families
 
 
-def minima(x: np.ndarray, width: int, hashes: int) -> np.ndarray:
-    """(windows, hashes) minima over consecutive windows of ``width`` shingles."""
+def minima(x: np.ndarray, at: np.ndarray, hashes: int) -> np.ndarray:
+    """(windows, hashes) minima over the windows that start at ``at``."""
     mult, add = families(hashes)
-    at = np.arange(0, len(x), width)
     out = np.empty((len(at), hashes), np.uint32)
     buf = np.empty_like(x)
     for i in range(hashes):
@@ -48,9 +47,12 @@ def minima(x: np.ndarray, width: int, hashes: int) -> np.ndarray:
     return out
 
 
-def widen(low: np.ndarray, factor: int) -> np.ndarray:
-    """Minima of windows ``factor`` times as wide."""
-    return np.minimum.reduceat(low, np.arange(0, len(low), factor), axis=0)
+def starts(sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of consecutive windows inside runs of ``sizes``, and the windows of each run."""
+    counts = -(-sizes // width)
+    first = np.cumsum(sizes) - sizes
+    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(first, counts) + within * width, counts
 
 
 def width_of(n: int) -> int:
@@ -77,7 +79,7 @@ class ItemIndex:
         self.classes = []
         for width in sorted(by_class):
             members = np.array(by_class[width])
-            sig = np.vstack([minima(self.sets[m], len(self.sets[m]), hashes) for m in members])
+            sig = np.vstack([minima(self.sets[m], np.zeros(1, int), hashes) for m in members])
             hit = np.zeros((hashes, 1 << bits), bool)       # low bits that occur at all
             for i in range(hashes):
                 hit[i, sig[:, i] & self.mask] = True
@@ -87,22 +89,44 @@ class ItemIndex:
                     exact[i, v].append(m)
             self.classes.append((width, hit, dict(exact)))
 
-    def search(self, x: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, shingles of it, of these held) for one document's shingles in order."""
-        if not len(x) or not self.classes:
-            return []
-        candidates: set[int] = set()
-        low, width = None, 0
-        functions = np.arange(self.hashes)
+    def search(self, docs: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+        """(item, shingles of it, of these held) for each document's shingles in order."""
+        out: list[list] = [[] for _ in docs]
+        full = [d for d, x in enumerate(docs) if len(x)]
+        at = 0
+        while at < len(full) and self.classes:          # runs of about 64k shingles stay in cache
+            stop, n = at, 0
+            while stop < len(full) and (stop == at or n + len(docs[full[stop]]) <= 65_536):
+                n += len(docs[full[stop]])
+                stop += 1
+            part = full[at:stop]
+            for d, found in self._candidates([docs[d] for d in part]):
+                out[part[d]] = self._verified(docs[part[d]], found)
+            at = stop
+        return out
+
+    def _candidates(self, docs: list[np.ndarray]) -> list[tuple[int, set[int]]]:
+        """Items that share a minimum with a window of the document."""
+        found: dict[int, set[int]] = defaultdict(set)
+        x, sizes = np.concatenate(docs), np.array([len(d) for d in docs])
+        low, width, functions = None, 0, np.arange(self.hashes)
         for w, hit, exact in self.classes:
-            low = minima(x, w, self.hashes) if low is None else widen(low, w // width)
+            if low is None:
+                at, sizes = starts(sizes, w)
+                low = minima(x, at, self.hashes)
+            else:                                       # widths are powers of two: merge windows
+                at, sizes = starts(sizes, w // width)
+                low = np.minimum.reduceat(low, at, axis=0)
             width = w
-            for r, i in zip(*np.nonzero(hit[functions, low & self.mask])):
-                candidates.update(exact.get((int(i), int(low[r, i])), ()))
-        if not candidates:
-            return []
-        own = np.unique(x)
-        out = []
+            row, i = np.nonzero(hit[functions, low & self.mask])
+            owner = np.repeat(np.arange(len(docs)), sizes)
+            for d, key in zip(owner[row].tolist(), zip(i.tolist(), low[row, i].tolist())):
+                if key in exact:
+                    found[d].update(exact[key])
+        return list(found.items())
+
+    def _verified(self, x: np.ndarray, candidates: set[int]) -> list[tuple[int, int, int]]:
+        own, out = np.unique(x), []
         for m in sorted(candidates):
             s = self.sets[m]
             at = np.minimum(np.searchsorted(own, s), len(own) - 1)
@@ -110,6 +134,12 @@ class ItemIndex:
         return out
 
 
+def _found(texts: pa.Array, memo: WordHashes, index: ItemIndex) -> Iterator[list]:
+    for i in range(0, len(texts), 300):
+        yield from index.search([shingle_hashes(words_of(t.as_py()), memo, index.size)
+                                 for t in texts[i:i + 300]])
+
+
 def searcher(index, percent: int):
     """``mapInArrow`` over (id, text); ``index`` is a broadcast ItemIndex."""
 
@@ -117,9 +147,8 @@ def searcher(index, percent: int):
         memo, ix = WordHashes(), index.value
         for b in batches:
             docs, items, sizes, held = [], [], [], []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                x = shingle_hashes(words_of(text.as_py()), memo, ix.size)
-                for item, n, h in ix.search(x):
+            for doc, found in zip(b.column(0).to_pylist(), _found(b.column(1), memo, ix)):
+                for item, n, h in found:
                     if 100 * h >= percent * n:
                         docs.append(doc)
                         items.append(item)
@@ -168,8 +197,8 @@ def _clean(index, percent: int, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, ix = WordHashes(), index.value
         for b in batches:
-            keep = [not any(100 * h >= percent * n for _, n, h in ix.search(
-                shingle_hashes(words_of(t.as_py()), memo, ix.size))) for t in b.column(text_at)]
+            keep = [not any(100 * h >= percent * n for _, n, h in found)
+                    for found in _found(b.column(text_at), memo, ix)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return run
