@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adcredit.session import shared_dir
+from adcredit.sources import files
 
 #: Word separators of every operator here: space, tab, LF, VT, FF, CR.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -25,7 +26,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete :func:`written` tables whose readers have been written themselves."""
+    for t in tables:
+        files.delete(t.sparkSession, t.scratch_path)
 
 
 def whole_text(column: str = "text"):

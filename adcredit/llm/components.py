@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import written
+from adcredit.llm.common import discard, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -40,7 +40,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
             F.col("m").alias("v"))
         # an edge to another than the smallest becomes two: (v, m) above and (u, m)
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = written(small, "cc-edges")
+        old, edges = edges, written(small, "cc-edges")
+        discard(old)
         before, state = state, _state(edges)
         if state == before:
             break

@@ -26,8 +26,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import whole_text, written
+from adcredit.llm.common import discard, whole_text, written
 from adcredit.session import shared_dir
+from adcredit.sources import files
 
 _BLANKS = " \t\n\x0b\f\r"
 
@@ -84,7 +85,8 @@ class LineRuns:
 
     def add(self, batch: DataFrame) -> None:
         """``batch``: (key, docs, last), one row a key, of documents not added before."""
-        rows = written(batch, "line-batch").repartition(self.buckets, "key")
+        stored = written(batch, "line-batch")
+        rows = stored.repartition(self.buckets, "key")
         fresh, first = rows, not any(self.levels)
         for name in [n for level in self.levels for n in level]:      # merge-anti-join the runs
             fresh = self._without(fresh, name)
@@ -92,6 +94,7 @@ class LineRuns:
         if not first:                            # keys of the batch that its own run lacks
             self._push(self.repeats, self._write(self._without(rows, name)))
         self._push(self.levels, name)
+        discard(stored)
 
     def _without(self, rows: DataFrame, name: str) -> DataFrame:
         return rows.join(self.spark.table(name).select("key").hint("merge"), "key", "left_anti")
@@ -105,6 +108,7 @@ class LineRuns:
     def _forget(self, names: list[str]) -> None:
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            files.delete(self.spark, self.paths.pop(name))
 
     def close(self) -> None:
         self._forget([n for levels in (self.levels, self.repeats) for lv in levels for n in lv])

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import WordHashes, shingle_hashes, words_of, written
+from adcredit.llm.common import WordHashes, discard, shingle_hashes, words_of, written
 from adcredit.llm.components import components
 
 HASHES, ROWS = 128, 4
@@ -226,8 +226,8 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _mixed_pairs(stars: DataFrame, profiles: DataFrame, roots: DataFrame,
-                 block: int) -> DataFrame:
-    """Blocks of the buckets that hold several components, for :func:`near_pairs`.
+                 block: int) -> tuple[DataFrame, DataFrame]:
+    """The documents of buckets that hold several components (written), and their blocks.
 
     A bucket's minor documents, those outside its largest component, are dealt to blocks,
     all its documents too, and every pair of blocks becomes a group.
@@ -251,7 +251,7 @@ def _mixed_pairs(stars: DataFrame, profiles: DataFrame, roots: DataFrame,
     left = mixed.filter("minor").select(*dealt(0, "minor_blocks", "blocks", "j", "i"))
     right = mixed.select(*dealt(1, "blocks", "minor_blocks", "i", "j"))
     met = left.unionByName(right).join(profiles.select("id", "sig"), "id")
-    return met.select("key", "i", "j", "band", "side", "id", "root", "minor", "sig") \
+    return mixed, met.select("key", "i", "j", "band", "side", "id", "root", "minor", "sig") \
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
@@ -275,6 +275,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     leaders = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")) \
         .filter("leader < last").select("key", "leader")
     stars = written(keyed.join(leaders, "key"), "near-stars")
+    discard(keyed)
     best = stars.filter("id <> leader").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n")) \
         .groupBy("id").agg(F.max(F.struct("n", (-F.col("leader")).alias("l"))).alias("best")) \
         .select("id", (-F.col("best.l")).alias("leader"))
@@ -302,8 +303,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # 3, 4: buckets that still hold several components
     roots = written(components(links), "near-roots")
     for best in (True, True, False):
-        pairs = written(_mixed_pairs(stars, profiles, roots, block).mapInArrow(
-            near_pairs(percent, margin, rows, best), "a long, b long").distinct(), "near-pairs")
+        mixed, blocks = _mixed_pairs(stars, profiles, roots, block)
+        pairs = written(blocks.mapInArrow(near_pairs(percent, margin, rows, best),
+                                          "a long, b long").distinct(), "near-pairs")
+        discard(mixed)
         if pairs.isEmpty():
             break
         more = confirmed(pairs.join(side("a"), "a").join(side("b"), "b"), "near-links")

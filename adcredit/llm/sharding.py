@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import whole_text, written
+from adcredit.llm.common import discard, whole_text, written
 
 GAIN_CLASSES = 40
 
@@ -74,6 +74,7 @@ def propagate(cells: DataFrame, loads: dict[int, int], targets: dict[int, int],
         for r in changes:
             loads[r["to"]] = loads.get(r["to"], 0) + r["n"]
             loads[r["from"]] -= r["n"]
+        discard(cells)
         cells = moved
         if not changes:
             break

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import mix, whole_text, written
+from adcredit.llm.common import discard, mix, whole_text, written
 from adcredit.session import shared_dir
 
 LENGTH, PREFIX = 50, 20
@@ -394,6 +394,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .mapInArrow(marker(length, prefix), "doc long, variant int, pos int, mask long")
     marks = written(marks.groupBy("doc", "variant").agg(
         F.collect_list(F.struct("pos", "mask")).alias("marks")), "suffix-marks")
+    discard(places)
     done = texts.join(marks, ["doc", "variant"], "left").select("doc", "text", "marks").mapInArrow(
         remover(length), "doc long, n long, spans array<struct<start:long,stop:long>>, kept binary")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from adcredit.llm import contamination, exact_dedup, near_dedup, packing, toxicity
-from adcredit.llm.common import table, written
+from adcredit.llm.common import discard, table, written
 from adcredit.llm.queries import held_out
 
 
@@ -51,7 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"corpus-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
