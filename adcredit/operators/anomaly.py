@@ -8,7 +8,7 @@ population stddev; "median" is the upper median ``sorted[n // 2]``;
 Every statistic is a window aggregate over the series' partition, so
 there is no join back and no collect. A series is one row per date
 (optionally per campaign), so a partition is bounded by the number of
-days in the requested range.
+days in the requested range; a longer series (``MAX_POINTS``) is refused.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ MEDIUM_Z = 2
 HIGH_PCT = 0.25
 MEDIUM_PCT = 0.15
 
+# A series has one point a date, so its statistics fit one task; more points are refused.
+MAX_POINTS = 100_000
+
 STATS = ["n", "mean", "stddev", "median", "mad", "q1", "q3"]
 
 
@@ -34,7 +37,9 @@ def _with_stats(series: DataFrame, metric: str, order_col: str,
     pts = (series.filter(F.col(metric).isNotNull())
            .select(*series_cols, order_col, F.col(metric).cast("double").alias("value")))
     v = F.col("value")
-    ranked = pts.select("*", F.count(F.lit(1)).over(whole).alias("n"),
+    count = F.count(F.lit(1)).over(whole)
+    too_long = F.raise_error(F.lit(f"a series has more than {MAX_POINTS} points")).cast("bigint")
+    ranked = pts.select("*", F.when(count <= MAX_POINTS, count).otherwise(too_long).alias("n"),
                         (F.row_number().over(by_value) - 1).alias("idx"),
                         F.avg(v).over(whole).alias("mean"),
                         F.stddev_pop(v).over(whole).alias("stddev"))

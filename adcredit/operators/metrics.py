@@ -128,11 +128,11 @@ def portfolio_summary(latest: DataFrame) -> DataFrame:
                      F.coalesce(money_sum("attributed_revenue"), F.lit(0.0))
                      .alias("attributed_revenue"),
                      F.coalesce(F.sum("conversions"), F.lit(0)).cast("bigint").alias("conversions"),
-                     F.count(F.lit(1)).alias("campaigns"))
+                     F.count(F.lit(1)).alias("campaign_count"))
     return agg.select("spend", "attributed_revenue",
                       ratio_or_zero("attributed_revenue", "spend").alias("roas"),
                       ratio_or_zero("spend", "conversions").alias("cac"),
-                      "conversions", "campaigns")
+                      "conversions", "campaign_count")
 
 
 def _filtered(metrics: DataFrame, campaign_id, date_from, date_to) -> DataFrame:

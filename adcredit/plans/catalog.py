@@ -162,7 +162,7 @@ SELECT COALESCE(""" + money_sum("spend") + """, 0) AS spend,
        CASE WHEN COALESCE(SUM(conversions), 0) = 0 THEN 0
             ELSE """ + money_sum("spend") + """ / SUM(conversions) END AS cac,
        CAST(COALESCE(SUM(conversions), 0) AS BIGINT) AS conversions,
-       COUNT(*) AS campaigns
+       COUNT(*) AS campaign_count
 FROM latest""")
 def _summary(w: Warehouse):
     """Q1 totals: A7."""
