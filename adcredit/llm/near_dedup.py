@@ -300,6 +300,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     led = profiles.join(stars.select(F.col("leader").alias("id")).distinct(), "id", "left_semi") \
         .select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b"))
     links = confirmed(first.join(led, "b"), "near-links")
+    # an id with several texts is one document: its classes hang together
+    several = full.groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")) \
+        .filter("x <> y").select("id")
+    links = links.unionByName(full.join(several, "id", "left_semi").join(classes, "digest")
+                              .select(F.col("id").alias("a"), F.col("rep").alias("b")))
     # 3, 4: buckets that still hold several components
     roots = written(components(links), "near-roots")
     for best in (True, True, False):
