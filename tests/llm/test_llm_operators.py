@@ -264,7 +264,8 @@ def variants(n=160):
         for at in r.choice(120, r.integers(0, 7), replace=False):
             w[at] = f"x{i}"
         out.append((i, " ".join(w)))
-    return out + [(n + i, " ".join(f"y{i}_{j}" for j in range(40))) for i in range(20)]
+    out += [(n + i, " ".join(f"y{i}_{j}" for j in range(40))) for i in range(20)]
+    return out + [(n + 1, out[n][1]), (n + 19, out[n + 5][1] + " z")]     # ids with two texts
 
 
 @pytest.mark.parametrize("which", ["edge", "table", "variants"])
