@@ -11,14 +11,15 @@ shingles is at least ``percent`` / 100. The steps:
 4. buckets that still hold several components: their documents outside the bucket's largest
    component are compared with all its members of other components, block by block (at most
    about ``block`` x ``block`` documents a task group), by signature, and what passes on the full
-   sets. Two rounds confirm the nearest document of each only, which merges what is left
-   of a large group of near copies; the third confirms every pair that is still open.
+   sets. The first two rounds compare each with one block only and confirm the nearest document there,
+   which merges most of what is left of a large group of near copies; the last confirms every
+   pair that is still open.
    Documents that are connected already are not compared again;
 5. components of all links.
 
 No candidate is dropped or capped: a pair is missed only if its minima share
-no band (below 1e-5 at 75 % with 32 bands of 4) or its signature is off by
-``margin`` (over 4 standard deviations).
+no band (below 1e-5 at 75 % with 32 bands of 4) or its signature, which has ``checks`` more
+minima than the bands, is off by ``margin`` (4.5 standard deviations).
 
 Defined results: NULL, empty and blank texts have no shingles and are linked
 with nothing; a text of fewer words than ``size`` has its whole sequence as one shingle;
@@ -39,14 +40,14 @@ from pyspark.sql import functions as F
 from adcredit.llm.common import WordHashes, discard, shingle_hashes, words_of, written
 from adcredit.llm.components import components
 
-HASHES, ROWS = 128, 4
+# Banded minima (32 bits, in bands of ROWS), and minima for verification only (8 bits).
+HASHES, ROWS, CHECKS = 128, 4, 640
 
 
 def families(hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
     """Odd multipliers and offsets of the multiply-add family (fixed seed)."""
-    r = np.random.default_rng(20240531)
-    return (r.integers(0, 2 ** 63, hashes, np.uint64) * np.uint64(2) + np.uint64(1),
-            r.integers(0, 2 ** 63, hashes, np.uint64))
+    r = np.random.default_rng(20240531).integers(0, 2 ** 63, (hashes, 2), np.uint64)
+    return r[:, 0] * np.uint64(2) + np.uint64(1), r[:, 1].copy()
 
 
 def signatures(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
@@ -111,7 +112,18 @@ def sketcher(size: int, hashes: int, rows: int):
     return run
 
 
-def profiler(size: int, hashes: int):
+def packed(sig: np.ndarray, hashes: int) -> list[bytes]:
+    """Signatures as bytes: the banded minima whole, the low byte of the others."""
+    return [a.tobytes() + b.tobytes() for a, b in
+            zip(sig[:, :hashes], sig[:, hashes:].astype(np.uint8))]
+
+
+def unpacked(sigs: list[bytes], hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(sigs), -1)
+    return raw[:, :4 * hashes].copy().view(np.uint32), raw[:, 4 * hashes:]
+
+
+def profiler(size: int, hashes: int, checks: int):
     """``mapInArrow`` over (id, leader, class, text): full set and signature.
 
     Rows whose text is not of the class that the id stands for are left out.
@@ -130,21 +142,22 @@ def profiler(size: int, hashes: int):
                     yield pa.RecordBatch.from_arrays([
                         b.column(0)[part].filter(keep), b.column(1)[part].filter(keep),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
-                        pa.array([s.tobytes() for s in signatures(sets, hashes)], pa.binary())],
+                        pa.array(packed(signatures(sets, hashes + checks), hashes), pa.binary())],
                         ["id", "leader", "shingles", "sig"])
 
     return run
 
 
-def confirmer(percent: int, margin: float):
+def confirmer(percent: int, margin: float, hashes: int):
     """``mapInArrow`` over (a, b, sig_a, sig_b, set_a, set_b): the pairs that are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             keep = []
             for sa, sb, xa, xb in zip(*(t.column(i) for i in range(2, 6))):
-                s, u = np.frombuffer(sa.as_py(), np.uint32), np.frombuffer(sb.as_py(), np.uint32)
-                if (s == u).mean() < percent / 100 - margin:
+                whole, low = unpacked([sa.as_py(), sb.as_py()], hashes)
+                same = (whole[0] == whole[1]).sum() + (low[0] == low[1]).sum()
+                if same < (percent / 100 - margin) * (whole.shape[1] + low.shape[1]):
                     keep.append(False)
                     continue
                 x, y = np.frombuffer(xa.as_py(), np.uint64), np.frombuffer(xb.as_py(), np.uint64)
@@ -176,7 +189,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple
         yield rows
 
 
-def near_pairs(percent: int, margin: float, rows: int, best: bool):
+def near_pairs(percent: int, margin: float, hashes: int, rows: int, best: bool):
     """``mapInArrow`` over sorted (key, i, j, band, side, id, root, minor, sig): near signatures.
 
     A group is one block pair of a bucket. A pair is reported in its first common band only. With
@@ -188,18 +201,20 @@ def near_pairs(percent: int, margin: float, rows: int, best: bool):
         right = [r for r in group if r[4] == 1]
         if not left or not right:
             return []
-        sig = np.frombuffer(b"".join(r[8] for r in right), np.uint32).reshape(len(right), -1)
+        whole, low = unpacked([r[8] for r in right], hashes)
+        own_whole, own_low = unpacked([r[8] for r in left], hashes)
         ids = np.array([r[5] for r in right])
         roots = np.array([r[6] for r in right])
         minor = np.array([r[7] for r in right])
         out = []
-        for _, _, _, band, _, a, root, _, own in left:
+        for k, (_, _, _, band, _, a, root, _, _) in enumerate(left):
             # two minor documents meet twice: keep one order
             open_ = np.flatnonzero((roots != root) & (~minor | (ids > a)))
             if not len(open_):
                 continue
-            same = sig[open_] == np.frombuffer(own, np.uint32)
-            share = same.mean(axis=1)
+            same = whole[open_] == own_whole[k]
+            share = (same.sum(axis=1) + (low[open_] == own_low[k]).sum(axis=1)) \
+                / (whole.shape[1] + low.shape[1])
             shared_bands = same.reshape(len(open_), -1, rows).all(axis=2)
             good = (share >= percent / 100 - margin) & (shared_bands.argmax(axis=1) == band)
             if good.any():
@@ -225,12 +240,13 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _mixed_pairs(stars: DataFrame, profiles: DataFrame, roots: DataFrame,
-                 block: int) -> tuple[DataFrame, DataFrame]:
+def _mixed_pairs(stars: DataFrame, profiles: DataFrame, roots: DataFrame, block: int,
+                 one: int | None) -> tuple[DataFrame, DataFrame]:
     """The documents of buckets that hold several components (written), and their blocks.
 
     A bucket's minor documents, those outside its largest component, are dealt to blocks,
-    all its documents too, and every pair of blocks becomes a group.
+    all its documents too, and every pair of blocks becomes a group. With ``one``, the number of
+    a round, each minor document meets one block, chosen by a hash, instead of all.
     """
     member = stars.select("key", "band", "id").join(roots, "id", "left") \
         .select("key", "band", "id", F.coalesce("root", "id").alias("root"))
@@ -243,21 +259,23 @@ def _mixed_pairs(stars: DataFrame, profiles: DataFrame, roots: DataFrame,
     mixed = written(member.join(share, "key").select(
         "*", (F.col("root") != F.col("main")).alias("minor")), "near-mixed")
 
-    def dealt(side: int, of: str, over: str, this: str, other: str) -> list:
-        return ["key", "band", "id", "root", "minor", F.lit(side).alias("side"),
-                F.pmod(F.xxhash64("id"), F.col(of)).cast("int").alias(this),
-                F.explode(F.sequence(F.lit(0), F.col(over) - 1)).alias(other)]
-
-    left = mixed.filter("minor").select(*dealt(0, "minor_blocks", "blocks", "j", "i"))
-    right = mixed.select(*dealt(1, "blocks", "minor_blocks", "i", "j"))
+    base = ["key", "band", "id", "root", "minor"]
+    place = {c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int") for c in ("blocks", "minor_blocks")}
+    every = {c: F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in place}
+    chosen = every["blocks"] if one is None else \
+        F.pmod(F.xxhash64("id", F.lit(one)), F.col("blocks")).cast("int")
+    left = mixed.filter("minor").select(*base, F.lit(0).alias("side"), chosen.alias("i"),
+                                        place["minor_blocks"].alias("j"))
+    right = mixed.select(*base, F.lit(1).alias("side"), place["blocks"].alias("i"),
+                         every["minor_blocks"].alias("j"))
     met = left.unionByName(right).join(profiles.select("id", "sig"), "id")
     return mixed, met.select("key", "i", "j", "band", "side", "id", "root", "minor", "sig") \
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                percent: int = 75, hashes: int = HASHES, rows: int = ROWS, margin: float = 0.17,
-                block: int = 256) -> DataFrame:
+                percent: int = 75, hashes: int = HASHES, rows: int = ROWS, checks: int = CHECKS,
+                margin: float = 0.07, block: int = 256) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row."""
     if hashes % rows or not 0 < percent <= 100:
         raise ValueError("hashes must be a multiple of rows, percent in 1..100")
@@ -282,7 +300,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     active = stars.select("id").distinct().join(best, "id", "left") \
         .join(classes.select(F.col("rep").alias("id"), F.col("digest").alias("class")), "id")
     profiles = written(texts.join(active, "id").select("id", "leader", "class", "text").mapInArrow(
-        profiler(size, hashes), "id long, leader long, shingles binary, sig binary"),
+        profiler(size, hashes, checks), "id long, leader long, shingles binary, sig binary"),
         "near-profiles")
 
     def side(name: str) -> DataFrame:
@@ -291,7 +309,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         found = pairs.select("a", "b", "sig_a", "sig_b", "set_a", "set_b") \
-            .mapInArrow(confirmer(percent, margin), "a long, b long").distinct()
+            .mapInArrow(confirmer(percent, margin, hashes), "a long, b long").distinct()
         return written(found, name)
 
     first = profiles.filter("leader IS NOT NULL").select(
@@ -307,14 +325,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                               .select(F.col("id").alias("a"), F.col("rep").alias("b")))
     # 3, 4: buckets that still hold several components
     roots = written(components(links), "near-roots")
-    for best in (True, True, False):
-        mixed, blocks = _mixed_pairs(stars, profiles, roots, block)
-        pairs = written(blocks.mapInArrow(near_pairs(percent, margin, rows, best),
+    for number, best in enumerate((True, True, False)):
+        mixed, blocks = _mixed_pairs(stars, profiles, roots, block, number if best else None)
+        pairs = written(blocks.mapInArrow(near_pairs(percent, margin, hashes, rows, best),
                                           "a long, b long").distinct(), "near-pairs")
         discard(mixed)
         if pairs.isEmpty():
             break
         more = confirmed(pairs.join(side("a"), "a").join(side("b"), "b"), "near-links")
+        if more.isEmpty():
+            continue
         roots = written(components(more.unionByName(
             roots.select(F.col("id").alias("a"), F.col("root").alias("b")))), "near-roots")
     # 5
