@@ -99,10 +99,11 @@ def latest_feature_row(features: DataFrame, require_target: bool = False,
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """A10 / M9: count, mean, sample deviation, minimum, quartiles and maximum per column.
 
-    Quartiles are exact, linear between the two nearest values. They hold a
+    The mean is an exact decimal sum over the count. Quartiles are exact, linear between the two nearest values. They hold a
     column's distinct values, which for the training frame are bounded by campaign-days.
     """
-    stats = [F.count("v").alias("count"), F.avg("v").alias("mean"),
+    mean = F.sum(F.col("v").cast("decimal(38,8)")).cast("double") / F.count("v")
+    stats = [F.count("v").alias("count"), mean.alias("mean"),
              F.stddev_samp("v").alias("stddev"), F.min("v").alias("min"),
              *[F.percentile("v", F.lit(p / 100)).alias(f"p{p}") for p in (25, 50, 75)],
              F.max("v").alias("max")]

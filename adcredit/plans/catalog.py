@@ -355,14 +355,16 @@ def _training_frame_filled(w: Warehouse):
                                       fill=0.0), *_ROLL).orderBy("metric_date")
 
 
-_PROFILE = {"mean": "AVG(v)", "stddev": "STDDEV_SAMP(v)", "min": "MIN(v)",
-            "p25": "quantile_cont(v, 0.25)", "p50": "quantile_cont(v, 0.5)",
-            "p75": "quantile_cont(v, 0.75)", "max": "MAX(v)"}
+_PROFILE = {"mean": "CAST(SUM(CAST(v AS DECIMAL(38,8))) AS DOUBLE) / COUNT(v)",
+            "stddev": "round(STDDEV_SAMP(v), 5) + 0.0", "min": "MIN(v)",
+            "p25": "round(quantile_cont(v, 0.25), 9) + 0.0",
+            "p50": "round(quantile_cont(v, 0.5), 9) + 0.0",
+            "p75": "round(quantile_cont(v, 0.75), 9) + 0.0", "max": "MAX(v)"}
 
 
 @register("training_profile", _features_sql("""
 SELECT feature, CAST(COUNT(v) AS BIGINT) AS count, """ + ", ".join(
-    f"round({e}, 5) + 0.0 AS {c}" for c, e in _PROFILE.items()) + """
+    f"{e} AS {c}" for c, e in _PROFILE.items()) + """
 FROM (""" + "\n  UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM features "
     f"WHERE next_day_roas IS NOT NULL" for c in _TRAIN_COLS + ["next_day_roas"]) + """)
@@ -373,7 +375,8 @@ def _training_profile(w: Warehouse):
     t = _r(features.training_frame(features.features_with_target(w.fact_campaign_metrics),
                                    fill=None), *_ROLL) \
         .withColumnRenamed("target_next_day_roas", "next_day_roas")
-    return round_doubles(features.profile(t, _TRAIN_COLS + ["next_day_roas"]), 5)
+    p = features.profile(t, _TRAIN_COLS + ["next_day_roas"])
+    return round_doubles(round_doubles(p, 5, only=("stddev",)), 9, only=("p25", "p50", "p75"))
 
 
 @register("training_preview", _features_sql("""
