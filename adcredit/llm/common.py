@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +41,24 @@ def discard(*tables: DataFrame) -> None:
         files.delete(t.sparkSession, t.scratch_path)
 
 
+def lean(run):
+    """Wrap an Arrow or pandas task function: give freed memory back when the task ends.
+
+    Python workers outlive their tasks, and would keep the largest heap that any task of any
+    operator needed beside the tasks of the next.
+    """
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+            if trim is not None:
+                trim(0)
+    return task
+
+
 def whole_text(column: str = "text"):
     """The text with NULL as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import WordHashes, shingle_hashes, words_of
+from adcredit.llm.common import WordHashes, lean, shingle_hashes, words_of
 from adcredit.llm.near_dedup import families
 
 
@@ -158,7 +158,7 @@ def searcher(index, percent: int):
                 [pa.array(c, pa.int64()) for c in (docs, items, sizes, held)],
                 ["doc_id", "item_id", "n_shingles", "n_held"])
 
-    return run
+    return lean(run)
 
 
 def blocks_of(items: DataFrame, id_col: str, text_col: str, size: int, hashes: int,
@@ -201,7 +201,7 @@ def _clean(index, percent: int, text_at: int):
                     for found in _found(b.column(text_at), memo, ix)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return lean(run)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import WordHashes, discard, shingle_hashes, words_of, written
+from adcredit.llm.common import WordHashes, discard, lean, shingle_hashes, words_of, written
 from adcredit.llm.components import components
 
 # Banded minima (32 bits, in bands of ROWS), and minima for verification only (8 bits).
@@ -109,7 +109,7 @@ def sketcher(size: int, hashes: int, rows: int):
                     pa.array([next(keys) if len(s) else None for s in sets],
                              pa.list_(pa.int64()))], ["id", "n", "digest", "bands"])
 
-    return run
+    return lean(run)
 
 
 def packed(sig: np.ndarray, hashes: int) -> list[bytes]:
@@ -145,7 +145,7 @@ def profiler(size: int, hashes: int, checks: int):
                         pa.array(packed(signatures(sets, hashes + checks), hashes), pa.binary())],
                         ["id", "leader", "shingles", "sig"])
 
-    return run
+    return lean(run)
 
 
 def confirmer(percent: int, margin: float, hashes: int):
@@ -172,7 +172,7 @@ def confirmer(percent: int, margin: float, hashes: int):
             yield pa.RecordBatch.from_arrays([t.column(0).filter(keep), t.column(1).filter(keep)],
                                              ["a", "b"])
 
-    return run
+    return lean(run)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
@@ -232,7 +232,7 @@ def near_pairs(percent: int, margin: float, hashes: int, rows: int, best: bool):
         if found:
             yield _pairs(found)
 
-    return run
+    return lean(run)
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:

@@ -34,7 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO = 1_200_000
+from adcredit.llm.common import lean
+
+MEMO = 800_000
 # A Latin word, perhaps with one mark after it: letters whose lower-casing is one to one and
 # which NFC leaves as they are; the word and the mark are two pre-tokens.
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿßŒœŸ]+[.,]?$"
@@ -219,7 +221,7 @@ def packer_of(definition, size: int, windows: int, slack: int, end_id: int):
         if packer.rows:
             yield rows()
 
-    return run
+    return lean(run)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, windows: int = 16,

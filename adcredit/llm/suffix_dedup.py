@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import discard, mix, whole_text, written
+from adcredit.llm.common import discard, lean, mix, whole_text, written
 from adcredit.session import shared_dir
 
 LENGTH, PREFIX = 50, 20
@@ -157,7 +157,7 @@ def namer(length: int, prefix: int, buckets: int):
         if parts:
             yield from flush(parts)
 
-    return run
+    return lean(run)
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list]:
@@ -174,6 +174,7 @@ def _by_group(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list]:
         yield rows
 
 
+@lean
 def sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``mapInArrow`` over sorted (bucket, settled, blob): anchors whose name two documents have."""
     for rows in _by_group(batches, 0):
@@ -268,7 +269,7 @@ def surrounder(length: int, prefix: int):
         if held:
             yield from flush(parts)
 
-    return run
+    return lean(run)
 
 
 def marker(length: int, prefix: int, chunk: int = 200_000):
@@ -311,7 +312,7 @@ def marker(length: int, prefix: int, chunk: int = 200_000):
         if rows:
             yield from mark(pa.Table.from_batches(kept)).to_batches()
 
-    return run
+    return lean(run)
 
 
 def remover(length: int):
@@ -346,7 +347,7 @@ def remover(length: int):
                     [("start", pa.int64()), ("stop", pa.int64())]))), pa.array(left, pa.binary())],
                 ["doc", "n", "spans", "kept"])
 
-    return run
+    return lean(run)
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -33,6 +33,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adcredit.llm.common import lean
+
 # The pre-token pattern of the byte-level vocabularies (fixed value).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
            r"| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -194,7 +196,7 @@ def counter_of(definition, whole) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 [b.column(0), size, pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))],
                 ["doc_id", "n_bytes", "n_tokens"])
 
-    return run
+    return lean(run)
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",

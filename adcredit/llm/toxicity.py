@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adcredit.llm.common import lean
+
 # Letters of other scripts and signs that pass for Latin letters.
 LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "м": "m",
@@ -142,7 +144,7 @@ def scorer(shared, keep_weight: bool = False):
                     out[f"x{i}"] = x[:, i]
             yield out
 
-    return run
+    return lean(run)
 
 
 def grams(words: Iterable[str], sizes=(4, 5, 6, 7, 8)) -> set[str]:
@@ -162,6 +164,7 @@ def _batches(seen: Counter, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
                                          ["entry", "n"])
 
 
+@lean
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of this task that hold each string."""
     table, seen = Fold(), Counter()
@@ -187,7 +190,7 @@ def _entry_counts(shared):
                 seen.update({e for _, e in a.iter(f" {words} ".replace(" ", "  "))})
         yield from _batches(seen)
 
-    return run
+    return lean(run)
 
 
 def _words_with(shared):
@@ -202,7 +205,7 @@ def _words_with(shared):
                             if any(True for _ in automaton.iter(f" {w} ")))
         yield from _batches(seen)
 
-    return run
+    return lean(run)
 
 
 def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int,
@@ -329,7 +332,7 @@ def rejected(threshold: float, lexicon_shared, text_at: int):
                             < threshold)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return lean(run)
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3,
