@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from adcredit.llm.common import lean
 
-MEMO = 800_000
+MEMO = 400_000
+SLICE = 512                  # texts that are split and encoded at a time
 # A Latin word, perhaps with one mark after it: letters whose lower-casing is one to one and
 # which NFC leaves as they are; the word and the mark are two pre-tokens.
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿßŒœŸ]+[.,]?$"
@@ -211,9 +212,9 @@ def packer_of(definition, size: int, windows: int, slack: int, end_id: int):
 
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
-            for i in range(0, len(ids), 2048):
-                part = encode(texts.slice(i, 2048), memo, end_id)
-                for doc, tokens in zip(ids[i:i + 2048], part):
+            for i in range(0, len(ids), SLICE):
+                part = encode(texts.slice(i, SLICE), memo, end_id)
+                for doc, tokens in zip(ids[i:i + SLICE], part):
                     packer.add(doc, tokens)
                 if packer.rows:
                     yield rows()
