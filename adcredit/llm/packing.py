@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from adcredit.llm.common import lean
 
 MEMO = 400_000
-SLICE = 512                  # texts that are split and encoded at a time
+SLICE = 1280                 # texts that are split and encoded at a time
 # A Latin word, perhaps with one mark after it: letters whose lower-casing is one to one and
 # which NFC leaves as they are; the word and the mark are two pre-tokens.
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿßŒœŸ]+[.,]?$"
