@@ -327,11 +327,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = written(components(links), "near-roots")
     for number, best in enumerate((True, True, False)):
         mixed, blocks = _mixed_pairs(stars, profiles, roots, block, number if best else None)
+        if mixed.isEmpty():
+            discard(mixed)
+            break
         pairs = written(blocks.mapInArrow(near_pairs(percent, margin, hashes, rows, best),
                                           "a long, b long").distinct(), "near-pairs")
         discard(mixed)
-        if pairs.isEmpty():
-            break
+        if pairs.isEmpty():                     # one block a document proves nothing for the others
+            continue
         more = confirmed(pairs.join(side("a"), "a").join(side("b"), "b"), "near-links")
         if more.isEmpty():
             continue

@@ -279,6 +279,20 @@ def test_near_groups_equal_brute_force(spark, edge_docs, no_docs, which):
     assert near_dedup.near_groups(no_docs).count() == 0
 
 
+SLID = 13         # neither round's hash leads document 1 to its block
+
+
+def test_a_pair_that_both_one_block_rounds_miss_is_linked(spark):
+    """Texts slide over one row of words: 1 is near to SLID only, and no bucket leads to it."""
+    words = [f"e{i}" for i in range(80)]
+    rows = [(0, " ".join(words[:60])), (1, " ".join(words[13:73]))]
+    rows += [(i, " ".join(words[:i - 2] + [f"x{i}"] + words[i - 1:60])) for i in range(2, 12)]
+    rows.append((SLID, " ".join(words[5:65])))
+    out = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), block=1)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect())
+    assert got == brute.near_components(rows) and {c for _, _, c in got} == {0}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] \
         + [(139, 200), (300, 300), (7, 7)]
