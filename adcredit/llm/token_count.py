@@ -147,13 +147,12 @@ class Counter:
         plain = np.zeros(len(strings), bool)
         first: list[list[str]] = []
         other: list[int] = []
-        for i, (text, n) in enumerate(zip(strings, sizes.tolist())):
+        for i, text in enumerate(strings):
             if not text:
                 continue
             if not self._agreed(text) or any(s in text for s in self.special):
                 out[i] = self._pieced(text)
-            elif n + text.count("\n") == len(text.split()) \
-                    and " " not in text[0] + text[-1] and "\n" not in text[0] + text[-1]:
+            elif " ".join(text.split()) == text.replace("\n", " "):
                 # one blank, a space or newline, between words: no other blanks exist
                 plain[i] = True
                 first.append(_PIECES.findall(text.split(" ", 1)[0]))

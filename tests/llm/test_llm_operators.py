@@ -104,6 +104,16 @@ def test_token_counts_equal_the_library(spark, edge_docs, no_docs, which):
     assert token_count.token_counts(no_docs, BYTE_BPE).count() == 0
 
 
+def test_token_counts_of_blanks_that_cancel_out(spark):
+    """Extra spaces and other blanks in equal number: as many words as single blanks would give."""
+    odd = ["a  b\tc", "a b\tc", "a  b\u00a0c", "a \t b\tc", "a\n\nb\rc d", "a \nb\x0bc", "x  y\u2003z\n\n.\x0c,"]
+    rows = list(enumerate(odd))
+    got = token_count.token_counts(spark.createDataFrame(rows, "doc_id long, text string"), BYTE_BPE)
+    tok = Tokenizer.from_file(BYTE_BPE)
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got.collect()) == [
+        (i, len(tok.encode(t, add_special_tokens=False).ids)) for i, t in rows]
+
+
 # -- 3 chat views ----------------------------------------------------------
 
 def test_chat_views_edge_cases(spark):
