@@ -64,6 +64,21 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def known_ids(docs: DataFrame, id_col: str, text_col: str):
+    """The id as a column without NULLs, and the largest id that the table has (0 at least).
+
+    A row without an id gets a number above all ids, from a hash of its text, that equal texts
+    share: such rows come after all others, and those of one text are rows that share an id. Two
+    texts get the same number with the probability of an equal 63-bit hash (less the ids' range).
+    """
+    have = F.col(id_col).cast("long")
+    last = max(docs.agg(F.max(have)).first()[0] or 0, 0)
+    room = 2 ** 63 - 1 - last
+    spare = F.pmod(F.xxhash64(whole_text(text_col)), F.lit(room)) + F.lit(last + 1) \
+        if room else F.raise_error(F.lit("no number is left above the largest id")).cast("long")
+    return F.coalesce(have, spare), last
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered for at most ``bound`` words."""
 

@@ -15,7 +15,8 @@ their full text instead; the test shrinks the digest to provoke that.
 Defined results: NULL counts as the empty text, so NULL and empty texts form
 one group; of equal texts the smallest id stays, and rows that repeat an id and a text
 count in ``group_size`` and each get a row of the result (all of them kept, if that id is the
-winner); an empty table gives an empty table; columns beside id and text are
+winner); NULL ids are no smallest id, so ``keep_id`` is NULL where only they hold a text;
+an empty table gives an empty table; columns beside id and text are
 ignored.
 """
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import BLANKS, whole_text, written
+from adcredit.llm.common import BLANKS, known_ids, whole_text, written
 
 
 def normalised(text_col: str = "text") -> Column:
@@ -72,16 +73,19 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs``, every column, with one row of every group of equal texts.
 
     The row with the smallest id stays; if that very row is repeated, one of its repetitions does.
+    Rows with a NULL id come after all others: one stays where no row with an id has the text.
     """
-    groups = exact_groups(docs, id_col, text_col)
-    keep = written(groups.filter(F.col(id_col) == F.col("keep_id")).select(id_col, "digest"),
+    number = "".join(docs.columns) + "_id"              # a name that no column has
+    own = docs.withColumn(number, known_ids(docs, id_col, text_col)[0])
+    groups = exact_groups(own, number, text_col)
+    keep = written(groups.filter(F.col(number) == F.col("keep_id")).select(number, "digest"),
                    "exact-keep")
-    out = docs.join(keep.select(id_col).distinct(), id_col, "left_semi")
-    if keep.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+    out = own.join(keep.select(number).distinct(), number, "left_semi").select(*docs.columns)
+    if keep.groupBy(number).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         return out
     # several rows share a winning id: tell their texts apart
-    digest = "".join(docs.columns) + "_digest"          # a name that no column has
-    own = docs.withColumn(digest, F.sha2(normalised(text_col), 256))
+    digest = "".join(docs.columns) + "_digest"
+    own = own.withColumn(digest, F.sha2(normalised(text_col), 256))
     winners = keep.distinct().withColumnRenamed("digest", digest)
-    return own.join(winners, [id_col, digest], "left_semi") \
-        .dropDuplicates([id_col, digest]).drop(digest).select(*docs.columns)
+    return own.join(winners, [number, digest], "left_semi") \
+        .dropDuplicates([number, digest]).select(*docs.columns)

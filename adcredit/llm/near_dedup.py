@@ -23,7 +23,9 @@ minima than the bands, is off by ``margin`` (4.5 standard deviations).
 
 Defined results: NULL, empty and blank texts have no shingles and are linked
 with nothing; a text of fewer words than ``size`` has its whole sequence as one shingle;
-rows that share an id count as one document for linking, and each keeps its row; an empty table
+rows that share an id count as one document for linking, and each keeps its row; rows with a NULL id
+come after all ids, those of one text as one document, and a group of only such rows has a number
+above all ids as its component; an empty table
 gives an empty table; other columns are ignored.
 """
 
@@ -37,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import WordHashes, discard, lean, shingle_hashes, words_of, written
+from adcredit.llm.common import (WordHashes, discard, known_ids, lean, shingle_hashes, words_of,
+                                written)
 from adcredit.llm.components import components
 
 # Banded minima (32 bits, in bands of ROWS), and minima for verification only (8 bits).
@@ -277,10 +280,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = 75, hashes: int = HASHES, rows: int = ROWS, checks: int = CHECKS,
                 margin: float = 0.07, block: int = 256) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row."""
+    number, last = known_ids(docs, id_col, text_col)
+    out = _near_groups(docs.select(number.alias("id"), F.col(text_col).cast("string").alias("text")),
+                       size, percent, hashes, rows, checks, margin, block)
+    return out.withColumn("id", F.when(F.col("id") <= last, F.col("id"))) \
+        .withColumnRenamed("id", id_col)
+
+
+def _near_groups(texts: DataFrame, size: int = 5, percent: int = 75, hashes: int = HASHES,
+                 rows: int = ROWS, checks: int = CHECKS, margin: float = 0.07,
+                 block: int = 256) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row (id, text); no id is NULL."""
     if hashes % rows or not 0 < percent <= 100:
         raise ValueError("hashes must be a multiple of rows, percent in 1..100")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"),
-                        F.col(text_col).cast("string").alias("text"))
     sketches = written(texts.mapInArrow(
         sketcher(size, hashes, rows), "id long, n long, digest binary, bands array<long>"),
         "near-sketches")
@@ -346,12 +358,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = sketches.select("id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest")) \
         .join(found, "digest", "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+    return out.select("id", F.col("n").alias("n_shingles"),
                       component.alias("component_id"), (F.col("id") == component).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      **options) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of every group."""
-    kept = near_groups(docs, id_col, text_col, **options).filter("kept").select(id_col).distinct()
-    return docs.join(kept, id_col, "left_semi")
+    number = "".join(docs.columns) + "_id"              # a name that no column has
+    own = docs.withColumn(number, known_ids(docs, id_col, text_col)[0])
+    texts = own.select(F.col(number).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kept = _near_groups(texts, **options).filter("kept").select(F.col("id").alias(number)).distinct()
+    return own.join(kept, number, "left_semi").select(*docs.columns)

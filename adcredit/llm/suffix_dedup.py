@@ -23,7 +23,8 @@ an anchor with equal surroundings, goes to the shuffle; the others are settled t
 a third of all documents hold is one row a task.
 
 Defined results: a NULL text is empty; texts shorter than ``length`` lose nothing; rows that share
-an id are one document for "smaller id", each with its own row; repeated rows are equal results; an empty
+an id are one document for "smaller id", each with its own row; repeated rows are equal results; rows with
+a NULL id come after all ids in the order of a hash of their text, those of one text as one document; an empty
 table gives an empty table; other columns are ignored.
 """
 
@@ -38,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adcredit.llm.common import discard, lean, mix, whole_text, written
+from adcredit.llm.common import discard, known_ids, lean, mix, whole_text, written
 from adcredit.session import shared_dir
 
 LENGTH, PREFIX = 50, 20
@@ -360,7 +361,8 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not 1 <= prefix <= length or length - prefix > 61:
         raise ValueError("need 1 <= prefix <= length <= prefix + 61")
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), whole_text(text_col).alias("text")) \
+    number, last = known_ids(docs, id_col, text_col)
+    rows = docs.select(number.alias("doc"), whole_text(text_col).alias("text")) \
         .withColumn("key", F.unhex(F.md5("text")))
     ids = written(rows.select("doc", "key", F.octet_length("text").cast("long").alias("n"),
                               F.when(F.octet_length("text") < length, F.encode("text", "UTF-8"))
@@ -403,5 +405,6 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = ids.join(first, ["doc", "key"], "left_anti").select(
         "doc", "n", F.when(F.col("n") >= length, whole).otherwise(none).alias("spans"),
         F.coalesce("short", F.lit(bytearray())).alias("kept"))
-    return done.unionByName(rest).select(F.col("doc").alias(id_col), F.col("n").alias("n_bytes"),
+    known = F.when(F.col("doc") <= last, F.col("doc"))
+    return done.unionByName(rest).select(known.alias(id_col), F.col("n").alias("n_bytes"),
                                          "spans", "kept")

@@ -360,3 +360,30 @@ def test_line_runs_are_compacted_and_whole(spark):
         for i in range(k, k + 4):
             want[i] = (want.get(i, (0, 0))[0] + 1, 100 * k + i)
     assert got == want
+
+
+# -- rows without an id ----------------------------------------------------
+
+def test_rows_without_an_id_are_kept_and_compared(spark):
+    """A unique text, a repeated one, a copy and a near copy of a text with an id."""
+    lone, twice, near = (" ".join(f"{p}{i}" for i in range(40)) for p in "uvw")
+    rows = [(1, PASSAGE), (2, near), (-3, "short"), (None, lone), (None, twice), (None, twice),
+            (None, PASSAGE), (None, near + " z"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def texts(out):
+        return sorted(r["text"] or "" for r in out.collect())
+    assert texts(exact_dedup.drop_copies(df)) == sorted(
+        ["", "short", PASSAGE, near, near + " z", lone, twice])
+    assert texts(near_dedup.drop_near_copies(df)) == sorted(
+        ["", "", "short", PASSAGE, near, lone, twice, twice])
+    groups = near_dedup.near_groups(df)
+    assert groups.count() == len(rows) and groups.filter("component_id IS NULL OR kept IS NULL").isEmpty()
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in
+            groups.filter("component_id <= 2").collect()} == {
+        (1, 1, True), (2, 2, True), (-3, -3, True), (None, 1, False), (None, 2, False)}
+    assert groups.filter("doc_id IS NULL AND kept").select("component_id").distinct().count() == 3
+    out = suffix_dedup.drop_repeats(df).collect()
+    assert sorted((r["doc_id"] or 0, r["kept"].decode()) for r in out) == sorted(
+        [(1, PASSAGE), (2, near), (-3, "short"), (0, lone), (0, twice), (0, twice), (0, ""),
+         (0, " z"), (0, ""), (0, "")])
