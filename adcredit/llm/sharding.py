@@ -4,13 +4,15 @@ Documents with equal texts are linked. Copies of one text that start in the same
 together, so the graph that is iterated has at most ``shards`` cells a text, however many
 copies there are; texts without copies have no links and stay out of it.
 
-Every round, each cell counts its text's documents in all shards (a join of the
-cells with their own aggregate) and asks to move to the fullest. The gain is
-the number of its links that the move mends less those that it cuts. Quotas decide: linked
-documents may enter a shard up to its target (documents without links make room: they can go
-anywhere); requests are admitted by gain class
-(powers of two), whole classes first, and the class at the edge in part, by a hash.
-Only the sums per (shard, gain class), a few hundred numbers, are ordered; no
+Every round, each text names one of its shards, and its documents elsewhere ask to move there. In even rounds
+that is the fullest, in odd rounds the fullest among those with room for the whole text (if any has it), so that
+texts refused by a full shard ask for another; ties go by a hash of text and round. The gain is the number of
+links that a moved document mends. Quotas decide: a shard takes what fills it up to its target of linked
+documents (documents without links make room: they can go anywhere) and as much again as the same round moves out
+of it, so full shards exchange documents; requests are admitted by gain class
+(powers of two), whole classes first, and the class at the edge in part, by a hash that is the same for
+a text's documents in a shard, unless they are many.
+Only the sums per (shard, shard, gain class) go to the driver; no
 round sorts or collects cells.
 
 After the rounds the law ``rows`` is made exact: document counts differ by at most one. Each shard keeps
@@ -26,6 +28,7 @@ gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,50 +37,79 @@ from adcredit.llm.common import discard, whole_text, written
 GAIN_CLASSES = 40
 
 
-def _round(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
-           number: int) -> DataFrame:
-    """One round of requests and admissions; the cells with their new shard."""
+def _asked(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
+           number: int, big: int) -> DataFrame:
+    """The cells with the shard that their text names (``aim``), and the class of those that ask."""
     held = cells.groupBy("text_key", "shard").agg(F.sum("n").alias("here"))
-    best = held.groupBy("text_key").agg(
-        F.max(F.struct("here", (-F.col("shard")).alias("s"))).alias("best")) \
-        .select("text_key", (-F.col("best.s")).alias("aim"), F.col("best.here").alias("there"))
-    wish = cells.join(held, ["text_key", "shard"]).join(best, "text_key") \
-        .withColumn("gain", F.col("there") - F.col("here"))
-    asks = (F.col("aim") != F.col("shard")) & (F.col("gain") >= 0)
-    # ties move too, towards the smaller shard number that ``best`` names
-    wish = wish.withColumn("class", F.when(asks, F.least(
-        F.lit(GAIN_CLASSES - 1), F.floor(F.log2(F.col("gain") + 1)).cast("int"))))
     free = F.create_map(*[F.lit(x) for s in range(shards) for x in
-                          (s, float(max(0, targets[s] - loads.get(s, 0))))])
-    # a small table: shards x gain classes. A shard's outflow is not counted on: it may be refused.
-    sums = wish.filter("class IS NOT NULL").groupBy("aim", "class").agg(F.sum("n").alias("asked"))
-    before = Window.partitionBy("aim").orderBy(F.desc("class")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    part = sums.withColumn("room", free[F.col("aim")] - F.coalesce(F.sum("asked").over(before), F.lit(0))) \
-        .select("aim", "class", F.greatest(F.lit(0.0), F.least(
-            F.lit(1.0), F.col("room") / F.col("asked"))).alias("share"))
-    lot = F.pmod(F.xxhash64("text_key", "home", F.lit(number)), F.lit(1_000_000)) / 1_000_000.0
-    return wish.join(part, ["aim", "class"], "left").select(
-        "text_key", "home", "n",
-        F.when(lot < F.col("share"), F.col("aim")).otherwise(F.col("shard")).alias("shard"))
+                          (s, targets[s] - loads.get(s, 0))])
+    each = F.collect_list(F.struct("here", "shard"))         # at most ``shards`` a text
+    texts = held.groupBy("text_key").agg(F.sum("here").alias("copies"), each.alias("in")) \
+        .filter(F.size("in") > 1)
+    fits = (lambda c: free[c["shard"]] >= F.col("copies") - c["here"]) if number % 2 else \
+        (lambda c: F.lit(True))
+    best = texts.select("text_key", F.array_max(F.transform("in", lambda c: F.struct(
+        fits(c).alias("fits"), c["here"].alias("here"),
+        F.xxhash64("text_key", c["shard"], F.lit(number)).alias("tie"),
+        c["shard"].alias("shard")))).alias("best")) \
+        .select("text_key", F.col("best.shard").alias("aim"), F.col("best.here").alias("there"))
+    wish = cells.join(held, ["text_key", "shard"]).join(best, "text_key", "left")
+    # few documents move together and cut nothing; many may move in part, so only towards more
+    asks = (F.col("aim") != F.col("shard")) & ((F.col("here") <= big) | (F.col("there") >= F.col("here")))
+    return wish.withColumn("class", F.when(asks, F.least(
+        F.lit(GAIN_CLASSES - 1), F.floor(F.log2(F.col("there") + 1)).cast("int"))))
+
+
+def admitted(asked: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Share of the requests that each shard admits, by gain class: (to, class).
+
+    ``asked`` is (from, to, class), ``room`` what each shard may grow by. A shard's inflow is at most its room
+    and its outflow, which the others' shares decide: quotas only fall from all that is asked
+    until they hold together.
+    """
+    total = asked.sum(axis=0).astype(float)                   # (to, class)
+    above = total[:, ::-1].cumsum(axis=1)[:, ::-1] - total    # asked in higher classes
+    quota = total.sum(axis=1)
+    while True:
+        share = np.clip((quota[:, None] - above) / np.maximum(total, 1), 0, 1)
+        out = (asked * share).sum(axis=(1, 2))
+        new = np.minimum(quota, np.maximum(0, room + out))
+        if (quota - new).max() < max(0.5, 1e-4 * total.sum() / len(total)):
+            return share
+        quota = new
+
+
+def _round(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
+           number: int) -> DataFrame | None:
+    """One round of requests and admissions; the cells with their new shard, None if none asks."""
+    big = max(16, targets[0] // 64)
+    wish = _asked(cells, loads, targets, shards, number, big)
+    asked = np.zeros((shards, shards, GAIN_CLASSES))
+    for r in wish.filter("class IS NOT NULL").groupBy("shard", "aim", "class") \
+            .agg(F.sum("n").alias("n")).collect():           # a number a pair of shards and class
+        asked[r["shard"], r["aim"], r["class"]] = r["n"]
+    if not asked.any():
+        return None
+    share = admitted(asked, np.array([targets[s] - loads.get(s, 0) for s in range(shards)]))
+    mine = F.get(F.lit(share.ravel().tolist()), F.col("aim") * GAIN_CLASSES + F.col("class"))
+    lot = F.pmod(F.xxhash64("text_key", "shard", F.lit(number), F.when(F.col("here") > big, F.col("home"))),
+                 F.lit(1_000_000)) / 1_000_000.0
+    return wish.select("text_key", "home", "n",
+                       F.when(lot < mine, F.col("aim")).otherwise(F.col("shard")).alias("shard"))
 
 
 def propagate(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
               rounds: int) -> DataFrame:
     """(text_key, home, n, shard) after at most ``rounds`` rounds; ``loads``: linked documents."""
     for number in range(rounds):
-        moved = written(_round(cells, loads, targets, shards, number), "shard-cells")
-        changes = moved.alias("a").join(cells.alias("b"), ["text_key", "home"]) \
-            .filter("a.shard <> b.shard").groupBy(F.col("a.shard").alias("to"),
-                                                  F.col("b.shard").alias("from")) \
-            .agg(F.sum("a.n").alias("n")).collect()          # at most shards * shards rows
-        for r in changes:
-            loads[r["to"]] = loads.get(r["to"], 0) + r["n"]
-            loads[r["from"]] -= r["n"]
+        moved = _round(cells, loads, targets, shards, number)
+        if moved is None:
+            break
+        moved = written(moved, "shard-cells")
+        loads = {r["shard"]: r["n"] for r in
+                 moved.groupBy("shard").agg(F.sum("n").alias("n")).collect()}    # a number a shard
         discard(cells)
         cells = moved
-        if not changes:
-            break
     return cells
 
 

@@ -220,6 +220,28 @@ def test_sharding_is_even_and_keeps_copies_together(spark, edge_docs, no_docs):
     check_shards(sharding.shard(spark.createDataFrame(hot, "doc_id long, text string")).collect(), hot, 8)
 
 
+def test_sharding_exchanges_copies_where_all_shards_are_full(spark):
+    """Every text occurs twice: no shard has room, so copies meet by exchange only."""
+    rows = [(i, f"copy {i % 2000}") for i in range(4000)]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_shards(out, rows, 8)
+    where = defaultdict(set)
+    for r in out:
+        where[r["doc_id"] % 2000].add(r["shard"])
+    cut = sum(len(s) > 1 for s in where.values())
+    print("cut pairs", cut)
+    assert cut < 100
+
+
+def test_quotas_hold_together():
+    asked = np.zeros((3, 3, 4))
+    asked[0, 1, 2], asked[1, 0, 2], asked[2, 0, 1], asked[0, 2, 3] = 100, 60, 50, 0
+    share = sharding.admitted(asked, np.array([10, 0, 5]))
+    moved = (asked * share).sum(axis=2)
+    assert (moved.sum(axis=0) <= np.array([10, 0, 5]) + moved.sum(axis=1) + 1).all()
+    assert moved[1, 0] > 59 and moved[0, 1] > 59 and 9 < moved[2, 0] < 12
+
+
 # -- 6 exact duplicates ----------------------------------------------------
 
 def test_exact_groups_survive_digest_clashes(spark, edge_docs, no_docs):
