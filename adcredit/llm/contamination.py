@@ -10,13 +10,16 @@ minima are expected wherever its shingles lie (a miss is below 1e-6 with 64).
 One shared minimum makes a candidate, and every candidate is verified by exact containment
 of the item's shingles in the whole document's.
 
-The items are the stated query set. They are taken in blocks of at most about
-``block_items``, each with its own pass over the documents, so what is broadcast is bounded
-however many items there are; documents are never shuffled.
+The items are the stated query set. Every distinct text of an item is searched, and the item
+is reported with the text that the document holds the largest share of (then the larger one). The texts are taken
+in blocks of at most about ``block_items``, each with its own pass over the documents, so what is broadcast is
+bounded however many items there are (the texts of one item share a block where items are reported);
+documents are never shuffled.
 
 Defined results: items and documents without words match nothing; texts of fewer words than ``size`` are one
-shingle (the whole sequence); items with a NULL id or text are left out; repeated documents are
-each reported, repeated items once an id (the first by text); an empty table gives
+shingle (the whole sequence); items with a NULL text are left out; items with a NULL id cannot be
+reported, but documents that hold them are dropped; repeated documents are
+each reported, items with several texts once an id; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -148,12 +151,17 @@ def searcher(index, percent: int):
         for b in batches:
             docs, items, sizes, held = [], [], [], []
             for doc, found in zip(b.column(0).to_pylist(), _found(b.column(1), memo, ix)):
+                best: dict[int, tuple[int, int]] = {}        # the text of each item held most
                 for item, n, h in found:
                     if 100 * h >= percent * n:
-                        docs.append(doc)
-                        items.append(item)
-                        sizes.append(n)
-                        held.append(h)
+                        m, k = best.get(item, (1, 0))
+                        if (h * m, n) > (k * n, m):
+                            best[item] = n, h
+                for item, (n, h) in best.items():
+                    docs.append(doc)
+                    items.append(item)
+                    sizes.append(n)
+                    held.append(h)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in (docs, items, sizes, held)],
                 ["doc_id", "item_id", "n_shingles", "n_held"])
@@ -162,16 +170,16 @@ def searcher(index, percent: int):
 
 
 def blocks_of(items: DataFrame, id_col: str, text_col: str, size: int, hashes: int,
-              block_items: int) -> Iterator[ItemIndex]:
-    """The query set, a bounded block at a time."""
-    rows = items.select(F.col(id_col).cast("long").alias("item_id"),
+              block_items: int, report: bool) -> Iterator[ItemIndex]:
+    """The query set, a bounded block at a time: every distinct text, without ids unless to ``report``."""
+    rows = items.select((F.col(id_col) if report else F.lit(0)).cast("long").alias("item_id"),
                         F.col(text_col).cast("string").alias("text")) \
-        .filter("item_id IS NOT NULL AND text IS NOT NULL") \
-        .groupBy("item_id").agg(F.min("text").alias("text"))
+        .filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     count = max(1, -(-rows.count() // block_items))
+    place = F.xxhash64("item_id" if report else "text")
     for k in range(count):
-        part = rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(count)) == k)
-        yield ItemIndex([tuple(r) for r in part.orderBy("item_id").collect()], size, hashes)
+        part = rows.filter(F.pmod(place, F.lit(count)) == k)
+        yield ItemIndex([tuple(r) for r in part.orderBy("item_id", "text").collect()], size, hashes)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
@@ -186,7 +194,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                        F.col(text_col).cast("string").alias("text"))
     found = [rows.mapInArrow(searcher(spark.sparkContext.broadcast(index), percent),
                              "doc_id long, item_id long, n_shingles long, n_held long")
-             for index in blocks_of(items, item_col, item_text_col, size, hashes, block_items)]
+             for index in blocks_of(items, item_col, item_text_col, size, hashes, block_items, True)]
     return reduce(DataFrame.unionByName, found) \
         .withColumnsRenamed({"doc_id": id_col, "item_id": item_col})
 
@@ -210,7 +218,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                       block_items: int = 5_000) -> DataFrame:
     """``docs``, every column, without the rows that hold an item."""
     spark = docs.sparkSession
-    for index in blocks_of(items, item_col, item_text_col, size, hashes, block_items):
+    for index in blocks_of(items, item_col, item_text_col, size, hashes, block_items, False):
         docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(index), percent,
                                       docs.columns.index(text_col)), docs.schema)
     return docs

@@ -284,6 +284,21 @@ def test_contamination_equals_brute_force(spark, edge_docs, no_docs):
     assert contamination.contaminated(edge_docs, bench.limit(0)).count() == 0
 
 
+def test_every_text_of_an_item_is_searched(spark):
+    a, b, c, d = (" ".join(f"{p}{i}" for i in range(30)) for p in "abcd")
+    docs = spark.createDataFrame([(1, a), (2, "x " + b + " y"), (3, c), (4, d), (5, a + " " + b + " z")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, a), (1, b), (1, b), (2, a), (None, c), (None, b), (3, b + " end")],
+                                  "item_id long, text string")
+    for block in (5_000, 1):
+        got = contamination.contaminated(docs, items, block_items=block).collect()
+        assert sorted(tuple(r) for r in got) == [
+            (1, 1, 26, 26), (1, 2, 26, 26), (2, 1, 26, 26), (2, 3, 27, 26), (5, 1, 26, 26), (5, 2, 26, 26),
+            (5, 3, 27, 26)]
+        assert [r["doc_id"] for r in contamination.drop_contaminated(
+            docs, items, block_items=block).collect()] == [4]
+
+
 # -- 8 near duplicates -----------------------------------------------------
 
 def variants(n=160):
