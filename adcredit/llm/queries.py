@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adcredit.llm import (chat_views, contamination, exact_dedup, line_dedup, near_dedup, packing,
-                          sharding, suffix_dedup, token_count)
+from adcredit.llm import (block_topk, chat_views, contamination, exact_dedup, feast, line_dedup,
+                          near_dedup, nra, packing, sharding, suffix_dedup, token_count, vectors)
 from adcredit.llm import toxicity as tox
 from adcredit.llm.common import table
 
@@ -112,7 +112,8 @@ WITH texts AS (
     UNION ALL SELECT 1, item_id, text FROM benchmark),
 words AS (
     SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'),
         lambda w: w <> '') AS w
     FROM texts),
 shingles AS (
@@ -166,3 +167,62 @@ FROM marked GROUP BY doc_id, row
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op11_block_topk", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+entries AS (SELECT vec_id, unnest(x) AS c, unnest(range(len(x))) AS d FROM v),
+scores AS (
+    SELECT q.vec_id AS query_id, r.vec_id, CAST(sum(q.c * r.c) AS BIGINT) AS score
+    FROM entries q JOIN entries r ON q.d = r.d AND q.vec_id <> r.vec_id
+    WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, r.vec_id)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 5
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(vectors.usable("embedding")) \
+        .select("vec_id", vectors.scaled("embedding", 256).alias("v"))
+    return block_topk.top_k(rows, rows.filter("vec_id % 50 = 0"))
+
+
+@query("op12_ranked_search", r"""
+WITH words AS (
+    SELECT 0 AS kind, row_number() OVER () AS row, doc_id AS id,
+           regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+    UNION ALL
+    SELECT 1, row_number() OVER (), item_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')
+    FROM benchmark),
+counted AS (
+    SELECT kind, row, id, len(w) AS n, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term,
+           count(*) AS tf
+    FROM (SELECT kind, row, id, w, unnest(w) AS t FROM words) GROUP BY ALL),
+sizes AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS l FROM words WHERE kind = 0 AND len(w) > 0),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS wt
+    FROM counted, sizes WHERE kind = 0 GROUP BY term, nn),
+scores AS (
+    SELECT i.row AS item, i.id AS item_id, d.row, d.id AS doc_id,
+           CAST(sum(wt * ((1000000000 * d.tf) // (1000 * d.tf + 8 * (10 + (90 * d.n * nn) // l)))) AS BIGINT) AS score
+    FROM counted d JOIN counted i ON d.term = i.term AND d.kind = 0 AND i.kind = 1
+    JOIN weights ON weights.term = d.term, sizes
+    GROUP BY ALL)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, row) AS rank
+      FROM scores WHERE score > 0)
+WHERE rank <= 10
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(vectors.usable("embedding")) \
+        .select("vec_id", vectors.scaled("embedding", 1024, 100_000).alias("x"))
+    return feast.whiten(rows, fill=100_000)
