@@ -1,9 +1,11 @@
 """Ranked lexical search by NRA, no random access (operator 12).
 
-Every term's list of (document, impact) is cut by falling impact into segments (impact levels), and the
-segments into tiers: tier r ends where the list is about ``depth`` * 4^r postings deep. Tiers are
-partitions of the written index, so round r reads the lists of all items sequentially, one tier further than
-the round before, and never looks a document up.
+Every term's list of (document, impact) is cut by falling impact into segments, one a tier: tier r holds the
+postings that add (weight times impact) between 2^-r and 2^-(r+1) of the largest addition to a score, the last
+one all the rest. Tiers are
+partitions of the written index, so each round reads every list sequentially, one tier further than
+the round before, and never looks a document up. Rare terms' lists are read to their end in the first tiers;
+the longest lists, those of frequent terms, give little a posting and come last.
 
 After a round a document has for an item a lower score (what its read postings give) and an upper
 one (each term not yet seen in it might still give the list's frontier, the largest impact behind
@@ -15,8 +17,8 @@ what was read). Rounds go on until
 * ties and final scores: every candidate's lower score equals its upper one. The item leaves.
 
 The last tiers hold everything, so the loop ends. Scores are sums of read postings, recomputed from
-the tiers in each round: no state lives outside the written tables. Lists that a round joins
-with items are as deep as its tier, so a very frequent term weighs no more than others until all are read.
+the tiers in each round: no state lives outside the written tables. Once all memberships are settled one round
+reads the lists to their end, for the candidates only.
 
 Only terms of items enter the index. Tasks leave out the others by a bit table of fixed size (``BITS``), and the join
 with the items' terms themselves decides.
@@ -45,8 +47,7 @@ from adcredit.session import shared_dir
 #: ASCII other than letters and digits separates terms; A-Z become a-z; all other bytes are kept.
 _TABLE = bytes(c if c >= 0x80 else ord(chr(c).lower()) if chr(c).isalnum() else 0x20 for c in range(256))
 BITS = 1 << 20
-LEVELS = 256
-_MILLION = 1_000_000
+LAST_TIER = 12
 
 
 def terms_of(text: bytes | None) -> list[bytes]:
@@ -130,7 +131,7 @@ class Index:
     """The impact-sorted lists of the items' terms, in tiers, as written tables."""
 
     def __init__(self, docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str,
-                 item_text_col: str, depth: int):
+                 item_text_col: str):
         spark = docs.sparkSession
         self.items = written(items.select(
             F.monotonically_increasing_id().alias("item"), F.col(item_col).cast("long").alias("item_id"),
@@ -151,30 +152,26 @@ class Index:
 
         size = F.expr(f"10 + (90 * n * {self.n_docs}L) DIV {self.total}L")
         lists = found.filter("term IS NOT NULL").withColumn("m", size) \
-            .withColumn("impact", F.expr("(1000000000 * tf) DIV (1000 * tf + 8 * m)")) \
-            .withColumn("level", F.expr(f"CAST(impact * {LEVELS} DIV {_MILLION + 1} AS INT)"))
-        numbered = terms.select("term").distinct() \
-            .withColumn("term_no", F.monotonically_increasing_id())
-        numbered = written(numbered, "nra-terms")
-        deeper = Window.partitionBy("term").orderBy(F.desc("level"))
-        segments = lists.groupBy("term", "level").agg(F.count("*").alias("count"),
-                                                      F.max("impact").alias("top")) \
-            .join(numbered, "term") \
-            .withColumn("deep", F.sum("count").over(deeper)) \
-            .withColumn("tier", F.when(F.col("deep") <= depth, 0).otherwise(
-                F.ceil(F.log2(F.col("deep") / F.lit(depth)) / 2)).cast("int"))
-        self.segments = written(segments.select("term", "term_no", "level", "count", "top", "tier"),
-                                "nra-segments")
-        postings = lists.join(self.segments.select("term", "level", "term_no", "tier"), ["term", "level"]) \
-            .select("term_no", "row", "impact", "tier")
-        self.postings = self._by_tier(postings)
+            .withColumn("impact", F.expr("(1000000000 * tf) DIV (1000 * tf + 8 * m)"))
         weight = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * self.n_docs + 2)) / (2 * F.col("df") + 1)))
-        self.terms = written(
-            self.segments.groupBy("term", "term_no").agg(F.sum("count").alias("df"))
-            .join(terms, "term").select("item", "term_no", weight.cast("long").alias("w")), "nra-weights")
-        discard(terms, numbered)
+        weights = lists.groupBy("term").agg(F.count("*").alias("df"), F.max("impact").alias("top")) \
+            .join(terms.select("term").distinct(), "term") \
+            .select("term", F.monotonically_increasing_id().alias("term_no"),
+                    weight.cast("long").alias("w"), "top")
+        weights = written(weights, "nra-weights")
+        largest = weights.agg(F.max(F.col("w") * F.col("top"))).first()[0] or 1
+        tier = F.when(F.col("gives") <= 0, LAST_TIER).otherwise(F.least(F.lit(LAST_TIER), F.floor(
+            F.log2(F.lit(float(largest)) / F.col("gives"))))).cast("int")
+        # a broadcast join (where the terms are few) leaves each document's postings in one file, in order
+        self.postings = self._by_tier(lists.join(weights, "term")
+                                      .select("term_no", "row", (F.col("w") * F.col("impact")).alias("gives"))
+                                      .withColumn("tier", tier))
+        self.terms = written(weights.join(terms, "term").select("item", "term_no"), "nra-terms")
+        self.segments = written(self.postings.groupBy("term_no", "tier").agg(F.max("gives").alias("most")),
+                                "nra-segments")
+        self.tiers = sorted(r[0] for r in self.segments.select("tier").distinct().collect())
         self.found = found
-        self.tiers = self.segments.agg(F.max("tier")).first()[0]
+        discard(terms, weights)
 
     @staticmethod
     def _by_tier(postings: DataFrame) -> DataFrame:
@@ -186,57 +183,63 @@ class Index:
         return out
 
     def frontiers(self, tier: int) -> DataFrame:
-        """(item, term_no, w, ahead): what a posting behind ``tier`` might still give at most."""
-        ahead = self.segments.filter(F.col("tier") > tier).groupBy("term_no").agg(F.max("top").alias("top"))
+        """(item, term_no, ahead): what a posting behind ``tier`` might still give at most."""
+        ahead = self.segments.filter(F.col("tier") > tier).groupBy("term_no").agg(F.max("most").alias("most"))
         return self.terms.join(ahead, "term_no", "left").select(
-            "item", "term_no", "w", (F.col("w") * F.coalesce("top", F.lit(0))).alias("ahead"))
+            "item", "term_no", F.coalesce("most", F.lit(0)).alias("ahead"))
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
-           item_col: str = "item_id", item_text_col: str = "text", depth: int = 1024) -> DataFrame:
+           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(item_id, rank, doc_id, score), the k best documents of each item."""
-    if k < 1 or depth < 1:
-        raise ValueError("k and depth must be positive")
+    if k < 1:
+        raise ValueError("k must be positive")
     spark = docs.sparkSession
-    index = Index(docs, items, id_col, text_col, item_col, item_text_col, depth)
+    index = Index(docs, items, id_col, text_col, item_col, item_text_col)
     done: list[DataFrame] = []
     scratch = []
-    open_items = written(index.terms.select("item").distinct(), "nra-open")
-    near: DataFrame | None = None           # (item, row): candidates of items with settled membership
-    tiers = index.tiers if index.tiers is not None else -1      # -1: no term of any item occurs
-    for tier in range(tiers + 1):
+    floors = written(index.terms.select("item").distinct().withColumn("floor", F.lit(0).cast("long")),
+                     "nra-open")            # open items, and the k-th lower score known so far
+    near: DataFrame | None = None           # (item, row, floor): candidates of items with settled membership
+    todo = list(index.tiers)                # none: no term of any item occurs
+    while todo:
+        tier = todo.pop(0)
         terms = written(index.frontiers(tier), "nra-frontiers")
-        lists = index.postings.filter(F.col("tier") <= tier).select("term_no", "row", "impact")
-        given = [F.sum(F.col("w") * F.col("impact")).alias("low"), F.sum("ahead").alias("past")]
-        read = lists.join(terms.join(open_items, "item", "left_semi"), "term_no") \
-            .groupBy("item", "row").agg(*given)
+        unseen = terms.groupBy("item").agg(F.sum("ahead").alias("unseen"))
+        lists = index.postings.filter(F.col("tier") <= tier).select("term_no", "row", "gives")
+        sums = [F.sum("gives").alias("low"), F.sum("ahead").alias("past")]
+        read = lists.join(terms.join(floors, "item"), "term_no").groupBy("item", "row", "floor").agg(*sums) \
+            .withColumn("member", F.lit(False))
         if near is not None:
             again = lists.join(near, "row").join(terms, ["item", "term_no"]) \
-                .groupBy("item", "row").agg(*given)
-            read = read.unionByName(again)
-        read = written(read, "nra-read")
+                .groupBy("item", "row", "floor").agg(*sums)
+            read = read.unionByName(again.withColumn("member", F.lit(True)))
+        # what cannot reach the k-th lower score of the round before is out
+        read = written(read.join(unseen, "item")
+                       .withColumn("high", F.col("low") + F.col("unseen") - F.col("past"))
+                       .filter("high >= floor").select("item", "row", "low", "high", "unseen", "member"),
+                       "nra-read")
         kth = read.withColumn("r", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("low")))) \
-            .filter(F.col("r") <= k).groupBy("item").agg(F.min("low").alias("kth"), F.count("*").alias("held"))
-        unseen = terms.groupBy("item").agg(F.sum("ahead").alias("unseen"))
-        # an item whose lists are read to the end is settled whatever it holds
-        state = unseen.join(kth, "item", "left").withColumn("kth", F.when(F.col("held") >= k, F.col("kth"))) \
-            .withColumn("member", (F.col("unseen") == 0) | F.coalesce(F.col("unseen") < F.col("kth"), F.lit(False)))
-        if near is not None:                # settled once, settled for good: the rest is not read again
-            state = state.join(near.select("item").distinct().withColumn("was", F.lit(True)), "item", "left") \
-                .withColumn("member", F.col("member") | F.coalesce("was", F.lit(False))).drop("was")
-        bounded = read.join(state.filter("member"), "item") \
-            .withColumn("high", F.col("low") + F.col("unseen") - F.col("past")) \
-            .filter("kth IS NULL OR high >= kth")
-        exact = bounded.groupBy("item").agg(F.max(F.col("high") > F.col("low")).alias("loose"))
-        bounded = written(bounded.join(exact, "item").select("item", "row", "low", "loose"), "nra-bounded")
-        scratch.append(bounded)
-        closed = bounded.filter("NOT loose").select("item", "row", "low")
-        done.append(closed)
-        still = written(open_items.join(bounded.select("item").distinct(), "item", "left_anti"), "nra-open")
-        discard(terms, read, open_items)
-        open_items, near = still, bounded.filter("loose").select("item", "row")
-        if tier < tiers and not open_items.take(1) and not near.take(1):
-            break
+            .filter(F.col("r") <= k).groupBy("item") \
+            .agg(F.min("low").alias("kth"), F.count("*").alias("held")) \
+            .select("item", F.when(F.col("held") >= k, F.col("kth")).otherwise(0).alias("floor"))
+        bounded = read.join(kth, "item").filter("high >= floor") \
+            .withColumn("member", F.expr("member OR unseen = 0 OR unseen < floor"))
+        state = written(bounded.groupBy("item", "floor").agg(
+            F.max("member").alias("member"), F.max(F.col("high") > F.col("low")).alias("loose")), "nra-state")
+        kept = written(bounded.filter("member").join(state.select("item", "loose"), "item")
+                       .select("item", "row", "low", "floor", "loose"), "nra-kept")
+        done.append(kept.filter("NOT loose").select("item", "row", "low"))
+        near = kept.filter("loose").select("item", "row", "floor")
+        # open: not settled now or before; items of which nothing was read yet stay open too
+        unsettled = written(floors.join(state, "item", "left").join(
+            state.filter("member").select("item"), "item", "left_anti")
+            .select("item", F.coalesce(state["floor"], floors["floor"]).alias("floor")), "nra-open")
+        scratch.append(kept)
+        discard(terms, read, state, floors)
+        floors = unsettled
+        if todo and not floors.take(1):
+            todo = todo[-1:] if near.take(1) else []
     if not done:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     best = reduce(DataFrame.unionByName, done).filter("low > 0").join(index.docs.select("row", "doc_id"), "row")
@@ -244,5 +247,5 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
     best = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     out = written(best.join(index.items.select("item", "item_id"), "item")
                   .select("item_id", "rank", "doc_id", F.col("low").alias("score")), "nra-best")
-    discard(index.items, index.terms, index.segments, index.postings, index.found, open_items, *scratch)
+    discard(index.items, index.terms, index.segments, index.postings, index.found, floors, *scratch)
     return out
