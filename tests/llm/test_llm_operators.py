@@ -36,13 +36,13 @@ def pairs(df):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "conversations"):
+    for t in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     return c
 
 
-def test_all_ten_are_registered():
-    assert sorted({int(q[2:].split("_")[0]) for q in OPS}) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted({int(q[2:].split("_")[0]) for q in OPS}) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
