@@ -2,8 +2,8 @@
 
 A warehouse is a root folder (on the shared file system) holding one
 folder per fact table (layout: ``sources/sinks.py``). Ingest jobs quarantine what breaks a rule
-and append the rest; derived tables (attribution, metrics, features) are replaced by a new version,
-or, in incremental mode, partition by partition.
+and append the rest; derived tables (attribution, metrics, features) are replaced, whole or, in
+incremental mode, all their changed dates in one commit.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ from adcredit.operators.metrics import campaign_metrics, latest_spend
 from adcredit.operators.normalize import accept, last_arrivals
 from adcredit.schemas import FACTS
 from adcredit.session import shared_dir
-from adcredit.sources import files
-from adcredit.sources.sinks import expire_partitions, read_fact, replace_partitions, write_fact
+from adcredit.sources import files, manifest
+from adcredit.sources.sinks import (TARGET_BYTES, compact, expire_partitions, read_fact,
+                                    replace_partitions, write_fact)
 
 SOURCE_PREFIX = "source-"
 
@@ -38,14 +39,21 @@ def merge_freshness(spark: SparkSession, root: str, incoming: DataFrame, source:
                     as_of=None) -> None:
     """MERGE one source's rows of ``incoming`` into ``data_health``.
 
-    Every source has its own versioned folder, so jobs of different sources never
-    overwrite each other, and a job that dies leaves the version before. Two runs for one
-    source at once: the later version stays, as with any last write.
+    Every source has its own folder, so jobs of different sources never meet,
+    and a job that dies leaves the version before. Of two runs for one
+    source at once, the second merges again, on top of the first.
     """
     path = f"{_path(root, 'data_health')}/{SOURCE_PREFIX}{quote(source, safe='')}"
     mine = incoming.filter(F.col("source") == source)
-    existing = read_fact(spark, "data_health", path, missing="empty")
-    write_fact(upsert_freshness(existing, mine, as_of=as_of), "data_health", path, "overwrite")
+    while True:
+        base = manifest.latest(spark, path)
+        existing = read_fact(spark, "data_health", path, missing="empty", snapshot=base)
+        try:
+            write_fact(upsert_freshness(existing, mine, as_of=as_of), "data_health", path, "overwrite",
+                       base=base)
+            return
+        except manifest.Conflict:
+            continue
 
 
 def update_freshness(spark: SparkSession, root: str, source: str, ts, as_of=None) -> None:
@@ -157,11 +165,13 @@ def _refresh(spark: SparkSession, root: str, as_of, since: _dt.datetime,
     """Re-attribute what rows inserted since ``since`` can change, and nothing else.
 
     Only the touch-date partitions that lose or gain such an order are replaced, and only
-    the metric days of those, plus days with new spend. Events are read from the
-    dates that the affected orders can look back to. Equal to a full recompute.
+    the metric days of those, plus days with new spend, each table's in one commit. Events are read from the
+    dates that the affected orders can look back to. Equal to a full recompute. Two runs at
+    once: one of them raises ``Conflict`` and changes nothing in the table it lost.
     """
     attr_path, metrics_path = (_path(root, t) for t in ("fact_attribution",
                                                         "fact_campaign_metrics"))
+    attr_base, metrics_base = (manifest.latest(spark, p) for p in (attr_path, metrics_path))
     orders = read_fact(spark, "fact_orders", _path(root, "fact_orders"))
     events = read_fact(spark, "fact_events", _path(root, "fact_events"))
     todo, todo_path = _staged(affected_orders(orders, events, since, lookback_days), "b4-orders")
@@ -174,7 +184,7 @@ def _refresh(spark: SparkSession, root: str, as_of, since: _dt.datetime,
         fresh, path = _staged(last_touch(todo, near, lookback_days=lookback_days, as_of=as_of),
                               "b4-fresh")
         staged.append(path)
-        old = read_fact(spark, "fact_attribution", attr_path)
+        old = read_fact(spark, "fact_attribution", attr_path, snapshot=attr_base)
         before = old.join(todo.select("order_id").distinct(), "order_id", "left_semi")
         days = {r[0] for r in before.select("touch_date").unionByName(fresh.select("touch_date"))
                 .distinct().collect()}                       # at most one value a day
@@ -182,7 +192,7 @@ def _refresh(spark: SparkSession, root: str, as_of, since: _dt.datetime,
             .join(todo.select("order_id").distinct(), "order_id", "left_anti")
         rows, path = _staged(kept.select(*fresh.columns).unionByName(fresh), "b4-rows")
         staged.append(path)
-        replace_partitions(rows, "fact_attribution", attr_path, sorted(days, key=str))
+        replace_partitions(rows, "fact_attribution", attr_path, sorted(days, key=str), attr_base)
     spend = read_fact(spark, "fact_ad_spend", _path(root, "fact_ad_spend"))
     days |= {r[0] for r in spend.filter(F.col("inserted_at") >= F.lit(since)).select("date")
              .distinct().collect()}
@@ -193,7 +203,7 @@ def _refresh(spark: SparkSession, root: str, as_of, since: _dt.datetime,
             latest_spend(spend.filter(_in_days("date", days))),
             attribution.filter(_in_days("touch_date", days)), as_of=as_of), "b4-metrics")
         staged.append(path)
-        replace_partitions(rows, "fact_campaign_metrics", metrics_path, sorted(days))
+        replace_partitions(rows, "fact_campaign_metrics", metrics_path, sorted(days), metrics_base)
     for path in staged:
         files.delete(spark, path)
 
@@ -238,6 +248,21 @@ def retention_job(spark: SparkSession, root: str, as_of) -> dict[str, list[str]]
     return {t: names for t, names in gone.items() if names}
 
 
+def compaction_job(spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES) -> dict[str, int]:
+    """Merge the small files of every fact table that appends leave; files saved by table.
+
+    Appends go on meanwhile. A table that another compaction or a replacement changed at the same
+    time is left for the next run.
+    """
+    saved = {}
+    for t in FACTS:
+        try:
+            saved[t] = compact(spark, t, _path(root, t), target_bytes)
+        except manifest.Conflict:
+            saved[t] = 0
+    return {t: n for t, n in saved.items() if n}
+
+
 def warehouse_counts(spark: SparkSession, root: str) -> DataFrame:
     """Row count per fact table (a small health report of a warehouse)."""
     out = read_health(spark, root).agg(F.count(F.lit(1)).alias("rows")) \
