@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adcredit.operators.metrics import daily_event_counts
+from adcredit.operators.order_stats import at_ranks, counted
 from adcredit.schemas import FEATURE_ORDER, TARGET
 
 ROLLING = ["rolling_7d_roas", "rolling_7d_spend", "rolling_7d_conversions",
@@ -99,15 +100,28 @@ def latest_feature_row(features: DataFrame, require_target: bool = False,
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """A10 / M9: count, mean, sample deviation, minimum, quartiles and maximum per column.
 
-    The mean is an exact decimal sum over the count. Quartiles are exact, linear between the two nearest values. They hold a
-    column's distinct values, which for the training frame are bounded by campaign-days.
+    The mean is an exact decimal sum over the count. Quartiles are exact, linear between the two nearest values,
+    and found by counting (:mod:`adcredit.operators.order_stats`): no task holds a column.
     """
+    values = df.unpivot([], columns, "feature", "v").withColumn("v", F.col("v").cast("double"))
     mean = F.sum(F.col("v").cast("decimal(38,8)")).cast("double") / F.count("v")
-    stats = [F.count("v").alias("count"), mean.alias("mean"),
-             F.stddev_samp("v").alias("stddev"), F.min("v").alias("min"),
-             *[F.percentile("v", F.lit(p / 100)).alias(f"p{p}") for p in (25, 50, 75)],
-             F.max("v").alias("max")]
-    return df.unpivot([], columns, "feature", "v").groupBy("feature").agg(*stats)
+    basic = values.groupBy("feature").agg(
+        F.count("v").alias("count"), mean.alias("mean"), F.stddev_samp("v").alias("stddev"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    quartiles = (25, 50, 75)
+
+    def rank(p, upper):
+        return lambda n: F.floor(((n - 1) * p + (99 if upper else 0)) / 100)
+    near = at_ranks(counted(values, ["feature"], "v"), ["feature"], {
+        f"{side}{p}": rank(p, side == "high") for p in quartiles for side in ("low", "high")})
+
+    def between(p):
+        at = (F.col("n") - 1) * (p / 100)
+        low, high = F.col(f"low{p}"), F.col(f"high{p}")
+        share = at - F.floor(at)
+        return F.when(low == high, low).otherwise((1 - share) * low + share * high).alias(f"p{p}")
+    return basic.join(near, "feature", "left").select(
+        "feature", "count", "mean", "stddev", "min", *map(between, quartiles), "max")
 
 
 def unique_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:

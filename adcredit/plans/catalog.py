@@ -486,7 +486,7 @@ def _series_sql(metric: str, by_campaign: bool = False, where: str = "") -> str:
 def _anomalies_roas(w: Warehouse):
     """Q8: ROAS anomalies over the cross-campaign daily series."""
     s = metrics.metric_series(w.fact_campaign_metrics, "roas")
-    return _r(anomaly.detect_anomalies(s, "roas"), "z_score", "modified_z_score", "percent_change")
+    return _r(anomaly.detect_anomalies(s, "roas", daily=True), "z_score", "modified_z_score", "percent_change")
 
 
 @register("anomalies_cac", with_facts("fact_campaign_metrics", extra=_series_sql("cac"))
@@ -494,7 +494,7 @@ def _anomalies_roas(w: Warehouse):
 def _anomalies_cac(w: Warehouse):
     """Q9: CAC anomalies."""
     s = metrics.metric_series(w.fact_campaign_metrics, "cac")
-    return _r(anomaly.detect_anomalies(s, "cac"), "z_score", "modified_z_score", "percent_change")
+    return _r(anomaly.detect_anomalies(s, "cac", daily=True), "z_score", "modified_z_score", "percent_change")
 
 
 _FILTER = (f"WHERE campaign_id = '{CAMPAIGN}' AND metric_date >= DATE '{DATE_FROM}' "
@@ -507,7 +507,7 @@ _FILTER = (f"WHERE campaign_id = '{CAMPAIGN}' AND metric_date >= DATE '{DATE_FRO
 def _anomalies_roas_filtered(w: Warehouse):
     """Q8 with its filters: one campaign, a date range."""
     s = metrics.metric_series(w.fact_campaign_metrics, "roas", CAMPAIGN, DATE_FROM, DATE_TO)
-    return _r(anomaly.detect_anomalies(s, "roas"), "z_score", "modified_z_score", "percent_change")
+    return _r(anomaly.detect_anomalies(s, "roas", daily=True), "z_score", "modified_z_score", "percent_change")
 
 
 @register("anomalies_cac_filtered", with_facts(
@@ -516,7 +516,7 @@ def _anomalies_roas_filtered(w: Warehouse):
 def _anomalies_cac_filtered(w: Warehouse):
     """Q9 with its filters."""
     s = metrics.metric_series(w.fact_campaign_metrics, "cac", CAMPAIGN, DATE_FROM, DATE_TO)
-    return _r(anomaly.detect_anomalies(s, "cac"), "z_score", "modified_z_score", "percent_change")
+    return _r(anomaly.detect_anomalies(s, "cac", daily=True), "z_score", "modified_z_score", "percent_change")
 
 
 @register("anomalies_by_campaign", with_facts(
@@ -525,7 +525,7 @@ def _anomalies_cac_filtered(w: Warehouse):
 def _anomalies_by_campaign(w: Warehouse):
     """N6 per series key: one ROAS series per campaign."""
     s = metrics.metric_series(w.fact_campaign_metrics, "roas", by_campaign=True)
-    return _r(anomaly.detect_anomalies(s, "roas", series_cols=("campaign_id",)), "z_score", "modified_z_score", "percent_change")
+    return _r(anomaly.detect_anomalies(s, "roas", series_cols=("campaign_id",), daily=True), "z_score", "modified_z_score", "percent_change")
 
 
 @register("series_stats", with_facts(
@@ -537,16 +537,44 @@ FROM st GROUP BY campaign_id""")
 def _series_stats(w: Warehouse):
     """A8 per campaign series."""
     s = metrics.metric_series(w.fact_campaign_metrics, "roas", by_campaign=True)
-    return _r(anomaly.series_stats(s, "roas", series_cols=("campaign_id",)), "mean", "stddev",
+    return _r(anomaly.series_stats(s, "roas", series_cols=("campaign_id",), daily=True), "mean", "stddev",
               "mad")
 
 
+def _order_values_sql(key: str) -> str:
+    keyed = f"{key}, " if key else ""
+    return with_facts("fact_orders", extra=f"""
+  sorted AS (
+    SELECT {keyed}list_sort(list(revenue)) AS s FROM fact_orders WHERE revenue IS NOT NULL
+    {"GROUP BY " + key if key else ""}),
+  picked AS (
+    SELECT *, len(s) AS n, s[len(s) // 2 + 1] AS median, s[len(s) // 4 + 1] AS q1,
+           s[least(len(s) - 1, 3 * len(s) // 4) + 1] AS q3 FROM sorted)""") + f"""
+SELECT {keyed}CAST(n AS BIGINT) AS n, round(list_avg(s), 6) + 0.0 AS mean,
+       round(list_stddev_pop(s), 6) + 0.0 AS stddev, median,
+       round(list_avg(list_transform(s, lambda x: abs(x - median))), 6) + 0.0 AS mad, q1, q3
+FROM picked WHERE n >= 2"""
+
+
+@register("order_value_stats", _order_values_sql(""))
+def _order_value_stats(w: Warehouse):
+    """Statistics of one series as long as the table, all order amounts."""
+    return _r(anomaly.series_stats(w.fact_orders, "revenue", "order_ts"), "mean", "stddev", "mad")
+
+
+@register("order_value_stats_by_customer", _order_values_sql("customer_id"))
+def _order_value_stats_by_customer(w: Warehouse):
+    """A8 for a series per customer, whatever number of orders a customer has."""
+    return _r(anomaly.series_stats(w.fact_orders, "revenue", "order_ts", ("customer_id",)),
+              "mean", "stddev", "mad")
+
+
 @register("recent_alerts", with_facts("fact_campaign_metrics", extra=_series_sql("roas")) + """
 SELECT * FROM (SELECT * FROM alerts ORDER BY date DESC LIMIT 5) ORDER BY date""")
 def _recent_alerts(w: Warehouse):
     """The five newest ROAS alerts."""
     s = metrics.metric_series(w.fact_campaign_metrics, "roas")
-    return _r(anomaly.recent_alerts(anomaly.detect_anomalies(s, "roas"), 5), "z_score", "modified_z_score", "percent_change")
+    return _r(anomaly.recent_alerts(anomaly.detect_anomalies(s, "roas", daily=True), 5), "z_score", "modified_z_score", "percent_change")
 
 
 # --------------------------------------------------------------------------
