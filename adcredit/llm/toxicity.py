@@ -95,6 +95,18 @@ class Lexicon:
         return a
 
 
+def _uncovered(hits: list[tuple], spared: list[tuple]) -> list[tuple]:
+    """Hits that lie in no exception, both in order of start: one sweep with the furthest end so far."""
+    out, at, furthest = [], 0, -1
+    for hit in hits:
+        while at < len(spared) and spared[at][0] <= hit[0]:
+            furthest = max(furthest, spared[at][1])
+            at += 1
+        if hit[1] > furthest:
+            out.append(hit)
+    return out
+
+
 def weigh(folded: str, automaton) -> tuple[float, int]:
     """Summed weight of the counted hits, and their number."""
     if not len(automaton):
@@ -102,11 +114,11 @@ def weigh(folded: str, automaton) -> tuple[float, int]:
     hits, spared = [], []
     for end, (length, weight) in automaton.iter(folded):
         (hits if weight else spared).append((end - length + 1, end, weight))
+    hits.sort()
     if spared:
-        hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e, _ in spared
-                                           if s <= h[0])]
+        hits = _uncovered(hits, sorted(spared))
     total, number, reach, heaviest = 0.0, 0, -1, 0.0
-    for start, end, weight in sorted(hits):
+    for start, end, weight in hits:
         if start > reach:                       # a new run of overlapping hits
             total, number, heaviest = total + weight, number + 1, weight
         elif weight > heaviest:

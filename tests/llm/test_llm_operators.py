@@ -66,6 +66,39 @@ def test_toxicity_folds_and_spares():
     assert hits("idiot idiot") == 2
 
 
+def brute_weight(folded, lexicon):
+    """Every entry at every place against every exception; overlapping hits count once, the heaviest."""
+    def places(entry):
+        return [i for i in range(len(folded)) if folded.startswith(entry, i)]
+    spared = [(i, i + len(e) - 1) for e in lexicon.exceptions for i in places(e)]
+    hits = sorted((i, i + len(e) - 1, w) for e, w in lexicon.entries.items() for i in places(e)
+                  if not any(s <= i and i + len(e) - 1 <= t for s, t in spared))
+    runs, reach = [], -1
+    for s, t, w in hits:
+        if s > reach:
+            runs.append([])
+        runs[-1].append(w)
+        reach = max(reach, t - (folded[t] == " "))
+    return sum(map(max, runs)), len(runs)
+
+
+def test_toxicity_weights_equal_brute_force_and_long_texts_are_linear():
+    import random
+    import time
+    lexicon = toxicity.Lexicon({" ab ": 1.5, "ba": 2.0, "aab": 4.0, " c ": 1.0, "abba": 3.0},
+                               frozenset({" abba ", "cab", " c c ", "aaab"}))
+    automaton, rng = lexicon.automaton(), random.Random(2)
+    for _ in range(300):
+        folded = " " + " ".join("".join(rng.choices("aabc", k=rng.randint(1, 5))) for _ in range(12)) + " "
+        weight, number = toxicity.weigh(folded, automaton)
+        assert (pytest.approx(weight), number) == brute_weight(folded, lexicon)
+    lexicon = toxicity.Lexicon({"scum": 5.0, "cunt": 5.0}, frozenset({"scunthorpe"}))
+    automaton, text = lexicon.automaton(), "scunthorpe scum " * 65_536             # 1 MB
+    began = time.process_time()
+    assert toxicity.weigh(toxicity.fold(text, toxicity.Fold()), automaton) == (5.0 * 65_536, 65_536)
+    assert time.process_time() - began < 5
+
+
 def test_toxicity_learns_from_the_allowed_fold_only(spark, edge_docs, no_docs):
     d = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
