@@ -8,6 +8,7 @@ the full write / read path.
 from __future__ import annotations
 
 import datetime as _dt
+from itertools import zip_longest
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -441,6 +442,39 @@ def _stream_last_touch(w: Warehouse):
     return _streamed_touches(w, w.fact_orders)
 
 
+@register("stream_interval_last_touch", with_facts("fact_attribution") + f"""
+SELECT {_ATTR_COLS} FROM fact_attribution""")
+def _stream_interval_last_touch(w: Warehouse):
+    """The interval join of the order and event streams equals the batch attribution."""
+    spark = w.spark
+    root = shared_dir(spark, "stream-interval")
+    out, ck = f"{root}/out", f"{root}/ck"
+    event, order = f"{root}/events", f"{root}/orders"
+    e = w.fact_events.select("event_id", "customer_id", "event_ts", "campaign_id")
+    o = w.fact_orders.select("order_id", "customer_id", "order_ts", "revenue")
+    last = max(x for df, c in ((e, "event_ts"), (o, "order_ts")) for x in df.agg(F.max(c)).first())
+
+    def run():
+        streams = [spark.readStream.schema(df.schema).parquet(at) for df, at in ((o, order), (e, event))]
+        q = sj.stream_interval_last_touch(*streams, f"{_DELAY_S} seconds").writeStream.format("parquet") \
+            .option("path", out).option("checkpointLocation", ck).outputMode("append") \
+            .trigger(availableNow=True).start()
+        _run_available(q)
+
+    for es, os_ in zip_longest(_arrivals(e, "event_ts"), _arrivals(o, "order_ts")):
+        for df, at in ((es, event), (os_, order)):
+            if df is not None:
+                df.write.mode("append").parquet(at)
+        run()                                           # restarted after every arrival
+    for n in (1, 2):    # closing rows on both sides move the watermarks of join and sum past all input
+        ts = last + _dt.timedelta(days=30 * n)
+        for df, at in ((e, event), (o, order)):
+            spark.createDataFrame([("~end", "~end", ts, None)], df.schema).coalesce(1) \
+                .write.mode("append").parquet(at)
+        run()
+    return spark.read.schema(sj.TOUCH_OUTPUT).parquet(out).filter("order_id <> '~end'")
+
+
 @register("stream_last_touch_dirty", with_facts("fact_attribution") + """
 SELECT order_id, CASE WHEN n % 13 = 0 THEN NULL ELSE customer_id END AS customer_id,
        CASE WHEN n % 13 <> 0 THEN campaign_id END AS campaign_id,

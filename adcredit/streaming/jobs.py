@@ -4,7 +4,8 @@ The reference runs these as cron micro-batches; here they are streams:
 
 * ``stream_events``       T1  normalise, watermark, de-duplicate by event_id
 * ``stream_ingest``       T2  quarantine, normalise and append to the fact table's stream folder
-* ``stream_last_touch``   T3  last-touch attribution with bounded state
+* ``stream_interval_last_touch``  T3  last-touch attribution as a stream-stream interval join (JVM state)
+* ``stream_last_touch``   T3  the same keyed by customer, for hot customers and re-delivered orders
 * ``freshness_sink``      T4  per micro-batch upsert of the source's freshness
 * ``stream_daily_counts`` T5  tumbling one-day event counts per campaign
 
@@ -254,7 +255,7 @@ def stream_last_touch(touches: DataFrame, delay: str = "1 hour",
     the batch job answers them by the latest touch.
 
     This operator is Python per key (Arrow batches, a small helper over lists); all
-    others of the package are JVM-side. A customer's state is in one task, as with any
+    others of the package are JVM-side, :func:`stream_interval_last_touch` too. A customer's state is in one task, as with any
     keyed state; for a hot customer it is bounded by the delay and the look-back's orders.
     """
     lookback_us = int(lookback_days) * 86_400 * 1_000_000
@@ -268,6 +269,39 @@ def stream_last_touch(touches: DataFrame, delay: str = "1 hour",
         GroupStateTimeout.EventTimeTimeout)
 
 
+def stream_interval_last_touch(orders: DataFrame, events: DataFrame, delay: str = "1 hour",
+                               lookback_days: int = 7) -> DataFrame:
+    """Last touch as an interval join of two streams, then the greatest touch per order.
+
+    Equal to the batch J1 for input not older than the watermark, with JVM state only: events are kept for
+    the look-back, orders until the watermark passes them, when an order without a touch is given out
+    as such; a row per order id and instant. Join and aggregation share one watermark chain.
+
+    :func:`stream_last_touch` stays beside it, since two results differ: an order id that comes again later
+    with another instant is a second row here (a stream cannot take the first back, and no id is
+    remembered); and a customer's events of a look-back meet each of that customer's orders, so for a customer
+    with a large share of all rows the join's work grows with their product, while the
+    keyed form keeps one folded event a customer.
+    """
+    o = orders.select("order_id", F.col("customer_id").alias("o_customer"), "order_ts", "revenue") \
+        .withWatermark("order_ts", delay)
+    e = events.select(
+        F.col("customer_id").alias("e_customer"), "event_ts",
+        F.struct(F.col("event_ts").alias("ts"), F.length(F.col("event_id").cast("string")).alias("tie"),
+                 F.col("event_id").cast("string").alias("event_id"), "campaign_id").alias("touch")) \
+        .withWatermark("event_ts", delay)
+    reach = F.make_dt_interval(F.lit(int(lookback_days)))
+    pairs = o.join(e, (F.col("o_customer") == F.col("e_customer"))
+                   & (F.col("event_ts") <= F.col("order_ts"))
+                   & (F.col("event_ts") >= F.col("order_ts") - reach), "left_outer")
+    best = pairs.select("order_id", "o_customer", "order_ts", "revenue", "touch") \
+        .groupBy("order_ts", "order_id", "o_customer") \
+        .agg(F.max("touch").alias("touch"), F.max("revenue").alias("revenue"))
+    return best.select("order_id", F.col("o_customer").alias("customer_id"),
+                       F.col("touch.campaign_id").alias("campaign_id"),
+                       F.col("touch.ts").alias("touch_ts"), "revenue")
+
+
 def unanswered_orders(orders: DataFrame, answered: DataFrame) -> DataFrame:
     """Side table for batch repair: orders that the stream has not answered (too late for it)."""
     return orders.join(answered.select("order_id"), "order_id", "left_anti")

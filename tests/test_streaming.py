@@ -109,3 +109,36 @@ def test_late_orders_are_counted_and_repaired(spark, tmp_path):
     assert [r.order_id for r in sj.unanswered_orders(orders, got).collect()] == ["late"]
     assert _rows(got.unionByName(sj.repair(orders, events, got))) == _rows(
         last_touch(orders, events))
+
+
+# -- T3 as an interval join --------------------------------------------------
+
+def _run_join(spark, tmp_path, files, delay="2 hours"):
+    """The files of :func:`_run`, one micro-batch each; END rows close both sides."""
+    out, ck = (str(tmp_path / n) for n in ("out", "ck"))
+    at = {k: str(tmp_path / k) for k in ("orders", "events")}
+    q = None
+    for rows in files:
+        df = spark.createDataFrame(rows, EV).coalesce(1)
+        df.filter("kind <> 0").select(F.coalesce("order_id", F.lit("~end")).alias("order_id"), "customer_id",
+                                      F.col("ts").alias("order_ts"), "revenue") \
+            .write.mode("append").parquet(at["orders"])
+        df.filter("kind <> 1").select("event_id", "customer_id", F.col("ts").alias("event_ts"), "campaign_id") \
+            .write.mode("append").parquet(at["events"])
+        streams = [spark.readStream.schema(spark.read.parquet(p).schema).parquet(p) for p in at.values()]
+        q = sj.stream_interval_last_touch(*streams, delay).writeStream.format("parquet").option("path", out) \
+            .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert q.exception() is None
+    return spark.read.schema(sj.TOUCH_OUTPUT).parquet(out).filter("order_id <> '~end'"), q
+
+
+def test_interval_join_equals_batch_with_jvm_state_only(spark, tmp_path):
+    orders, events = _split(spark, FILES)
+    closing = [[(2, "~end", h(400 + n), None, None, None, None)] for n in (0, 300, 600)]
+    got, q = _run_join(spark, tmp_path, [*FILES[:-1], *closing])
+    assert _rows(got) == _rows(last_touch(orders, events))
+    plan = q._jsq.explainInternal(False)
+    assert "StreamingSymmetricHashJoin" in plan and "Python" not in plan and "InPandas" not in plan
+    # events leave with the look-back, orders with the watermark: only closing rows are left
+    assert sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"]) <= 4
