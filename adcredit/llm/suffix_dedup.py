@@ -16,7 +16,8 @@ corpus several times moves many times its size, so positions are thinned first,
   behind it, one pair for every window that contains the anchor. Spark sorts the surviving anchors by name, and
   windows whose ``length``-byte name also occurs in a document with a smaller id are marked.
 
-Names are 64-bit hashes (48 bits at level 1, which only widens what level 2 decides).
+Names are 64-bit hashes (48 bits at level 1, which only widens what level 2 decides); level 2 compares
+the bytes of windows with equal names, so what is removed is exact.
 Exact copies of a text are settled before: the one with the smallest id stands for them,
 and the others are removed whole. Within a task only one document of a name, or of
 an anchor with equal surroundings, goes to the shuffle; the others are settled there, so a passage that
@@ -64,6 +65,15 @@ def names(b: np.ndarray, size: int) -> np.ndarray:
         width *= 2
 
 
+def names_at(b: np.ndarray, pos: np.ndarray, size: int) -> np.ndarray:
+    """The same names, at few positions."""
+    strings = np.lib.stride_tricks.sliding_window_view(b, size)[pos]
+    out = np.zeros(len(pos), np.uint64)
+    for column in strings.T:
+        out = out * np.uint64(_P) + column + np.uint64(1)
+    return out
+
+
 def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     have, out = 1, x
     while have * 2 <= width:
@@ -73,11 +83,16 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[:len(out) - rest], out[rest:]) if rest else out
 
 
+def _mixed(name: np.ndarray) -> np.ndarray:
+    """Names in a random order, none of them 0."""
+    return mix(name) | np.uint64(1)
+
+
 def anchors(b: np.ndarray, length: int = LENGTH, prefix: int = PREFIX):
     """Positions of the anchors of a document and their names."""
     if len(b) < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    name = mix(names(b, prefix)) | np.uint64(1)
+    name = _mixed(names(b, prefix))
     width = length - prefix + 1
     low = _sliding(name, width, np.minimum)               # smallest name of every window
     edge = np.zeros(width - 1, np.uint64)
@@ -119,21 +134,23 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def namer(length: int, prefix: int, buckets: int):
     """``mapInArrow`` over (doc, text): anchors by name bucket.
 
-    Per chunk and name, the positions of its smallest document go to the bucket for comparison;
-    when another document of the chunk has the name too, all positions also go as settled.
+    Per chunk and name, the positions of its smallest document go to the name's bucket for comparison;
+    when another document of the chunk has the name too, all positions also go as settled, dealt by
+    document: nothing is left to compare, so a frequent name is no bucket of its own.
     """
 
     def flush(parts):
         name, doc, pos = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((doc, name))
+        order = np.argsort(name)
         name, doc, pos = name[order], doc[order], pos[order]
         first, run = _runs(name)
-        own = doc == doc[first][run]
-        ends = np.concatenate((first[1:], [len(name)])) - 1
-        shared = (doc[ends] != doc[first])[run]
-        place = (name >> np.uint64(40)).astype(np.int64) % buckets
-        for settled, pick in ((False, own), (True, shared)):
-            n, d, p, b = name[pick], doc[pick], pos[pick], place[pick]
+        least = np.minimum.reduceat(doc, first)
+        own = doc == least[run]
+        shared = (np.maximum.reduceat(doc, first) != least)[run]
+        by_name = (name >> np.uint64(40)) % np.uint64(buckets)
+        by_doc = mix(doc.view(np.uint64)) % np.uint64(buckets)
+        for settled, pick, place in ((False, own, by_name), (True, shared, by_doc)):
+            n, d, p, b = name[pick], doc[pick], pos[pick], place[pick].astype(np.int64)
             by = np.argsort(b, kind="stable")
             n, d, p, b = n[by], d[by], p[by], b[by]
             starts = np.flatnonzero(np.diff(b, prepend=-1))
@@ -161,46 +178,38 @@ def namer(length: int, prefix: int, buckets: int):
     return lean(run)
 
 
-def _by_group(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list]:
-    """Rows of sorted batches, one list of column tuples per value of column ``key``."""
-    now, rows = None, []
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            if row[key] != now and rows:
-                yield rows
-                rows = []
-            now = row[key]
-            rows.append(row)
-    if rows:
-        yield rows
-
-
 @lean
 def sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``mapInArrow`` over sorted (bucket, settled, blob): anchors whose name two documents have."""
-    for rows in _by_group(batches, 0):
-        docs, places = [], []
-        for _, settled, blob in rows:
-            if settled:
-                _, doc, pos = _unblob(blob)
-                docs.append(doc)
-                places.append(pos)
-        fresh = [_unblob(blob) for _, settled, blob in rows if not settled]
-        if fresh:
-            name, doc, pos = (np.concatenate(c) for c in zip(*fresh))
-            order = np.lexsort((doc, name))
-            name, doc, pos = name[order], doc[order], pos[order]
-            first, run = _runs(name)
-            ends = np.concatenate((first[1:], [len(name)])) - 1
-            both = (doc[ends] != doc[first])[run]
-            docs.append(doc[both])
-            places.append(pos[both])
-        doc, pos = np.concatenate(docs), np.concatenate(places)
+
+    def places(doc, pos):
         for i in range(0, len(doc), 100_000):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[i:i + 100_000], pa.int64()), pa.array(pos[i:i + 100_000], pa.int32())],
                 ["doc", "pos"])
 
+    def compared(fresh):
+        name, doc, pos = (np.concatenate(c) for c in zip(*fresh))
+        order = np.argsort(name)
+        doc, pos = doc[order], pos[order]
+        first, run = _runs(name[order])
+        both = (np.maximum.reduceat(doc, first) != np.minimum.reduceat(doc, first))[run]
+        return places(doc[both], pos[both])
+
+    now, fresh = None, []
+    for batch in batches:
+        for bucket, settled, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            if settled:
+                yield from places(*_unblob(blob)[1:])
+                continue
+            if bucket != now and fresh:
+                yield from compared(fresh)
+                fresh = []
+            now = bucket
+            fresh.append(_unblob(blob))
+    if fresh:
+        yield from compared(fresh)
+
 
 def _fold(columns: np.ndarray) -> np.ndarray:
     """Names of growing prefixes: (rows, k) bytes -> (rows, k + 1) names."""
@@ -220,18 +229,43 @@ def _windows(before: np.ndarray, behind: np.ndarray, reach: int) -> np.ndarray:
     return (fits * (np.int64(1) << o)).sum(axis=1)
 
 
+def _fixed(rows: np.ndarray, present: np.ndarray) -> pa.Array:
+    """A binary column of the byte rows (equally long), NULL where not ``present``, without objects."""
+    ends = np.cumsum(np.where(present, rows.shape[1], 0))
+    offsets = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(present), [
+        pa.py_buffer(np.packbits(present, bitorder="little")), pa.py_buffer(offsets),
+        pa.py_buffer(np.ascontiguousarray(rows[present]))])
+
+
+def _byte_rows(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """(rows, width) bytes of the values of a binary column that are not NULL."""
+    parts = [c.drop_null().cast(pa.binary(width)) for c in column.chunks]
+    flat = [np.frombuffer(c.buffers()[1], np.uint8)[c.offset * width:(c.offset + len(c)) * width]
+            for c in parts if len(c)]
+    return np.concatenate(flat or [np.empty(0, np.uint8)]).reshape(-1, width)
+
+
 def surrounder(length: int, prefix: int):
-    """``mapInArrow`` over (doc, variant, text, places): surviving anchors and surroundings."""
+    """``mapInArrow`` over (doc, variant, several, text, places): surviving anchors and surroundings."""
     reach = length - prefix
 
     def flush(parts):
         name, doc, variant, pos, before, behind, around = (np.concatenate(c) for c in zip(*parts))
-        same = mix(_fold(around)[:, -1] ^ name ^ mix((before * 256 + behind).astype(np.uint64)))
-        order = np.lexsort((pos, doc, same))
+        beside = np.concatenate((around[:, :reach], around[:, reach + prefix:]), axis=1)
+        same = mix(_fold(beside)[:, -1] ^ name ^ mix((before * 256 + behind).astype(np.uint64)))
+        by = np.argsort(doc)
+        rank = np.empty(len(doc), np.int64)
+        rank[by] = np.arange(len(doc))
+        order = np.argsort(same)
         first, run = _runs(same[order])
-        lead = doc[order][first][run]
-        later = np.zeros(len(doc), bool)
-        later[order] = doc[order] != lead           # an equal anchor in a smaller document here
+        lead = np.empty(len(doc), np.int64)         # a row of the smallest document with this hash
+        lead[order] = by[np.minimum.reduceat(rank[order], first)[run]]
+        # an equal anchor in a smaller document here, confirmed by its bytes
+        later = doc != doc[lead]
+        i = np.flatnonzero(later)
+        later[i] = (before[i] == before[lead[i]]) & (behind[i] == behind[lead[i]]) \
+            & (around[i] == around[lead[i]]).all(axis=1)
         mask = np.where(later, _windows(before, behind, reach), 0)
         # settled anchors only pass through: dealt by place, so a frequent name stays even
         dealt = np.where(later, mix(doc.view(np.uint64) ^ mix(pos.astype(np.uint64))), name)
@@ -241,28 +275,28 @@ def surrounder(length: int, prefix: int):
             yield pa.RecordBatch.from_arrays([
                 pa.array(dealt[s].view(np.int64)), pa.array(doc[s]),
                 pa.array(variant[s], pa.int32()), pa.array(pos[s], pa.int32()), pa.array(mask[s]),
-                pa.array([None if x else c.tobytes() for x, c in zip(later[s], context[s])],
-                         pa.binary())], ["name", "doc", "variant", "pos", "mask", "around"])
+                _fixed(context[s], ~later[s])], ["name", "doc", "variant", "pos", "mask", "around"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for doc, variant, text, places in zip(*(c.to_pylist() for c in batch.columns[:2]),
-                                                  batch.column(2), batch.column(3)):
+            for doc, variant, several, text, places in zip(
+                    *(c.to_pylist() for c in batch.columns[:3]), batch.column(3), batch.column(4)):
                 b = np.frombuffer(text.as_buffer(), np.uint8)
                 if len(b) < length:
                     continue
                 pos = np.unique(places.values.to_numpy(zero_copy_only=False).astype(np.int64))
-                # rows that share an id share the list: a place must be an anchor here
-                own, name = anchors(b, length, prefix)
-                keep = np.isin(own, pos, assume_unique=True)
-                pos, name = own[keep], name[keep]
+                if several:         # texts that share an id share the list: a place must be an anchor here
+                    own, name = anchors(b, length, prefix)
+                    keep = np.isin(own, pos, assume_unique=True)
+                    pos, name = own[keep], name[keep]
+                else:
+                    name = _mixed(names_at(b, pos, prefix))
                 edge = np.zeros(reach, np.uint8)
                 wide = np.concatenate((edge, b, edge))
-                offsets = np.concatenate((np.arange(reach), np.arange(reach + prefix, 2 * reach + prefix)))
+                around = np.lib.stride_tricks.sliding_window_view(wide, 2 * reach + prefix)[pos]
                 parts.append((name, np.full(len(pos), doc, np.int64), np.full(len(pos), variant), pos,
-                              np.minimum(pos, reach), np.minimum(len(b) - prefix - pos, reach),
-                              wide[pos[:, None] + offsets]))
+                              np.minimum(pos, reach), np.minimum(len(b) - prefix - pos, reach), around))
                 held += len(pos)
                 if held >= CHUNK // 6:
                     yield from flush(parts)
@@ -273,26 +307,50 @@ def surrounder(length: int, prefix: int):
     return lean(run)
 
 
+def repeated(key: np.ndarray, rows: np.ndarray, docs: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """Those of ``rows`` (ascending) whose string a smaller document has too.
+
+    ``key`` is a hash of their strings; ``docs``, ascending, and ``strings`` hold all rows. Rows of one key are
+    compared by their bytes with the first of them; where hashes collide, those rows are grouped by
+    the bytes themselves.
+    """
+    if not len(rows):
+        return rows
+    order = np.argsort(key)
+    first, run = _runs(key[order])
+    lead = rows[np.minimum.reduceat(order, first)][run]
+    row = rows[order]
+    later = docs[row] != docs[lead]
+    differ = np.zeros(len(row), bool)
+    differ[later] = (strings[row[later]] != strings[lead[later]]).any(axis=1)
+    if not differ.any():
+        return row[later]
+    mixed = np.isin(run, run[differ])
+    again = np.sort(row[mixed])
+    whole = np.ascontiguousarray(strings[again]).view(f"V{strings.shape[1]}").ravel()
+    exact = np.unique(whole, return_inverse=True)[1].ravel()
+    return np.concatenate((row[later & ~mixed], repeated(exact, again, docs, strings)))
+
+
 def marker(length: int, prefix: int, chunk: int = 200_000):
     """``mapInArrow`` over (name, doc, variant, pos, mask, around) by name: repeated windows."""
     reach = length - prefix
 
     def mark(t: pa.Table) -> pa.Table:
         doc, mask = t["doc"].to_numpy(), t["mask"].to_numpy().copy()
-        raw = b"".join(x for x in t["around"].to_pylist() if x is not None)
-        around = np.frombuffer(raw, np.uint8).reshape(-1, 2 + 2 * reach)
         index = np.flatnonzero(t["around"].is_valid().to_numpy())
+        by = np.argsort(doc[index], kind="stable")          # smallest documents first
+        index, around = index[by], _byte_rows(t["around"], 2 + 2 * reach + prefix)[by]
         name, docs = t["name"].to_numpy().view(np.uint64)[index], doc[index]
         before, behind = around[:, 0].astype(np.int64), around[:, 1].astype(np.int64)
-        left = _fold(around[:, 2:2 + reach][:, ::-1])      # outwards from the anchor
-        right = _fold(around[:, 2 + reach:])
+        around = around[:, 2:]
+        left = _fold(around[:, :reach][:, ::-1])            # outwards from the anchor
+        right = _fold(around[:, reach + prefix:])
         for o in range(reach + 1):
             fits = np.flatnonzero((before >= o) & (behind >= reach - o))
             key = mix(mix(name[fits] ^ left[fits, o]) ^ right[fits, reach - o])
-            order = np.lexsort((docs[fits], key))
-            first, run = _runs(key[order])
-            repeat = docs[fits][order] != docs[fits][order][first][run]
-            mask[index[fits[order[repeat]]]] |= np.int64(1) << o
+            found = repeated(key, fits, docs, around[:, reach - o:reach - o + length])
+            mask[index[found]] |= np.int64(1) << o
         t = t.drop_columns(["name", "around", "mask"]).append_column("mask", pa.array(mask))
         return t.filter(pa.array(mask != 0)).combine_chunks()
 
@@ -371,14 +429,14 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = max(8, -(-total // bucket_bytes))
     # one row for every text: copies of it in larger ids are repeated whole
     first = ids.filter(F.col("n") >= length).groupBy("key").agg(F.min("doc").alias("doc"))
-    nth = Window.partitionBy("doc").orderBy("key")          # texts of one id, as a rule one
-    first = written(first.select("doc", "key", F.row_number().over(nth).alias("variant")),
-                    "suffix-first")
+    one = Window.partitionBy("doc")                         # texts of one id, as a rule one
+    first = written(first.select("doc", "key", F.row_number().over(one.orderBy("key")).alias("variant"),
+                                 (F.count("key").over(one) > 1).alias("several")), "suffix-first")
     store = f"suffix_texts_{uuid.uuid4().hex[:12]}"
-    chosen = first.select("doc", F.col("key").alias("chosen"), "variant") \
+    chosen = first.select("doc", F.col("key").alias("chosen"), "variant", "several") \
         .repartition(buckets, "doc")
     (rows.repartition(buckets, "doc").join(chosen, "doc").filter("key = chosen")
-     .select("doc", "variant", "text")
+     .select("doc", "variant", "several", "text")
      .write.bucketBy(buckets, "doc").format("parquet").option("compression", "zstd")
      .option("path", shared_dir(spark, store)).saveAsTable(store))
     texts = spark.table(store)
@@ -390,7 +448,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     places = written(shared.groupBy("doc").agg(F.collect_list("pos").alias("places")),
                      "suffix-anchors")
     # level 2
-    marks = texts.join(places, "doc").select("doc", "variant", "text", "places").mapInArrow(
+    marks = texts.join(places, "doc").select("doc", "variant", "several", "text", "places").mapInArrow(
         surrounder(length, prefix),
         "name long, doc long, variant int, pos int, mask long, around binary") \
         .repartition(buckets, "name").sortWithinPartitions("name") \

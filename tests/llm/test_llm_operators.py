@@ -405,6 +405,28 @@ def test_rows_that_share_an_id_keep_their_own_passages(spark):
     assert got == sorted(w[:3] for w in brute.without_repeats(rows, 20))
 
 
+def test_a_frequent_string_with_differing_surroundings(spark):
+    """A 20-byte string in a third of all documents: only windows that repeat whole are removed."""
+    hot, long = "<div class='article'>"[:20], "a passage of well over fifty bytes that several documents hold"
+    rows = [(i, f"{i * 7919:x} " * 6 + (hot if i % 3 == 0 else "")
+             + (long if i % 10 == 3 else f" tail {i}")) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = sorted((r["doc_id"], r["n_bytes"], sum(s["stop"] - s["start"] for s in r["spans"]))
+                 for r in suffix_dedup.drop_repeats(df, bucket_bytes=1 << 12).collect())
+    assert got == sorted(w[:3] for w in brute.without_repeats(rows))
+
+
+def test_equal_hashes_of_different_strings_are_told_apart():
+    strings = np.frombuffer(b"aaaabbbbaaaaccccbbbbaaaa", np.uint8).reshape(-1, 4)
+    docs, rows = np.array([1, 2, 3, 3, 4, 4]), np.arange(6)
+    for key in (np.zeros(6, np.uint64), np.array([5, 5, 5, 6, 5, 5], np.uint64)):
+        assert sorted(suffix_dedup.repeated(key, rows, docs, strings).tolist()) == [2, 4, 5]
+    assert not len(suffix_dedup.repeated(np.arange(6), rows, docs, strings))
+    text = np.frombuffer(bytes(range(200)), np.uint8)
+    pos, name = suffix_dedup.anchors(text)
+    assert (suffix_dedup._mixed(suffix_dedup.names_at(text, pos, 20)) == name).all()
+
+
 # -- 10 lines --------------------------------------------------------------
 
 @pytest.mark.parametrize("batches", [1, 3, 7])
