@@ -113,6 +113,45 @@ def replace_partitions(df: DataFrame, table: str, path: str, affected: list,
     manifest.commit(spark, path, parts, [p.path for p in base.of(dates)], base, dates)
 
 
+def upsert_batch(rows: DataFrame, table: str, path: str, replaces: str, batch: tuple[str, int],
+                 attempts: int = 5) -> bool:
+    """One batch of a stream of upserts, in one commit. False where it was committed before.
+
+    ``rows`` (read several times: a written table) has each key once; its column ``replaces`` is the partition value
+    that the key's row is live in so far, NULL for a new key. New rows are appended; of the named partitions only
+    the parts that hold a replaced key are rewritten. Where another writer has changed one of these meanwhile
+    (a compaction), the batch is worked out again on the newer version.
+    """
+    spark, spec = rows.sparkSession, FACTS[table]
+    if spec.partition_col is None or not spec.key_cols:
+        raise ValueError(f"{table} has no partitions or no key")
+    old = rows.filter(F.col(replaces).isNotNull())
+    dates = {partition_folder(spec, r[0]) for r in old.select(replaces).distinct().collect()}
+    keys = old.select(*spec.key_cols)
+    for attempt in range(attempts):
+        snapshot = manifest.latest(spark, path)
+        if snapshot.applied.get(batch[0], -1) >= batch[1]:
+            return False
+        out, hit = conform(rows, spec), ()
+        if candidates := snapshot.of(dates):
+            live = _read_parts(spark, spec, path, candidates, "_metadata.file_path")
+            folder = F.regexp_extract("file_path", rf"{manifest.DATA}/[^/]+/c-[^/]+", 0)
+            found = live.join(keys, list(spec.key_cols), "left_semi").select(folder).distinct()
+            folders = {r[0] for r in found.collect()}               # at most the parts of these dates
+            hit = tuple(p for p in candidates if p.path in folders)
+        if hit:
+            kept = _read_parts(spark, spec, path, hit).join(keys, list(spec.key_cols), "left_anti")
+            out = out.unionByName(kept.select(*spec.columns))
+        parts = _write_parts(out.hint("rebalance", spec.partition_col), spec, path)
+        try:
+            manifest.commit(spark, path, parts, [p.path for p in hit], batch=batch)
+            return True
+        except manifest.Conflict:
+            if attempt == attempts - 1:
+                raise
+    return False
+
+
 def _small(snapshot: Snapshot, target_bytes: int) -> dict[str, list[manifest.Part]]:
     """By partition, the parts of small files whose merging saves files."""
     by_partition = defaultdict(list)
@@ -164,12 +203,12 @@ def stream_folder(path: str) -> str:
     return f"{path.rstrip('/')}/{STREAM}"
 
 
-def _read_parts(spark: SparkSession, spec: FactSpec, path: str, parts) -> DataFrame:
+def _read_parts(spark: SparkSession, spec: FactSpec, path: str, parts, *more: str) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], spec.schema)
     base = path.rstrip("/")
     return spark.read.schema(spec.schema).option("basePath", f"{base}/{manifest.DATA}") \
-        .parquet(*(f"{base}/{p.path}" for p in parts)).select(*spec.columns)
+        .parquet(*(f"{base}/{p.path}" for p in parts)).select(*spec.columns, *more)
 
 
 def read_fact(spark: SparkSession, table: str, path: str, missing: str = "error",
