@@ -332,6 +332,36 @@ def test_every_text_of_an_item_is_searched(spark):
             docs, items, block_items=block).collect()] == [4]
 
 
+def test_blocks_of_items_are_bounded_by_bytes_and_put_together(spark):
+    """One id has texts in many blocks: every row of a document reports the text that it holds most of."""
+    texts = [" ".join(f"i{k}w{j}" for j in range(6 + k * 5)) for k in range(9)]
+    items = spark.createDataFrame([(7, t) for t in texts] + [(8, texts[0]), (9, "not anywhere at all here")],
+                                  "item_id long, text string")
+    part = " ".join(texts[8].split()[:40])                      # 36 of 42 shingles
+    docs = spark.createDataFrame(
+        [(1, f"a {texts[3]} b {part} c"), (1, f"a {texts[3]} b {part} c"), (1, "x " + texts[0]), (2, None),
+         (None, texts[5]), (3, "clean text of no item")], "doc_id long, text string")
+    want = [(None, 7, 27, 27), (1, 7, 2, 2), (1, 7, 17, 17), (1, 7, 17, 17), (1, 8, 2, 2)]
+    for limits in ({}, {"block_bytes": 300}, {"block_items": 1}):
+        got = contamination.contaminated(docs, items, **limits).collect()
+        assert sorted(map(tuple, got), key=lambda r: (r[0] or 0, *r[1:])) == want
+        clean = contamination.drop_contaminated(docs, items, **limits)
+        assert clean.columns == docs.columns
+        assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3]
+
+
+def test_an_index_of_varied_items_stays_small():
+    rng = np.random.default_rng(5)
+    items = [(k, " ".join(map(str, rng.integers(0, 10 ** 6, int(n)))))
+             for k, n in enumerate(6 * 2 ** rng.uniform(0, 8, 1_000))]
+    index = contamination.ItemIndex(items, 5, 64)
+    assert len(__import__("pickle").dumps(index)) < 20_000_000
+    text = items[3][1] + " and more " + items[500][1]
+    memo = contamination.WordHashes()
+    found = index.search([contamination.shingle_hashes(contamination.words_of(text), memo)])[0]
+    assert {m for m, n, h in found if n == h} == {3, 500}
+
+
 # -- 8 near duplicates -----------------------------------------------------
 
 def variants(n=160):
