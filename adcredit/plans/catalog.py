@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adcredit.functions.scalar import iso_date, iso_timestamp, round_doubles, to_naive
-from adcredit.operators import anomaly, drilldown, features, health, metrics, normalize
+from adcredit.operators import anomaly, drilldown, features, health, metrics, normalize, trends
 from adcredit.operators.attribution import attribution_orphans
 from adcredit.plans.oracle import AS_OF_SQL, money_sum, with_facts
 from adcredit.sources.driver import Warehouse
@@ -222,6 +222,39 @@ def _trend_range(w: Warehouse):
     return metrics.trend(w.fact_campaign_metrics, date_from=DATE_FROM, date_to=DATE_TO)
 
 
+def _moving_sql(measure: str, days: int) -> str:
+    """The engine's own regression over a self-join on calendar days."""
+    return with_facts("fact_campaign_metrics", extra=f"""
+  fitted AS (
+    SELECT c.campaign_id, c.metric_date, COUNT(p.y) AS points, AVG(p.y) AS level,
+           CASE WHEN COUNT(p.y) > 1 THEN regr_slope(p.y, date_diff('day', c.metric_date, p.metric_date)) END AS slope
+    FROM fact_campaign_metrics c
+    JOIN (SELECT campaign_id, metric_date, CAST(CAST({measure} AS DECIMAL(18,6)) AS DOUBLE) AS y
+          FROM fact_campaign_metrics) p
+      ON p.campaign_id IS NOT DISTINCT FROM c.campaign_id
+         AND date_diff('day', p.metric_date, c.metric_date) BETWEEN 0 AND {days - 1}
+    GROUP BY c.campaign_id, c.metric_date
+  )""") + f"""
+SELECT campaign_id, metric_date, points, round(level, 6) + 0.0 AS level, round(slope, 6) + 0.0 AS slope,
+       CASE WHEN points < 3 THEN NULL WHEN slope * {days - 1} > abs(level) * 0.1 THEN 'rising'
+            WHEN slope * {days - 1} < -abs(level) * 0.1 THEN 'falling' ELSE 'stable' END AS label
+FROM fitted ORDER BY campaign_id, metric_date"""
+
+
+@register("moving_trend_roas", _moving_sql("roas", 14))
+def _moving_trend_roas(w: Warehouse):
+    """Slope and label of each campaign's ROAS over 14 calendar days."""
+    return _r(trends.moving_trend(w.fact_campaign_metrics, "roas", 14), "level", "slope") \
+        .orderBy("campaign_id", "metric_date")
+
+
+@register("moving_trend_spend", _moving_sql("spend", 30))
+def _moving_trend_spend(w: Warehouse):
+    """Slope and label of each campaign's spend over 30 calendar days."""
+    return _r(trends.moving_trend(w.fact_campaign_metrics, "spend", 30), "level", "slope") \
+        .orderBy("campaign_id", "metric_date")
+
+
 def _rows_sql(measures: str, where: str = "") -> str:
     return with_facts("fact_campaign_metrics") + f"""
 SELECT CAST(metric_date AS VARCHAR) AS date, {measures}
