@@ -5,17 +5,20 @@ as two lazy DataFrames over one filtered plan. Sorting is always
 descending with a tie-break on the table key (D13), so pages are stable.
 A page is a global top-(offset+limit): each task keeps its own top rows
 and one small merge picks the page; deep offsets cost proportionally,
-``keyset_page`` avoids that.
+``keyset_page`` avoids that, and so does ``stored_page`` on a written table with an index.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adcredit.functions.predicates import apply_filters, date_range, equal_filters
+from adcredit.schemas import FACTS
+from adcredit.sources import files, index, manifest
+from adcredit.sources.sinks import read_fact, read_files, stream_folder
 
 MAX_LIMIT = 200
 DEFAULT_LIMIT = 25
@@ -90,6 +93,42 @@ def page(df: DataFrame, table: str, filters: dict | None = None, date_from=None,
     return rows, count
 
 
+#: Sort columns whose order is the order of the dates that the rows are stored under.
+BY_DATE = {"fact_ad_spend": ("date",), "fact_orders": ("order_ts", "order_date"),
+           "fact_events": ("event_ts", "event_date"), "fact_attribution": ("touch_ts",)}
+
+
+def stored_page(spark: SparkSession, table: str, path: str, filters: dict | None = None, date_from=None,
+                date_to=None, order_by: str | None = None, limit: int = DEFAULT_LIMIT,
+                offset: int = 0) -> tuple[DataFrame, DataFrame]:
+    """O4 + A6 on a written table: the same ``(rows, count)`` as :func:`page` of all its rows.
+
+    A filter by a look-up column opens only the files that hold the value. Without filters the
+    total comes from the stored row counts, and a page sorted by time or date reads only the dates it
+    lies in, however deep it is. Other pages, and tables that a stream feeds, take the plain way.
+    """
+    spec = validate_page_args(table, order_by, limit, offset)
+    filters = {k: v for k, v in (filters or {}).items() if v not in (None, "")}
+    known = [c for c in FACTS[table].lookup_cols if c in filters]
+    if known:
+        rows = index.lookup(spark, table, path, known[0], [str(filters[known[0]])], date_from, date_to)
+        return page(rows, table, filters, date_from, date_to, order_by, limit, offset)
+    if filters or files.exists(spark, stream_folder(path)):
+        return page(read_fact(spark, table, path), table, filters, date_from, date_to, order_by, limit, offset)
+    snapshot = manifest.latest(spark, path)
+    if not snapshot.version:
+        raise FileNotFoundError(f"no table at {path}")
+    counts = index.row_counts(spark, table, path, date_from, date_to, snapshot)
+    total = spark.range(1).select(F.lit(sum(counts.values())).cast("bigint").alias("total_count"))
+    parts, skipped = index.parts_between(FACTS[table], snapshot, date_from, date_to), 0
+    if (order_by or spec.default_sort) in BY_DATE[table]:
+        days, skipped = index.dates_of_page(counts, int(limit), int(offset))
+        parts = [p for p in parts if p.partition in set(days)]
+    rows, _ = page(read_files(spark, FACTS[table], path, [p.path for p in parts]), table, None, None, None,
+                   order_by, limit, int(offset) - skipped)
+    return rows, total
+
+
 def page_info(count: DataFrame, page_index: int, size: int = DEFAULT_LIMIT) -> DataFrame:
     """Page index -> offset, and whether a next page exists."""
     off = int(page_index) * int(size)

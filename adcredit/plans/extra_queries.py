@@ -14,17 +14,18 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adcredit.operators import drilldown
 from adcredit.operators import features as feat
 from adcredit.operators import forecast
 from adcredit.plans import jobs
 from adcredit.functions.scalar import finite
 from adcredit.operators.normalize import accept, normalize_events
-from adcredit.plans.catalog import (CAMPAIGN, DATE_FROM, DATE_TO, RETENTION_AS_OF, SQL,
+from adcredit.plans.catalog import (CAMPAIGN, CUSTOMER, DATE_FROM, DATE_TO, RETENTION_AS_OF, SQL,
                                     _FEATURES_CTE, _ROLL, _features_sql, _r, register)
 from adcredit.plans.oracle import with_facts
 from adcredit.schemas import FACT_AD_SPEND
 from adcredit.session import shared_dir
-from adcredit.sources import files, manifest
+from adcredit.sources import files, index, manifest
 from adcredit.sources.driver import Warehouse
 from adcredit.sources.raw import RAW_SCHEMAS, read_raw, stream_raw
 from adcredit.sources.sinks import read_fact, replace_partitions, write_fact
@@ -97,6 +98,40 @@ def _events_compacted(w: Warehouse):
     return read_fact(spark, "fact_events", path).drop("inserted_at")
 
 
+_EVENT_COLS = "event_id, customer_id, event_ts, event_date, event_type, campaign_id, source"
+
+
+def _indexed_events(w: Warehouse) -> str:
+    """A written ``fact_events`` in two appends, of which the first is indexed."""
+    path = shared_dir(w.spark, "fact_events")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(8)) == 0
+    write_fact(w.fact_events.filter(~late), "fact_events", path)
+    index.build(w.spark, "fact_events", path)
+    write_fact(w.fact_events.filter(late), "fact_events", path)
+    return path
+
+
+@register("customer_lookup", with_facts("fact_events") + f"""
+SELECT {_EVENT_COLS} FROM fact_events WHERE customer_id = '{CUSTOMER}'""")
+def _customer_lookup(w: Warehouse):
+    """One customer's events through the key index; rows appended since are found too."""
+    return index.lookup(w.spark, "fact_events", _indexed_events(w), "customer_id", [CUSTOMER]).drop("inserted_at")
+
+
+@register("deep_events_page", with_facts("fact_events") + f"""
+SELECT {_EVENT_COLS}, (SELECT COUNT(*) FROM fact_events) AS total_count
+FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY event_ts DESC NULLS LAST, event_id DESC) AS place
+      FROM fact_events)
+WHERE place > (SELECT COUNT(*) FROM fact_events) // 2
+ORDER BY place LIMIT 200""")
+def _deep_page(w: Warehouse):
+    """O4 + A6: the page in the middle of all events reads only the dates it lies in."""
+    path = _indexed_events(w)
+    total = sum(index.row_counts(w.spark, "fact_events", path).values())
+    rows, _ = drilldown.stored_page(w.spark, "fact_events", path, limit=200, offset=total // 2)
+    return rows.drop("inserted_at").withColumn("total_count", F.lit(total).cast("bigint"))
+
+
 @register("dates_replaced", with_facts("fact_ad_spend") + f"""
 SELECT campaign_id, date, CASE WHEN date BETWEEN DATE '{DATE_FROM}' AND DATE '{DATE_TO}'
                                THEN CAST(2 * spend AS DOUBLE) ELSE spend END AS spend

@@ -22,7 +22,7 @@ from adcredit.operators.metrics import campaign_metrics, latest_spend
 from adcredit.operators.normalize import accept, last_arrivals
 from adcredit.schemas import FACTS
 from adcredit.session import shared_dir
-from adcredit.sources import files, manifest
+from adcredit.sources import files, index, manifest
 from adcredit.sources.sinks import (TARGET_BYTES, compact, expire_partitions, read_fact,
                                     replace_partitions, write_fact)
 
@@ -263,6 +263,15 @@ def compaction_job(spark: SparkSession, root: str, target_bytes: int = TARGET_BY
     return {t: n for t, n in saved.items() if n}
 
 
+def index_job(spark: SparkSession, root: str) -> dict[str, int]:
+    """Index the parts of every stored fact table that are not indexed yet; parts by table.
+
+    Best run after :func:`compaction_job`: an index goes with the parts that a compaction merges.
+    """
+    built = {t: index.build(spark, t, _path(root, t)) for t in FACTS if t != "data_health"}
+    return {t: n for t, n in built.items() if n}
+
+
 def warehouse_counts(spark: SparkSession, root: str) -> DataFrame:
     """Row count per fact table (a small health report of a warehouse)."""
     out = read_health(spark, root).agg(F.count(F.lit(1)).alias("rows")) \

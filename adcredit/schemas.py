@@ -21,6 +21,7 @@ class FactSpec:
     cluster_cols: tuple[str, ...]
     key_cols: tuple[str, ...]
     retention_days: int | None = 180
+    lookup_cols: tuple[str, ...] = ()       # columns that single values are looked up in
 
     @property
     def required(self) -> tuple[str, ...]:
@@ -43,14 +44,14 @@ FACT_ORDERS = FactSpec(
     _schema(("order_id", S, False), ("customer_id", S, False), ("order_ts", TS, False),
             ("order_date", DT, False), ("revenue", D, False), ("currency", S, True),
             ("inserted_at", TS, True)),
-    "order_date", ("customer_id",), ("order_id",))
+    "order_date", ("customer_id",), ("order_id",), lookup_cols=("customer_id", "order_id"))
 
 FACT_EVENTS = FactSpec(
     "fact_events",
     _schema(("event_id", S, False), ("customer_id", S, False), ("event_ts", TS, False),
             ("event_date", DT, False), ("event_type", S, True), ("campaign_id", S, True),
             ("source", S, True), ("inserted_at", TS, True)),
-    "event_date", ("campaign_id", "customer_id"), ("event_id",))
+    "event_date", ("campaign_id", "customer_id"), ("event_id",), lookup_cols=("customer_id",))
 
 # DATE(touch_ts) is stored as its own column so that date filters prune.
 FACT_ATTRIBUTION = FactSpec(
@@ -58,7 +59,7 @@ FACT_ATTRIBUTION = FactSpec(
     _schema(("order_id", S, False), ("customer_id", S, False), ("campaign_id", S, True),
             ("touch_ts", TS, True), ("revenue", D, False), ("inserted_at", TS, True),
             ("touch_date", DT, True)),
-    "touch_date", ("campaign_id", "customer_id"), ("order_id",))
+    "touch_date", ("campaign_id", "customer_id"), ("order_id",), lookup_cols=("customer_id", "order_id"))
 
 FACT_CAMPAIGN_METRICS = FactSpec(
     "fact_campaign_metrics",

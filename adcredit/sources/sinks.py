@@ -203,12 +203,17 @@ def stream_folder(path: str) -> str:
     return f"{path.rstrip('/')}/{STREAM}"
 
 
-def _read_parts(spark: SparkSession, spec: FactSpec, path: str, parts, *more: str) -> DataFrame:
-    if not parts:
+def read_files(spark: SparkSession, spec: FactSpec, path: str, paths: list[str], *more: str) -> DataFrame:
+    """Rows of folders or files of the table (paths below its folder)."""
+    if not paths:
         return spark.createDataFrame([], spec.schema)
     base = path.rstrip("/")
     return spark.read.schema(spec.schema).option("basePath", f"{base}/{manifest.DATA}") \
-        .parquet(*(f"{base}/{p.path}" for p in parts)).select(*spec.columns, *more)
+        .parquet(*(f"{base}/{p}" for p in paths)).select(*spec.columns, *more)
+
+
+def _read_parts(spark: SparkSession, spec: FactSpec, path: str, parts, *more: str) -> DataFrame:
+    return read_files(spark, spec, path, [p.path for p in parts], *more)
 
 
 def read_fact(spark: SparkSession, table: str, path: str, missing: str = "error",
