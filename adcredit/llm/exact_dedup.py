@@ -15,8 +15,9 @@ their full text instead; the test shrinks the digest to provoke that.
 Defined results: NULL counts as the empty text, so NULL and empty texts form
 one group; of equal texts the smallest id stays, and rows that repeat an id and a text
 count in ``group_size`` and each get a row of the result (all of them kept, if that id is the
-winner); NULL ids are no smallest id, so ``keep_id`` is NULL where only they hold a text;
-an empty table gives an empty table; columns beside id and text are
+winner); NULL ids are no smallest id, so ``keep_id`` is NULL where only they hold a text, and
+``kept`` compares as equal what is NULL on both sides: all rows of such a group are kept (no id tells them apart; in
+:func:`drop_copies` one of them stays), and none where a row with an id has the text; an empty table gives an empty table; columns beside id and text are
 ignored.
 """
 
@@ -34,7 +35,7 @@ def normalised(text_col: str = "text") -> Column:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  salts: int = 16, digest_chars: int = 64) -> DataFrame:
-    """(id, keep_id, group_size, digest) of every row.
+    """(id, keep_id, group_size, kept, digest) of every row.
 
     ``digest`` is the SHA-256 of the normalised text in hex (its first ``digest_chars``).
     """
@@ -66,7 +67,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         unclear = rows.join(shared, "digest", "left_semi") \
             .join(winners, ["digest", "salt", "norm"]).select(*clear.columns)
         out = clear.unionByName(unclear)
-    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "digest")
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size",
+                      F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,7 +13,8 @@ Per key only counts and maxima are shuffled (after a map-side combine), so a lin
 all documents hold is one row a task.
 
 Defined results: a NULL or empty text is one empty line; a line repeated in a document
-counts once for it; rows that share an id are one document; when the last document holds a
+counts once for it; rows that share an id are one document; rows without an id count together as one document,
+which is never the last and keeps all its lines; when the last document holds a
 line several times, all of these stay; an empty table gives an empty table; other columns
 are ignored.
 """

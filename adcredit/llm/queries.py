@@ -96,14 +96,12 @@ WITH d AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
     FROM documents)
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-       doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+       doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
 FROM d WINDOW same AS (PARTITION BY t)
 """)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
-    return groups.select("doc_id", "keep_id", "group_size",
-                         (F.col("doc_id") == F.col("keep_id")).alias("kept"),
-                         F.col("digest").alias("text_sha256"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
 @query("op7_contamination", r"""
