@@ -11,8 +11,9 @@ links that a moved document mends. Quotas decide: a shard takes what fills it up
 documents (documents without links make room: they can go anywhere) and as much again as the same round moves out
 of it, so full shards exchange documents; requests are admitted by gain class
 (powers of two), whole classes first, and the class at the edge in part, by a hash that is the same for
-a text's documents in a shard, unless they are many.
-Only the sums per (shard, shard, gain class) go to the driver; no
+a text's documents in a shard, unless they are many. Rounds go on until six in a row
+admit or move no document (ties fall anew each round, so one such round proves little); moves only ever merge a text's
+cells or shift many copies towards more of them, so this ends. Only the sums per (shard, shard, gain class) go to the driver; no
 round sorts or collects cells.
 
 After the rounds the law ``rows`` is made exact: document counts differ by at most one. Each shard keeps
@@ -22,7 +23,7 @@ fine-grained buckets plus a rank inside each bucket; buckets split a text's copi
 a hash of the id, so no window sorts more than one bucket.
 
 Defined results: a NULL text has size 1 and the checksum of the empty text, and NULL and
-empty texts are equal; repeated rows are separate rows with their own slots; an empty table
+empty texts are equal; rows without an id are rows like others; repeated rows are separate rows with their own slots; an empty table
 gives an empty table; other columns are ignored.
 """
 
@@ -35,6 +36,8 @@ from pyspark.sql import functions as F
 from adcredit.llm.common import discard, whole_text, written
 
 GAIN_CLASSES = 40
+#: Rounds in a row that change nothing before the propagation ends.
+PATIENCE = 6
 
 
 def _asked(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
@@ -81,42 +84,52 @@ def admitted(asked: np.ndarray, room: np.ndarray) -> np.ndarray:
 
 def _round(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
            number: int) -> DataFrame | None:
-    """One round of requests and admissions; the cells with their new shard, None if none asks."""
+    """One round of requests and admissions; the cells with their new shard, None if none is admitted."""
     big = max(16, targets[0] // 64)
     wish = _asked(cells, loads, targets, shards, number, big)
     asked = np.zeros((shards, shards, GAIN_CLASSES))
     for r in wish.filter("class IS NOT NULL").groupBy("shard", "aim", "class") \
             .agg(F.sum("n").alias("n")).collect():           # a number a pair of shards and class
         asked[r["shard"], r["aim"], r["class"]] = r["n"]
-    if not asked.any():
-        return None
     share = admitted(asked, np.array([targets[s] - loads.get(s, 0) for s in range(shards)]))
+    if (asked * share).sum(axis=(0, 2)).max() < 1:
+        return None
     mine = F.get(F.lit(share.ravel().tolist()), F.col("aim") * GAIN_CLASSES + F.col("class"))
     lot = F.pmod(F.xxhash64("text_key", "shard", F.lit(number), F.when(F.col("here") > big, F.col("home"))),
                  F.lit(1_000_000)) / 1_000_000.0
-    return wish.select("text_key", "home", "n",
-                       F.when(lot < mine, F.col("aim")).otherwise(F.col("shard")).alias("shard"))
+    goes = F.coalesce(lot < mine, F.lit(False))
+    return wish.select("text_key", "home", "n", F.when(goes, F.col("aim")).otherwise(F.col("shard")).alias("shard"),
+                       F.when(goes, F.col("n")).otherwise(F.lit(0)).alias("moved"))
 
 
 def propagate(cells: DataFrame, loads: dict[int, int], targets: dict[int, int], shards: int,
-              rounds: int) -> DataFrame:
-    """(text_key, home, n, shard) after at most ``rounds`` rounds; ``loads``: linked documents."""
-    for number in range(rounds):
+              rounds: int | None = None) -> DataFrame:
+    """(text_key, home, n, shard) after the last round that helps; ``loads``: linked documents.
+
+    ``rounds`` stops earlier, with links left that more rounds would mend.
+    """
+    number = idle = 0
+    while idle < PATIENCE and (rounds is None or number < rounds):
         moved = _round(cells, loads, targets, shards, number)
+        number += 1
         if moved is None:
-            break
+            idle += 1                                        # nothing was written
+            continue
         moved = written(moved, "shard-cells")
-        loads = {r["shard"]: r["n"] for r in
-                 moved.groupBy("shard").agg(F.sum("n").alias("n")).collect()}    # a number a shard
+        sums = moved.groupBy("shard").agg(F.sum("n").alias("n"), F.sum("moved").alias("m")) \
+            .collect()                                       # two numbers a shard
+        loads = {r["shard"]: r["n"] for r in sums}
+        idle = 0 if any(r["m"] for r in sums) else idle + 1
         discard(cells)
-        cells = moved
+        cells = moved.drop("moved")
+        cells.scratch_path = moved.scratch_path
     return cells
 
 
-def shard(docs: DataFrame, shards: int = 8, rounds: int = 5, id_col: str = "doc_id",
+def shard(docs: DataFrame, shards: int = 8, rounds: int | None = None, id_col: str = "doc_id",
           text_col: str = "text", spread: int = 64) -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every row."""
-    if shards < 1 or rounds < 0 or spread < 1:
+    if shards < 1 or spread < 1 or (rounds is not None and rounds < 0):
         raise ValueError("shards and spread must be positive, rounds not negative")
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t")).select(
