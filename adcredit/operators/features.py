@@ -49,13 +49,39 @@ def features_with_events(metrics: DataFrame, events: DataFrame, window_rows: int
     """W11 (+ A3, J5): daily features with the campaign's event count, no target."""
     base = metrics.select(F.col("metric_date").alias("date"), "campaign_id", "spend",
                           "attributed_revenue", "conversions", "cac", "roas")
-    counts = daily_event_counts(events).filter(F.col("campaign_id").isNotNull())
-    joined = (base.join(counts, ["date", "campaign_id"], "left")
-              .select(*base.columns, F.coalesce(F.col("events_count"), F.lit(0))
-                      .cast("bigint").alias("events_count")))
+    joined = with_event_counts(base, events)
     return joined.select(*joined.columns, *_rolling_cols("date", window_rows))
 
 
+def with_event_counts(rows: DataFrame, events: DataFrame) -> DataFrame:
+    """Rows (date, campaign_id, ...) with ``events_count`` of their day, 0 where there are none."""
+    counts = daily_event_counts(events).filter(F.col("campaign_id").isNotNull())
+    return rows.join(counts, ["date", "campaign_id"], "left") \
+        .select(*rows.columns, F.coalesce(F.col("events_count"), F.lit(0)).cast("bigint").alias("events_count"))
+
+
+def differing(now: DataFrame, before: DataFrame) -> DataFrame:
+    """Rows that only one of two tables has (equal NULLs and NaNs are equal)."""
+    return now.exceptAll(before).unionByName(before.exceptAll(now))
+
+
+def features_since(metrics: DataFrame, firsts: DataFrame, window_rows: int = 7) -> DataFrame:
+    """W10 for the campaigns of ``firsts`` (campaign_id, first), from the day before ``first`` on.
+
+    A changed day moves the frames of the campaign's next rows and the target of the day before. The state that
+    is carried into the first frame is the campaign's last ``window_rows - 1`` older rows, taken by a limited window
+    (each task passes on that many rows a campaign), so history is scanned but neither shuffled nor recomputed.
+    """
+    mine = metrics.join(firsts, "campaign_id")
+    start = F.date_sub(F.col("first"), 1)
+    latest = Window.partitionBy("campaign_id").orderBy(F.col("metric_date").desc())
+    carried = mine.filter(F.col("metric_date") < start).withColumn("_n", F.row_number().over(latest)) \
+        .filter(F.col("_n") < window_rows).drop("_n")
+    rows = carried.unionByName(mine.filter(F.col("metric_date") >= start))
+    out = features_with_target(rows, window_rows)
+    return out.join(firsts, "campaign_id").filter(F.col("metric_date") >= start).select(*out.columns)
+
+
 _TRAIN_COLS = ["spend", "attributed_revenue", "conversions", "cac", "roas", *ROLLING]
 
 

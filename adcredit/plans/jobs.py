@@ -217,14 +217,82 @@ def _in_days(col: str, days: set):
 
 # -- features, training, retention -----------------------------------------------
 
-def features_job(spark: SparkSession, root: str) -> None:
-    """B5 + S10: write both feature tables (D18) with their fixed schemas."""
+def features_job(spark: SparkSession, root: str, since: _dt.datetime | None = None) -> None:
+    """B5 + S10: write both feature tables (D18) with their fixed schemas.
+
+    ``since``: incremental mode, see :func:`_refresh_features`; the first run is a full one.
+    """
+    paths = [_path(root, t) for t in ("fact_campaign_metrics_features", "daily_features")]
+    if since is not None and all(manifest.latest(spark, p).version for p in paths):
+        _refresh_features(spark, root, since)
+        return
     metrics = read_fact(spark, "fact_campaign_metrics", _path(root, "fact_campaign_metrics"))
     events = read_fact(spark, "fact_events", _path(root, "fact_events"))
-    write_fact(feat.features_with_target(metrics), "fact_campaign_metrics_features",
-               _path(root, "fact_campaign_metrics_features"), "overwrite")
-    write_fact(feat.features_with_events(metrics, events), "daily_features",
-               _path(root, "daily_features"), "overwrite")
+    write_fact(feat.features_with_target(metrics), "fact_campaign_metrics_features", paths[0], "overwrite")
+    write_fact(feat.features_with_events(metrics, events), "daily_features", paths[1], "overwrite")
+
+
+def _dates(snapshot: manifest.Snapshot) -> set[_dt.date]:
+    return {_dt.date.fromisoformat(p.partition.split("=", 1)[1]) for p in snapshot.parts}
+
+
+def _days_of(df: DataFrame, col: str) -> set:
+    return {r[0] for r in df.select(col).distinct().collect()}          # a value a day
+
+
+def _refresh_features(spark: SparkSession, root: str, since: _dt.datetime) -> None:
+    """Recompute the features that metrics and events inserted since ``since`` change; equal to the full job.
+
+    Days with such metrics, and days that lost all theirs, are compared with the stored features; each campaign that
+    differs is recomputed from its first changed day on, and only the dates with a different result are
+    replaced, each table's in one commit. An event that a correction moved to another date shows where a later
+    insertion touches the date it left; after corrections that move events, run the full job.
+    """
+    name, daily = "fact_campaign_metrics_features", "daily_features"
+    f_base, d_base = (manifest.latest(spark, _path(root, t)) for t in (name, daily))
+    m_path = _path(root, "fact_campaign_metrics")
+    m_base = manifest.latest(spark, m_path)
+    metrics = read_fact(spark, "fact_campaign_metrics", m_path, snapshot=m_base)
+    stored = read_fact(spark, name, _path(root, name), snapshot=f_base)
+    stored_daily = read_fact(spark, daily, _path(root, daily), snapshot=d_base)
+    recent = F.col("inserted_at") >= F.lit(since)
+    days = _days_of(metrics.filter(recent), "metric_date") | (_dates(f_base) - _dates(m_base))
+    cols = ["campaign_id", "metric_date", "spend", "attributed_revenue", "conversions", "cac", "roas"]
+    here = _in_days("metric_date", days)
+    changed = feat.differing(metrics.filter(here).select(*cols), stored.filter(here).select(*cols))
+    firsts, firsts_path = _staged(changed.groupBy("campaign_id").agg(F.min("metric_date").alias("first")),
+                                  "b5-campaigns")
+    fresh, fresh_path = _staged(feat.features_since(metrics, firsts), "b5-fresh")
+    staged = [firsts_path, fresh_path]
+
+    def replaced(old: DataFrame, new: DataFrame, date: str, more: set = frozenset()) -> tuple[DataFrame, set]:
+        """All rows of the dates that differ (and of ``more``), and those dates."""
+        known = old.join(firsts, "campaign_id", "left")
+        stale = F.coalesce(F.col(date) >= F.date_sub(F.col("first"), 1), F.lit(False))
+        touched = _days_of(feat.differing(new, known.filter(stale).select(*new.columns)), date) | more
+        rows = known.filter(~stale).select(*new.columns).unionByName(new).filter(_in_days(date, touched))
+        return rows, touched
+
+    rows, touched = replaced(stored, fresh, "metric_date")
+    if touched:
+        rows, path = _staged(rows, "b5-rows")
+        staged.append(path)
+        replace_partitions(rows, name, _path(root, name), sorted(touched), f_base)
+    events = read_fact(spark, "fact_events", _path(root, "fact_events"))
+    counted = _days_of(events.filter(recent), "event_date") & (_dates(d_base) | _dates(m_base))
+    values = fresh.drop(feat.TARGET).withColumnRenamed("metric_date", "date")
+    rows, touched = replaced(stored_daily.drop("events_count"), values, "date", counted)
+    if touched:
+        rows, path = _staged(feat.with_event_counts(rows, events.filter(_in_days("event_date", touched))),
+                             "b5-daily")
+        staged.append(path)
+        before = stored_daily.filter(_in_days("date", touched)).select(*rows.columns)
+        touched = _days_of(feat.differing(rows, before), "date")
+        if touched:
+            replace_partitions(rows.filter(_in_days("date", touched)), daily, _path(root, daily),
+                               sorted(touched), d_base)
+    for path in staged:
+        files.delete(spark, path)
 
 
 def training_job(spark: SparkSession, root: str, model_path: str,

@@ -91,13 +91,13 @@ CAMPAIGN_FEATURES = FactSpec(
     "fact_campaign_metrics_features",
     _schema(("campaign_id", S, False), ("metric_date", DT, False), *_FEATURE_VALUES,
             *_ROLLING_VALUES, ("next_day_roas", D, True)),
-    None, ("campaign_id", "metric_date"), ("campaign_id", "metric_date"), retention_days=None)
+    "metric_date", ("campaign_id",), ("campaign_id", "metric_date"), retention_days=None)
 
 DAILY_FEATURES = FactSpec(
     "daily_features",
     _schema(("date", DT, False), ("campaign_id", S, False), *_FEATURE_VALUES,
             ("events_count", L, True), *_ROLLING_VALUES),
-    None, ("date", "campaign_id"), ("date", "campaign_id"), retention_days=None)
+    "date", ("campaign_id",), ("date", "campaign_id"), retention_days=None)
 
 FACTS = {s.name: s for s in (FACT_AD_SPEND, FACT_ORDERS, FACT_EVENTS, FACT_ATTRIBUTION,
                              FACT_CAMPAIGN_METRICS, DATA_HEALTH, QUARANTINE, CAMPAIGN_FEATURES,
