@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 SIDE_EFFECTS = ("stream_", "forecast_", "feature_importance", "score_features",
                 "append_replace_roundtrip", "partitioned_write_scan", "events_compacted", "dates_replaced", "customer_lookup",
                 "deep_events_page", "jobs_end_to_end", "raw_json_",
-                "raw_csv_", "features_job_table", "daily_features_table", "retention_job")
+                "raw_csv_", "features_job_table", "features_incremental", "daily_features_table", "retention_job")
 READS = sorted(k for k in catalog.QUERIES if not k.startswith(SIDE_EFFECTS))
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
