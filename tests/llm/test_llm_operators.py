@@ -281,7 +281,7 @@ def test_sharding_reaches_the_optimum_of_small_tables(spark):
                    for half in map(set, itertools.combinations(range(8), 4)))
         print(texts, cut(out), best)
         assert sorted(out.values()) == [0] * 4 + [1] * 4
-        assert cut(out) <= best + 3
+        assert cut(out) == best
 
 
 def test_rows_without_an_id(spark):
