@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import sys
+from collections import defaultdict
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -104,7 +105,7 @@ def stream_daily_counts(events_stream: DataFrame, delay: str = "1 hour") -> Data
 
 
 # --------------------------------------------------------------------------
-# Last touch with bounded per-customer state
+# Last touch with bounded state per customer, in groups of customers
 # --------------------------------------------------------------------------
 
 TOUCH_INPUT = T.StructType([
@@ -125,19 +126,23 @@ TOUCH_OUTPUT = T.StructType([
     T.StructField("revenue", T.DoubleType()),
 ])
 
-_EVENT = T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.StringType()),
-                       T.StructField("campaign_id", T.StringType())])
-_ORDER = T.StructType([T.StructField("ts", T.LongType()), T.StructField("order_id", T.StringType()),
-                       T.StructField("revenue", T.DoubleType())])
-_DONE = T.StructType([T.StructField("ts", T.LongType()), T.StructField("order_id", T.StringType())])
+def _owned(*fields: T.StructField) -> T.ArrayType:
+    """Rows of one customer (or of one order without a customer) in the state of a group."""
+    return T.ArrayType(T.StructType([T.StructField("alone", T.StringType()),
+                                     T.StructField("customer_id", T.StringType()), *fields]))
 
-# folded = newest event at or before the watermark; events and orders hold newer rows;
+
+_TS = T.StructField("ts", T.LongType())
+_EVENT = (_TS, T.StructField("event_id", T.StringType()), T.StructField("campaign_id", T.StringType()))
+_ORDER_ID = T.StructField("order_id", T.StringType())
+
+# per customer: folded = newest event at or before the watermark; events and orders hold newer rows;
 # done = orders answered within the look-back. All values are typed: none passes through text.
 TOUCH_STATE = T.StructType([
-    T.StructField("folded", T.ArrayType(_EVENT)),            # none or one
-    T.StructField("events", T.ArrayType(_EVENT)),
-    T.StructField("orders", T.ArrayType(_ORDER)),
-    T.StructField("done", T.ArrayType(_DONE)),
+    T.StructField("folded", _owned(*_EVENT)),                # none or one a customer
+    T.StructField("events", _owned(*_EVENT)),
+    T.StructField("orders", _owned(_TS, _ORDER_ID, T.StructField("revenue", T.DoubleType()))),
+    T.StructField("done", _owned(_TS, _ORDER_ID)),
 ])
 
 
@@ -151,80 +156,101 @@ def _text(v) -> str | None:
     return None if v is None or v is pd.NA or (isinstance(v, float) and pd.isna(v)) else str(v)
 
 
-def _attribute_customer(lookback_us: int):
-    """State function for one customer (or one order without a customer)."""
+def _attribute_customer(customer: str | None, held: tuple, wm: int, lookback_us: int) -> tuple:
+    """One customer (or one order without a customer) at the watermark ``wm``: what stays held,
+    and {order id: (touch, revenue)} of the orders answered now."""
+    folded, events, orders, done = held
+    answered = {oid for _, oid in done}
+    # copies collapse: one row an event, one row an (order, instant)
+    events = sorted(set(events), key=_rank)
+    newest: dict = {}
+    for ts, oid, rev in orders:
+        if oid not in answered:
+            had = newest.get((ts, oid))
+            newest[ts, oid] = rev if had is None else had if rev is None else max(had, rev)
+    orders = sorted(((ts, oid, rev) for (ts, oid), rev in newest.items()),
+                    key=lambda o: (o[0], o[1] is not None, o[1] or ""))
+
+    # 1) answer the orders the watermark has passed: every event at or
+    #    before them has arrived (the folded row + the buffered events)
+    best: dict = {}
+    at, last = 0, folded[0] if folded else None
+    for ts, oid, rev in orders:
+        if ts > wm:
+            break
+        while at < len(events) and events[at][0] <= ts:
+            if last is None or _rank(events[at]) > _rank(last):
+                last = events[at]
+            at += 1
+        touch = last if customer is not None and last is not None \
+            and ts - lookback_us <= last[0] <= ts else None
+        # rows of one order id: the latest touch wins, as in the batch
+        order = (touch is not None, _rank(touch) if touch else (), ts, rev is not None, rev or 0)
+        if oid not in best or order > best[oid][0]:
+            best[oid] = (order, touch, rev)
+            answered.add(oid)
+    latest = {oid: ts for ts, oid, _ in orders if ts <= wm}         # in order of time: the last stays
+    done = done + [(latest[oid], oid) for oid in best]
+    # a second instant of an answered id that comes later is the same order
+    orders = [o for o in orders if o[0] > wm and o[1] not in answered]
+
+    # 2) events at or before the watermark fold into one row (newest
+    #    wins): every pending order is later than the watermark
+    past = folded + [e for e in events if e[0] <= wm]
+    folded = [max(past, key=_rank)] if past else []
+    events = [e for e in events if e[0] > wm]
+
+    # 3) nothing older than the look-back can be picked or re-delivered any more
+    folded = [e for e in folded if e[0] + lookback_us >= wm]
+    done = [d for d in done if d[0] + lookback_us >= wm]
+    return (folded, events, orders, done), {oid: (touch, rev) for oid, (_, touch, rev) in best.items()}
+
+
+def _attribute_group(lookback_us: int):
+    """State function for a group of customers: Arrow batches in, one frame of answers out."""
 
     def fn(key, pdfs, state):
-        customer = key[1]
         wm = int(state.getCurrentWatermarkMs()) * 1000
-        folded, events, orders, done = ([tuple(x) for x in part or ()] for part in
-                                        (state.get if state.exists else ((), (), (), ())))
+        held: dict = defaultdict(lambda: ([], [], [], []))          # by (alone, customer)
+        for n, part in enumerate(state.get if state.exists else ()):
+            for alone, customer, *row in part or ():
+                held[alone, customer][n].append(tuple(row))
         if not state.hasTimedOut:
             for pdf in pdfs:
                 us = pd.to_datetime(pdf["ts"]).astype("datetime64[us]").astype("int64")
-                for kind, ts, ev, camp, oid, rev in zip(
-                        pdf["kind"], us, pdf["event_id"], pdf["campaign_id"], pdf["order_id"],
-                        pdf["revenue"]):
+                columns = ("kind", "alone", "customer_id", "event_id", "campaign_id", "order_id", "revenue")
+                for ts, kind, alone, customer, ev, camp, oid, rev in zip(
+                        us.tolist(), *(pdf[c].tolist() for c in columns)):
                     if kind == 0:
-                        events.append((int(ts), _text(ev), _text(camp)))
+                        held[_text(alone), _text(customer)][1].append((ts, _text(ev), _text(camp)))
                     elif kind == 1:
-                        orders.append((int(ts), _text(oid), None if pd.isna(rev) else float(rev)))
-        answered = {oid for _, oid in done}
-        # copies collapse: one row an event, one row an (order, instant)
-        events = sorted(set(events), key=_rank)
-        newest: dict = {}
-        for ts, oid, rev in orders:
-            if oid not in answered:
-                had = newest.get((ts, oid))
-                newest[ts, oid] = rev if had is None else had if rev is None else max(had, rev)
-        orders = sorted((ts, oid, rev) for (ts, oid), rev in newest.items())
-
-        # 1) answer the orders the watermark has passed: every event at or
-        #    before them has arrived (the folded row + the buffered events)
-        best: dict = {}
-        at, last = 0, folded[0] if folded else None
-        for ts, oid, rev in [o for o in orders if o[0] <= wm]:
-            while at < len(events) and events[at][0] <= ts:
-                if last is None or _rank(events[at]) > _rank(last):
-                    last = events[at]
-                at += 1
-            touch = last if customer is not None and last is not None \
-                and ts - lookback_us <= last[0] <= ts else None
-            # rows of one order id: the latest touch wins, as in the batch
-            order = (touch is not None, _rank(touch) if touch else (), ts, rev is not None, rev or 0)
-            if oid not in best or order > best[oid][0]:
-                best[oid] = (order, touch, rev)
-                answered.add(oid)
-        done += [(max(t for t, o, _ in orders if o == oid and t <= wm), oid) for oid in best]
-        # a second instant of an answered id that comes later is the same order
-        orders = [o for o in orders if o[0] > wm and o[1] not in answered]
-
-        # 2) events at or before the watermark fold into one row (newest
-        #    wins): every pending order is later than the watermark
-        past = folded + [e for e in events if e[0] <= wm]
-        folded = [max(past, key=_rank)] if past else []
-        events = [e for e in events if e[0] > wm]
-
-        # 3) nothing older than the look-back can be picked or re-delivered any more
-        folded = [e for e in folded if e[0] + lookback_us >= wm]
-        done = [d for d in done if d[0] + lookback_us >= wm]
-        if folded or events or orders or done:
-            state.update((folded, events, orders, done))
+                        held[_text(alone), _text(customer)][2].append(
+                            (ts, _text(oid), None if pd.isna(rev) else float(rev)))
+        keep: tuple = ([], [], [], [])
+        answers, due = [], None
+        for (alone, customer), had in held.items():
+            parts, best = _attribute_customer(customer, had, wm, lookback_us)
+            folded, events, orders, done = parts
+            for to, part in zip(keep, parts):
+                to.extend((alone, customer, *row) for row in part)
+            answers += [(oid, customer, touch, rev) for oid, (touch, rev) in best.items()]
             times = [o[0] for o in orders[:1]] + [e[0] for e in events[-1:]] \
                 + [x[0] + lookback_us for x in folded + done]
-            state.setTimeoutTimestamp(max(min(times) // 1000, wm // 1000) + 1)
+            if times:
+                due = min(times) if due is None else min(due, *times)
+        if due is not None:
+            state.update(keep)
+            state.setTimeoutTimestamp(max(due // 1000, wm // 1000) + 1)
         elif state.exists:
             state.remove()
-        if best:
+        if answers:
             yield pd.DataFrame({
-                "order_id": pd.Series(list(best), dtype=object),
-                "customer_id": pd.Series([customer] * len(best), dtype=object),
-                "campaign_id": pd.Series([t[2] if t else None for _, t, _ in best.values()],
-                                         dtype=object),
-                "touch_ts": pd.to_datetime(pd.Series([t[0] if t else None
-                                                      for _, t, _ in best.values()],
-                                                     dtype="Int64"), unit="us"),
-                "revenue": pd.Series([r for _, _, r in best.values()], dtype="float64"),
+                "order_id": pd.Series([a[0] for a in answers], dtype=object),
+                "customer_id": pd.Series([a[1] for a in answers], dtype=object),
+                "campaign_id": pd.Series([a[2] and a[2][2] for a in answers], dtype=object),
+                "touch_ts": pd.to_datetime(pd.Series([a[2] and a[2][0] for a in answers], dtype="Int64"),
+                                           unit="us"),
+                "revenue": pd.Series([a[3] for a in answers], dtype="float64"),
             })
 
     return fn
@@ -242,7 +268,7 @@ def touch_stream(orders: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def stream_last_touch(touches: DataFrame, delay: str = "1 hour",
-                      lookback_days: int = 7) -> DataFrame:
+                      lookback_days: int = 7, groups: int = 1024) -> DataFrame:
     """Continuous last-touch attribution.
 
     The rows of the batch J1 for all input that is not older than the watermark when it
@@ -254,18 +280,26 @@ def stream_last_touch(touches: DataFrame, delay: str = "1 hour",
     order id more than ``delay`` apart are answered by the first (a stream cannot take an answer back);
     the batch job answers them by the latest touch.
 
-    This operator is Python per key (Arrow batches, a small helper over lists); all
+    Customers are dealt to ``groups`` groups by a hash, and a group's customers share a state row and a call:
+    a call of the Python worker costs some milliseconds, whether for one customer's rows or for thousands. A task
+    holds one group's rows of a micro-batch at a time, so ``groups`` should grow with the customers (some hundred to
+    some thousand each); it is fixed by the checkpoint, as the number of shuffle partitions is.
+
+    This operator is Python per group (Arrow batches, a small helper over lists); all
     others of the package are JVM-side, :func:`stream_interval_last_touch` too. A customer's state is in one task, as with any
     keyed state; for a hot customer it is bounded by the delay and the look-back's orders.
     """
+    if groups < 1:
+        raise ValueError("groups must be positive")
     lookback_us = int(lookback_days) * 86_400 * 1_000_000
     # ship the state function by value: executors need not install this package
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     alone = F.when(F.col("customer_id").isNull(), F.col("order_id"))
     keyed = touches.filter(F.col("customer_id").isNotNull() | (F.col("kind") != 0)) \
-        .withColumn("alone", alone).withWatermark("ts", delay)
-    return keyed.groupBy("alone", "customer_id").applyInPandasWithState(
-        _attribute_customer(lookback_us), TOUCH_OUTPUT, TOUCH_STATE, "append",
+        .withColumn("alone", alone) \
+        .withColumn("group", F.pmod(F.xxhash64("alone", "customer_id"), F.lit(groups))).withWatermark("ts", delay)
+    return keyed.groupBy("group").applyInPandasWithState(
+        _attribute_group(lookback_us), TOUCH_OUTPUT, TOUCH_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
