@@ -86,14 +86,16 @@ class LineRuns:
 
     def add(self, batch: DataFrame) -> None:
         """``batch``: (key, docs, last), one row a key, of documents not added before."""
+        if not any(self.levels):                 # the first batch is a run as it is
+            self._push(self.levels, self._write(batch.repartition(self.buckets, "key")))
+            return
         stored = written(batch, "line-batch")
         rows = stored.repartition(self.buckets, "key")
-        fresh, first = rows, not any(self.levels)
+        fresh = rows
         for name in [n for level in self.levels for n in level]:      # merge-anti-join the runs
             fresh = self._without(fresh, name)
         name = self._write(fresh)
-        if not first:                            # keys of the batch that its own run lacks
-            self._push(self.repeats, self._write(self._without(rows, name)))
+        self._push(self.repeats, self._write(self._without(rows, name)))     # keys that its own run lacks
         self._push(self.levels, name)
         discard(stored)
 

@@ -543,3 +543,15 @@ def test_rows_without_an_id_are_kept_and_compared(spark):
     assert sorted((r["doc_id"] or 0, r["kept"].decode()) for r in out) == sorted(
         [(1, PASSAGE), (2, near), (-3, "short"), (0, lone), (0, twice), (0, twice), (0, ""),
          (0, " z"), (0, ""), (0, "")])
+
+
+def test_the_first_batch_of_lines_is_a_run_without_a_copy(spark, monkeypatch):
+    names, real = [], line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: names.append(name) or real(df, name))
+    line = "a line of more than forty characters, found everywhere"
+    docs = spark.createDataFrame([(n, f"{line}\nown {n}") for n in range(12)], "doc_id long, text string")
+    for batches in (1, 3):
+        names.clear()
+        got = {r.doc_id: r.kept_text for r in line_dedup.drop_lines(docs, batches=batches, buckets=2).collect()}
+        assert got == {n: f"{line}\nown {n}" if n == 11 else f"own {n}" for n in range(12)}
+        assert names.count("line-batch") == batches - 1
