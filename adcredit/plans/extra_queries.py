@@ -24,7 +24,7 @@ from adcredit.plans.catalog import (CAMPAIGN, CUSTOMER, DATE_FROM, DATE_TO, RETE
                                     _FEATURES_CTE, _ROLL, _features_sql, _r, register)
 from adcredit.plans.oracle import with_facts
 from adcredit.schemas import FACT_AD_SPEND
-from adcredit.session import shared_dir
+from adcredit.session import shared_dir, state_partitions
 from adcredit.sources import files, index, manifest
 from adcredit.sources.driver import Warehouse
 from adcredit.sources.raw import RAW_SCHEMAS, read_raw, stream_raw
@@ -452,7 +452,9 @@ def _arrivals(df: DataFrame, ts_col: str) -> list[DataFrame]:
             for name in files.folders(spark, path)]                 # a few spans
 
 
-def _run_available(started) -> None:
+def _run_available(spark, start) -> None:
+    with state_partitions(spark):
+        started = start()
     for query in started if isinstance(started, list) else [started]:
         query.awaitTermination()
         if query.exception() is not None:
@@ -463,12 +465,11 @@ def _land_and_stream(parts: list[DataFrame], src: str, start) -> None:
     """Land each arrival (a parallel write) and run the stream over what is
     available, restarting from the same checkpoint every time: state and
     progress survive the restart, as after a driver or executor loss.
-    State is partitioned by the configured number of shuffle partitions, which
-    the checkpoint keeps from the first start.
+    The checkpoint keeps the number of state partitions from the first start.
     """
     for part in parts:
         part.write.mode("append").parquet(src)
-        _run_available(start())
+        _run_available(part.sparkSession, start)
 
 
 def _streamed_touches(w: Warehouse, orders: DataFrame) -> DataFrame:
@@ -511,24 +512,23 @@ def _stream_interval_last_touch(w: Warehouse):
     o = w.fact_orders.select("order_id", "customer_id", "order_ts", "revenue")
     last = max(x for df, c in ((e, "event_ts"), (o, "order_ts")) for x in df.agg(F.max(c)).first())
 
-    def run():
+    def start():
         streams = [spark.readStream.schema(df.schema).parquet(at) for df, at in ((o, order), (e, event))]
-        q = sj.stream_interval_last_touch(*streams, f"{_DELAY_S} seconds").writeStream.format("parquet") \
+        return sj.stream_interval_last_touch(*streams, f"{_DELAY_S} seconds").writeStream.format("parquet") \
             .option("path", out).option("checkpointLocation", ck).outputMode("append") \
             .trigger(availableNow=True).start()
-        _run_available(q)
 
     for es, os_ in zip_longest(_arrivals(e, "event_ts"), _arrivals(o, "order_ts")):
         for df, at in ((es, event), (os_, order)):
             if df is not None:
                 df.write.mode("append").parquet(at)
-        run()                                           # restarted after every arrival
+        _run_available(spark, start)                    # restarted after every arrival
     for n in (1, 2):    # closing rows on both sides move the watermarks of join and sum past all input
         ts = last + _dt.timedelta(days=30 * n)
         for df, at in ((e, event), (o, order)):
             spark.createDataFrame([("~end", "~end", ts, None)], df.schema).coalesce(1) \
                 .write.mode("append").parquet(at)
-        run()
+        _run_available(spark, start)
     return spark.read.schema(sj.TOUCH_OUTPUT).parquet(out).filter("order_id <> '~end'")
 
 
@@ -609,9 +609,9 @@ def _streamed_ingest(w: Warehouse, kind: str, table: str, src: str, fmt: str, ar
     root, ck = shared_dir(w.spark, "warehouse"), shared_dir(w.spark, "ingest-ck")
     for land in arrivals:
         land()
-        _run_available(sj.stream_ingest(stream_raw(w.spark, kind, src, fmt), kind,
-                                        f"{root}/{table}", ck, f"{root}/quarantine",
-                                        as_of=w.as_of))
+        _run_available(w.spark, lambda: sj.stream_ingest(stream_raw(w.spark, kind, src, fmt), kind,
+                                                         f"{root}/{table}", ck, f"{root}/quarantine",
+                                                         as_of=w.as_of))
     return root
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from adcredit.operators.attribution import last_touch
+from adcredit.session import state_partitions
 from adcredit.streaming import jobs as sj
 
 T0 = dt.datetime(2026, 3, 1)
@@ -111,6 +112,26 @@ def test_late_orders_are_counted_and_repaired(spark, tmp_path):
         last_touch(orders, events))
 
 
+def test_customers_share_calls_and_state_rows(spark, tmp_path):
+    """A call of the Python worker is paid for a group of customers, not for each one."""
+    files = [[row for c in range(40) for row in (ev(f"c{c}", c / 40, 2 * c, f"A{c}"), od(f"c{c}", 1 + c / 40, f"o{c}"),
+                                                 od(f"c{c}", 30 + c / 40, f"p{c}"), od(None, 3, f"n{c}"))],
+             [ev(f"c{c}", 29, 2 * c + 1, f"B{c}") for c in range(0, 40, 3)], [END]]
+    orders, events = _split(spark, files)
+    want, src = _rows(last_touch(orders, events)), str(tmp_path / "src")
+    for n, rows in enumerate(files):
+        spark.createDataFrame(rows, EV).coalesce(1).write.mode("append").parquet(src)
+    for groups in (1, 3):
+        out, ck = (str(tmp_path / f"{n}{groups}") for n in ("out", "ck"))
+        stream = spark.readStream.schema(sj.TOUCH_INPUT).option("maxFilesPerTrigger", 1).parquet(src)
+        q = sj.stream_last_touch(stream, "2 hours", groups=groups).writeStream.format("parquet") \
+            .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert q.exception() is None
+        assert _rows(spark.read.schema(sj.TOUCH_OUTPUT).parquet(out)) == want
+        assert 0 < max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]) <= groups
+
+
 # -- T3 as an interval join --------------------------------------------------
 
 def _run_join(spark, tmp_path, files, delay="2 hours"):
@@ -142,3 +163,17 @@ def test_interval_join_equals_batch_with_jvm_state_only(spark, tmp_path):
     assert "StreamingSymmetricHashJoin" in plan and "Python" not in plan and "InPandas" not in plan
     # events leave with the look-back, orders with the watermark: only closing rows are left
     assert sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"]) <= 4
+
+
+def test_state_partitions_follow_the_cores_not_the_batch_shuffles(spark, tmp_path):
+    files = [[od("a", 3, "o1"), ev("a", 1, 1, "A1")]]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        with state_partitions(spark, per_core=1):
+            _run_join(spark, tmp_path, files)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = spark.read.format("state-metadata").load(str(tmp_path / "ck"))
+    assert {r[0] for r in stores.select("numPartitions").collect()} == {spark.sparkContext.defaultParallelism}
