@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+import numpy as np
 import pandas as pd
 
 from adcredit.operators.attribution import last_touch
@@ -152,6 +153,9 @@ def _rank(event: tuple) -> tuple:
     return ts, event_id is not None, len(event_id or ""), event_id or ""
 
 
+_NAT = np.iinfo("int64").min                                 # numpy's instant that is none
+
+
 def _text(v) -> str | None:
     return None if v is None or v is pd.NA or (isinstance(v, float) and pd.isna(v)) else str(v)
 
@@ -248,8 +252,8 @@ def _attribute_group(lookback_us: int):
                 "order_id": pd.Series([a[0] for a in answers], dtype=object),
                 "customer_id": pd.Series([a[1] for a in answers], dtype=object),
                 "campaign_id": pd.Series([a[2] and a[2][2] for a in answers], dtype=object),
-                "touch_ts": pd.to_datetime(pd.Series([a[2] and a[2][0] for a in answers], dtype="Int64"),
-                                           unit="us"),
+                "touch_ts": pd.Series(np.array([a[2][0] if a[2] else _NAT for a in answers], "int64")
+                                      .view("datetime64[us]")),
                 "revenue": pd.Series([a[3] for a in answers], dtype="float64"),
             })
 

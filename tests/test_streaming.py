@@ -115,7 +115,8 @@ def test_late_orders_are_counted_and_repaired(spark, tmp_path):
 def test_customers_share_calls_and_state_rows(spark, tmp_path):
     """A call of the Python worker is paid for a group of customers, not for each one."""
     files = [[row for c in range(40) for row in (ev(f"c{c}", c / 40, 2 * c, f"A{c}"), od(f"c{c}", 1 + c / 40, f"o{c}"),
-                                                 od(f"c{c}", 30 + c / 40, f"p{c}"), od(None, 3, f"n{c}"))],
+                                                 od(f"c{c}", 30 + c / 40, f"p{c}"), od(None, 3, f"n{c}"))]
+             + [od(None, 3, f"m{n}") for n in range(300)],
              [ev(f"c{c}", 29, 2 * c + 1, f"B{c}") for c in range(0, 40, 3)], [END]]
     orders, events = _split(spark, files)
     want, src = _rows(last_touch(orders, events)), str(tmp_path / "src")
