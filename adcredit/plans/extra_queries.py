@@ -594,7 +594,7 @@ def _stream_last_arrival(w: Warehouse):
     def start():
         stream = spark.readStream.schema(raw.schema).parquet(src)
         started.extend(corrections.start_last_arrivals(stream, table, ck, rejected, "events", as_of=w.as_of,
-                                                       delay="60 days"))
+                                                       delay="60 days", groups=1024))
         return started[-2:]
 
     _land_and_stream([raw.filter(now), raw.filter(~now)], src, start)

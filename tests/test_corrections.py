@@ -122,3 +122,34 @@ def test_a_compaction_in_between_makes_the_batch_start_again(spark, tmp_path, mo
     assert upsert_batch(change(spark, [("a", 2, "fixed", 1)]), "fact_events", path, "replaces", ("s", 2))
     assert [(e, s) for e, _, _, s in rows_of(read_fact(spark, "fact_events", path))] == [
         ("a", "fixed"), ("b", "first")]
+
+
+def test_groups_of_ids_answer_as_single_ids_do(spark, tmp_path, groups=3):
+    """Calls and state rows are paid for groups of ids; corrections, ties, expiry and late rows stay the same."""
+    many = [raw(f"m{n}", 1 + n % 5, n) for n in range(60)]
+    batches = [
+        [*many, *BATCHES[0], raw("x", 2, 1), raw("tie", 4, 3, "one"), raw("tie", 4, 3, "two"), raw("tie", 4, 3, None)],
+        [*[raw(f"m{n}", 2, 100 + n, "moved") for n in range(0, 60, 4)], *BATCHES[1], raw("tie", 4, 3, "zz")],
+        [*BATCHES[2], raw("m1", 28, 500, "far")],
+        [raw("m2", 1, 501, "late"), raw("m1", 28, 400, "older")],
+        [raw("m1", 27, 502, "later number"), raw("new", 28, None)],
+    ]
+    got = {}
+    for n in (None, groups):
+        out, queries, table = run(spark, tmp_path / str(n), batches, delay="5 days", keep_days=3, groups=n)
+        got[n] = (sorted(map(str, out.drop("inserted_at").collect())), dropped_by_watermark(queries[0]),
+                  read_fact(spark, "quarantine", str(tmp_path / str(n) / "quarantine")).count())
+        assert out.filter("inserted_at IS NULL").isEmpty()
+    assert got[groups] == got[None] and got[groups][1] == 0 and len(got[groups][0]) == 69
+    assert 0 < queries[0].lastProgress["stateOperators"][0]["numRowsTotal"] <= groups
+    state = spark.read.format("statestore").load(str(tmp_path / str(groups) / "ck" / "changes"))
+    assert sorted(i for r in state.select("value.groupState.ids").collect() for i in r[0]) == ["m1", "new"]
+
+
+def test_groups_count_late_rows_and_end_empty_state(spark, tmp_path):
+    batches = [[raw("a", 1, 1), raw("z", 28, 2)], [raw("a", 1, 4, "late")]]
+    out, (q, _), _ = run(spark, tmp_path, batches, delay="1 hour", keep_days=1, groups=50)
+    assert [(e, s) for e, _, _, s in rows_of(out)] == [("a", "first"), ("z", "first")]
+    assert dropped_by_watermark(q) == 1 and q.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+    with pytest.raises(ValueError):
+        corrections.last_arrival_changes(spark.createDataFrame([], RAW), groups=0)
