@@ -12,9 +12,8 @@ texts, nothing is shuffled, and no partition waits for another.
 
 Token ids come from the tokenizers library, one distinct blank-separated chunk at a
 time (the pre-token pattern never reaches across blanks, and neither do NFC or
-lower-casing), through a bounded memo. A lower-cased word of letters is one pre-token whose last
-token is a word end, so the missing words of a batch are encoded as one line and cut
-apart at the word ends.
+lower-casing), through a bounded memo. A lower-cased word of letters is one pre-token, so the tokenizer's own BPE
+model gives the ids of a word that the memo misses, without the normaliser, the pattern and their offsets.
 
 Defined results: a NULL or empty text is only its end token (one piece);
 repeated rows are packed again, with their own pieces; an empty table gives
@@ -25,6 +24,8 @@ partitions (partition number * 2**32 + number there).
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,11 +50,16 @@ class ChunkIds(dict):
     def __init__(self, definition: str, bound: int = MEMO):
         super().__init__()
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tok, self.bound = Tokenizer.from_str(definition), bound
-        vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        for piece, i in vocab.items():
-            self.ends[i] = piece.endswith("</w>")
+        self.model = self.tok.model
+        letters = sorted({chr(c).lower() for c in range(0x180) if re.match(_PLAIN, chr(c))})
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
+        probe = [*letters, "".join(letters), "".join(reversed(letters))]
+        ids = self.tok.encode(" ".join(probe), add_special_tokens=False).ids
+        if b"".join(map(self._word, probe)) != np.array(ids, "<u4").tobytes():
+            raise ValueError("a plain word is not one byte-level pre-token of this tokenizer")
 
     def lookup(self, chunks: pa.Array) -> list[bytes]:
         """Ids of distinct blank-free chunks; unseen ones are encoded together."""
@@ -66,7 +72,7 @@ class ChunkIds(dict):
         ids = list(map(self.get, bodies))
         new = [w for w, v in zip(bodies, ids) if v is None]
         if new:
-            self._learn(new)
+            self.update(zip(new, map(self._word, new)))
             ids = list(map(self.__getitem__, bodies))
         marks = _objects([b"", *self._odd([".", ","])])
         which = pc.ends_with(low, ".").to_numpy(zero_copy_only=False) \
@@ -82,21 +88,17 @@ class ChunkIds(dict):
     def _odd(self, chunks: list[str]) -> list[bytes]:
         new = [c for c in chunks if c not in self]
         for c, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            self[c] = np.array(e.ids, "<u4").tobytes()
+            self[c] = _packed(e.ids)
         return list(map(self.__getitem__, chunks))
 
-    def _learn(self, words: list[str]) -> None:
-        """Pre-tokens, encoded as one line and cut apart at the word ends."""
-        for i in range(0, len(words), 5_000):
-            part = words[i:i + 5_000]
-            ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part):
-                raise ValueError("a plain word is not one pre-token of this tokenizer")
-            raw, at = ids.tobytes(), 0
-            for w, stop in zip(part, (stops * 4).tolist()):
-                self[w] = raw[at:stop]
-                at = stop
+    def _word(self, word: str) -> bytes:
+        """Ids of a plain word: one pre-token, so the tokenizer's model alone gives them."""
+        tokens = self.model.tokenize(word if word.isascii() else word.translate(self.spelling))
+        return _packed([t.id for t in tokens])
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack("<%dI" % len(ids), *ids)
 
 
 def _objects(values: list[bytes]) -> np.ndarray:

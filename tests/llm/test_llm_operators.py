@@ -8,6 +8,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -225,6 +226,25 @@ def test_packing_is_whole_and_tight(spark, edge_docs, no_docs):
     check_packing(packing.pack(df, WORD_BPE).collect(), pairs(df))
 
 
+def test_packing_encodes_unseen_words_by_the_model_alone():
+    with open(WORD_BPE, encoding="utf-8") as f:
+        memo, tok = packing.ChunkIds(f.read()), Tokenizer.from_file(WORD_BPE)
+    memo.lookup(pa.array(["a.", "b,"]))
+
+    class OddOnly:                                  # the whole tokenizer is only for odd chunks
+        def encode_batch_fast(self, new, **options):
+            assert not new
+            return []
+
+    memo.tok = OddOnly()
+    words = ["unseen", "Zyxwvut.", "ŒUVRE,", "ÜBERGRÖSSE", "ÿŸß", "aéc.", "x" * 300]
+    assert memo.lookup(pa.array(words)) == [
+        np.array(tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    definition = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).to_str()
+    with pytest.raises(ValueError):
+        packing.ChunkIds(definition)
+
+
 # -- 5 sharding ------------------------------------------------------------
 
 def check_shards(out, rows, shards):
